@@ -7,7 +7,9 @@ of the next, and the window runs inside each partition.
 
 from __future__ import annotations
 
+import math
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,9 +26,39 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages read it back even if executors are lost."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cuts the lineage with a columnar table in the shared folder.
+
+    Later stages read it back even if executors are lost, and only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tillwise-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def python_parallelism(df: DataFrame, *keys: str) -> DataFrame:
+    """Spreads rows over all shuffle partitions before Python work, which is heavier than its bytes suggest.
+
+    An explicit number keeps adaptive execution from merging the small partitions into one task. Without
+    ``keys`` rows go round robin.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
+def right_sized(df: DataFrame, rows_per_partition: int = 20_000) -> DataFrame:
+    """Fewer partitions for a cached small table that many short jobs will read; counts it, which fills the cache."""
+    wanted = max(1, math.ceil(df.count() / rows_per_partition))
+    return df.coalesce(wanted)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spreads a scan that has fewer splits than the cluster has cores, ahead of work that is heavy per row.
+
+    A table with enough splits is returned as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def running_total(df: DataFrame, order_by: list[Column], value: str, out: str) -> DataFrame:

@@ -57,7 +57,7 @@ def review_tokens(text, stop=()) -> Column:
 
 
 def bigrams(tokens) -> Column:
-    """Adjacent pairs, in order."""
+    """Adjacent pairs, in order. Pass a token column: an expression would be evaluated once per use."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     n = F.greatest(F.size(tokens) - 1, F.lit(0))
     return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n),
@@ -65,7 +65,7 @@ def bigrams(tokens) -> Column:
 
 
 def ngrams(tokens) -> Column:
-    """Single tokens followed by the adjacent pairs."""
+    """Single tokens followed by the adjacent pairs; pass a token column, as for :func:`bigrams`."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     return F.concat(tokens, bigrams(tokens))
 

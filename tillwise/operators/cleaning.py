@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scalars import money, ratio, try_double
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
 def clean_transactions(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Valid sales lines with their exact value.
 
@@ -27,7 +32,9 @@ def clean_reviews(raw: DataFrame, sample_n: int | None = None) -> DataFrame:
         kept = stratified_sample(kept, sample_n)
     helpful = F.when(F.col("helpfulness_denominator") > 0,
                      ratio("helpfulness_numerator", "helpfulness_denominator")).otherwise(F.lit(0.0))
-    return (kept.withColumn("date", F.timestamp_seconds("time").cast("timestamp_ntz"))
+    # epoch plus interval: the same date in every session time zone
+    since_epoch = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("time").cast("decimal(18,6)"))
+    return (kept.withColumn("date", F.lit(EPOCH).cast("timestamp_ntz") + since_epoch)
             .withColumn("helpfulness", helpful)
             .withColumn("review_text", F.concat("summary", F.lit(". "), "text")))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scalars import ratio
+from tillwise.functions.scale import python_parallelism
 
 # Half-width of an 80 % normal interval, shortest usable history, forecast length in days.
 BAND_Z = 1.2815515655446004
@@ -81,42 +82,56 @@ def sales_forecast(weekly: DataFrame, include_future: bool = True, periods: int
 
 
 def product_forecast_fourier(weekly: DataFrame, periods: int = PERIODS, min_points: int = MIN_POINTS,
-                             order: int = 3, hinges: int = 4, ridge: float = 1.0) -> DataFrame:
-    """Same contract with a yearly Fourier season on a bending trend (ridge regression per product)."""
-
-    def design(days: np.ndarray, span: float) -> np.ndarray:
-        u = days / span
-        year = 2 * np.pi * days / 365.25
-        cols = [np.ones_like(u), u]
-        cols += [np.maximum(u - k / (hinges + 1), 0) for k in range(1, hinges + 1)]
-        for i in range(1, order + 1):
-            cols += [np.sin(i * year), np.cos(i * year)]
-        return np.column_stack(cols)
+                             order: int = 3, hinges: int = 4, ridge: float = 1.0, products_per_batch: int = 128
+                             ) -> DataFrame:
+    """Same contract with a yearly Fourier season on a bending trend (ridge regression per product).
+
+    Products travel in batches of about ``products_per_batch``; the normal equations of a whole batch are
+    built and solved together, and a batch holds at most a few hundred weekly rows per product.
+    """
+    def design(days: np.ndarray, span: np.ndarray) -> np.ndarray:
+        u, year = days / span, 2 * np.pi * days / 365.25
+        bends = [np.maximum(u - k / (hinges + 1), 0) for k in range(1, hinges + 1)]
+        waves = [f(i * year) for i in range(1, order + 1) for f in (np.sin, np.cos)]
+        return np.column_stack([np.ones_like(u), u, *bends, *waves])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("date")
-        dates = pd.to_datetime(rows["date"])
-        out_cols = ["product_id", "date", "predicted_sales", "predicted_low", "predicted_high", "is_future"]
-        if len(rows) < min_points:
-            return pd.DataFrame(columns=out_cols)
-        start, y = dates.iloc[0], rows["y"].to_numpy(float)
-        scale = max(np.abs(y).max(), 1e-9)
-        span = max((dates.iloc[-1] - start).days, 1)
-        x = design((dates - start).dt.days.to_numpy(float), span)
+        rows = rows.sort_values(["product_id", "date"], ignore_index=True)
+        ids = rows["product_id"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        sizes = np.diff(np.r_[starts, len(rows)])
+        group = np.repeat(np.arange(len(starts)), sizes)
+        day = pd.to_datetime(rows["date"]).to_numpy().astype("datetime64[D]")
+        first, last = day[starts], day[starts + sizes - 1]
+        y = rows["y"].to_numpy(float)
+        scale = np.maximum(np.maximum.reduceat(np.abs(y), starts), 1e-9)
+        span = np.maximum((last - first).astype(float), 1.0)
+        x = design((day - first[group]).astype(float), span[group])
         penalty = ridge * np.eye(x.shape[1])
         penalty[0, 0] = 0.0
-        beta = np.linalg.solve(x.T @ x + penalty, x.T @ (y / scale))
-        future = pd.date_range(dates.iloc[-1] + pd.Timedelta(days=1), periods=periods)
-        every = pd.DatetimeIndex(dates).append(future)
-        value = scale * (design((every - start).days.to_numpy(float), span) @ beta)
-        width = BAND_Z * np.std(y - value[:len(y)])
-        return pd.DataFrame({
-            "product_id": rows["product_id"].iloc[0], "date": every.date,
+        xtx = np.add.reduceat(x[:, :, None] * x[:, None, :], starts) + penalty
+        xty = np.add.reduceat(x * (y / scale[group])[:, None], starts)
+        beta = np.linalg.solve(xtx, xty[:, :, None])[:, :, 0]
+        fitted = scale[group] * np.einsum("rf,rf->r", x, beta[group])
+        miss = y - fitted
+        mean = np.add.reduceat(miss, starts) / sizes
+        sigma = np.sqrt(np.add.reduceat((miss - mean[group]) ** 2, starts) / sizes)
+        ahead = np.repeat(np.arange(len(starts)), periods)
+        later = last[ahead] + np.tile(np.arange(1, periods + 1), len(starts)).astype("timedelta64[D]")
+        forward = scale[ahead] * np.einsum("rf,rf->r", design((later - first[ahead]).astype(float), span[ahead]),
+                                           beta[ahead])
+        owner = np.r_[group, ahead]
+        value, width = np.r_[fitted, forward], BAND_Z * sigma[owner]
+        out = pd.DataFrame({
+            "product_id": ids[starts][owner], "date": np.r_[day, later].astype(object),
             "predicted_sales": np.maximum(value, 0), "predicted_low": np.maximum(value - width, 0),
-            "predicted_high": np.maximum(value + width, 0), "is_future": np.arange(len(every)) >= len(y)})
+            "predicted_high": np.maximum(value + width, 0), "is_future": np.arange(len(owner)) >= len(y)})
+        return out[sizes[owner] >= min_points]
 
     points = weekly.select("product_id", "date", F.col("sales").cast("double").alias("y"))
-    return points.groupBy("product_id").applyInPandas(
+    batches = points.agg(F.ceil(F.approx_count_distinct("product_id") / products_per_batch)).first()[0]
+    batched = points.withColumn("batch", F.pmod(F.xxhash64("product_id"), F.lit(max(batches, 1))))
+    return python_parallelism(batched, "batch").groupBy("batch").applyInPandas(
         fit, "product_id string, date date, predicted_sales double, predicted_low double, "
              "predicted_high double, is_future boolean")
 

@@ -75,14 +75,12 @@ def stock_position(forecast: DataFrame, stock: DataFrame, abc: DataFrame, horizo
             .withColumn("required", F.col("demand") + F.col("buffer")))
 
 
-def inventory_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, horizon_days: int = 7,
-                        horizon: str = "future", floor_zero: bool = False) -> DataFrame:
+def decide_reorders(position: DataFrame, floor_zero: bool = False) -> DataFrame:
     """REORDER / OK per stocked product, with quantity and reason.
 
     An A product can be told to reorder while its order is not positive, because its trigger is above
     the requirement; ``floor_zero`` turns such orders into 0.
     """
-    rows = stock_position(forecast, stock, abc, horizon_days, horizon)
     stock_now = F.col("current_stock")
     trigger = F.col("required") * by_class(F.col("abc_class"), REORDER_FACTOR, 1.0)
     short = F.coalesce(trigger > stock_now, F.lit(False))
@@ -94,7 +92,7 @@ def inventory_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, h
                          say("required"), F.lit(" > stock "), say(stock_now))
     why_ok = F.concat(F.col("abc_class"), F.lit("-class product · stock "), say(stock_now),
                       F.lit(" covers forecast "), say("demand"), F.lit(" + buffer"))
-    return rows.select(
+    return position.select(
         "product_id", "abc_class", stock_now.cast("long").alias("current_stock"),
         F.bround("demand", 1).alias("predicted_demand_7d"), F.bround("pct", 3).alias("safety_stock_pct"),
         F.bround("buffer", 1).alias("safety_stock"), F.bround("required", 1).alias("required_stock"),
@@ -103,16 +101,14 @@ def inventory_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, h
         F.when(short, why_short).otherwise(why_ok).alias("reason"))
 
 
-def discount_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, horizon_days: int = 7,
-                       horizon: str = "future") -> DataFrame:
+def decide_discounts(position: DataFrame) -> DataFrame:
     """DISCOUNT / NONE per stocked product."""
-    rows = stock_position(forecast, stock, abc, horizon_days, horizon)
     stock_now, demand, letter = F.col("current_stock"), F.col("demand"), F.col("abc_class")
     over = (demand > 0) & (stock_now > demand * by_class(letter, DISCOUNT_FACTOR, 1.5))
     why = F.concat(F.lit("Overstock · stock "), plain_number(stock_now), F.lit(" is "),
                    plain_number(ratio(stock_now, demand), 1), F.lit("× forecast demand · "), letter,
                    F.lit("-class markdown rate applied"))
-    return rows.select(
+    return position.select(
         "product_id", "abc_class", stock_now.cast("long").alias("current_stock"),
         F.bround("demand", 1).alias("predicted_demand_7d"),
         F.when(over, "DISCOUNT").otherwise("NONE").alias("discount_action"),
@@ -120,6 +116,16 @@ def discount_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, ho
         F.when(over, why).otherwise("Stock level within acceptable range").alias("reason"))
 
 
+def inventory_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, horizon_days: int = 7,
+                        horizon: str = "future", floor_zero: bool = False) -> DataFrame:
+    return decide_reorders(stock_position(forecast, stock, abc, horizon_days, horizon), floor_zero)
+
+
+def discount_decisions(forecast: DataFrame, stock: DataFrame, abc: DataFrame, horizon_days: int = 7,
+                       horizon: str = "future") -> DataFrame:
+    return decide_discounts(stock_position(forecast, stock, abc, horizon_days, horizon))
+
+
 def join_inventory_discount(inventory: DataFrame, discount: DataFrame) -> DataFrame:
     """Reorder decision beside the discount decision."""
     return inventory.join(discount.select("product_id", "discount_action", "discount_rate"), "product_id", "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.functions.scale import exact_quantiles
+from tillwise.functions.scale import exact_quantiles, materialise
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:
@@ -90,18 +90,18 @@ def missing_dates(df: DataFrame, date: str, step_days: int = 1) -> DataFrame:
 
 def outlier_profile(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     """Quartiles and the rows outside the fences ``k`` quartile ranges away, per measure."""
-    parts = []
+    values = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    quartiles, fences = {}, {}
     for c in columns:
-        quartiles = {r["prob"]: r["value"] for r in exact_quantiles(df, c, [0.25, 0.75]).collect()}    # two rows
-        q1, q3 = quartiles.get(0.25), quartiles.get(0.75)
-        step = 0.0 if q1 is None else k * (q3 - q1)
-        low, high = (None, None) if q1 is None else (q1 - step, q3 + step)
-        v = F.col(c).cast("double")
-        parts.append(df.agg(F.count(v).alias("n"), F.count_if(v < F.lit(low)).alias("n_low"),
-                            F.count_if(v > F.lit(high)).alias("n_high"))
-                     .select(F.lit(c).alias("measure"), "n", "n_low", "n_high",
-                             F.lit(q1).cast("double").alias("q1"), F.lit(q3).cast("double").alias("q3")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        found = {r["prob"]: r["value"] for r in exact_quantiles(values, c, [0.25, 0.75]).collect()}      # two rows
+        q1, q3 = found.get(0.25), found.get(0.75)
+        step = None if q1 is None else k * (q3 - q1)
+        quartiles[c] = (q1, q3)
+        fences[c] = (F.lit(None if q1 is None else q1 - step), F.lit(None if q1 is None else q3 + step))
+    one = values.agg(*[e for c in columns for e in (
+        F.count(c).alias(f"n:{c}"), F.count_if(F.col(c) < fences[c][0]).alias(f"low:{c}"),
+        F.count_if(F.col(c) > fences[c][1]).alias(f"high:{c}"))])
+    rows = [F.struct(F.lit(c).alias("measure"), F.col(f"`n:{c}`").alias("n"), F.col(f"`low:{c}`").alias("n_low"),
+                     F.col(f"`high:{c}`").alias("n_high"), F.lit(quartiles[c][0]).cast("double").alias("q1"),
+                     F.lit(quartiles[c][1]).cast("double").alias("q3")) for c in columns]
+    return one.select(F.inline(F.array(*rows)))

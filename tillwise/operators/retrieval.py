@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.scale import materialise
+from tillwise.functions.scale import materialise, python_parallelism
 from tillwise.functions.scalars import title_label
 
 SCORE_DIGITS = 6
@@ -137,6 +137,7 @@ def _score(pairs: DataFrame, facts: DataFrame, groups: _Groups, top_k: int, bloc
     blocks = wanted.mapInPandas(lambda b: copies(b, fact_blocks, query_blocks, "fh", "fb", "qb"),
                                 f"chunk_id {id_type}, source string, grp int, embedding array<float>, fb int, qb int")
     keys = ["grp", "fb", "qb"]
+    questions, blocks = python_parallelism(questions, *keys), python_parallelism(blocks, *keys)
     return questions.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(
         _best_of_block(top_k), f"query_id {query_type}, chunk_id {id_type}, source string, score double")
 

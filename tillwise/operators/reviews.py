@@ -225,7 +225,8 @@ def weighted_ngram_counts(labelled: DataFrame, sentiment: str, stop=REVIEW_STOPW
     """Words and adjacent pairs of one class, every occurrence weighing ``1 + helpfulness``."""
     target = labelled.where(F.col("sentiment") == sentiment)
     weight = (1 + F.col("helpfulness")).cast("decimal(18,9)")
-    return (target.select(weight.alias("w"), F.explode(ngrams(review_tokens("review_text", stop))).alias("keyword"))
+    tokens = target.select(weight.alias("w"), review_tokens("review_text", stop).alias("tokens"))
+    return (tokens.select("w", F.explode(ngrams("tokens")).alias("keyword"))
             .groupBy("keyword").agg(F.sum("w").alias("weight")))
 
 
@@ -234,42 +235,48 @@ def join_freq_tables(left: DataFrame, right: DataFrame, key: str, value: str) ->
     return left.join(right.select(key, value), key, "left").fillna(0, [value])
 
 
-def distinctive_keywords(labelled: DataFrame, sentiment: str, top_n: int = 20, stop=REVIEW_STOPWORDS) -> DataFrame:
-    """Words and pairs much more frequent in one class than overall.
+def distinctive_keywords(labelled: DataFrame, sentiments: list[str], top_n: int = 20, stop=REVIEW_STOPWORDS
+                         ) -> DataFrame:
+    """Words and pairs much more frequent in one class than overall, ``top_n`` per class.
 
-    One pass: a review of the class emits every occurrence with its weight, and every review emits its
-    distinct n-grams once, so weight and document count meet in the same map-side aggregation.
+    One pass for all classes: a review emits every occurrence with its weight, and its distinct n-grams
+    once more for the document count; both meet in the same map-side aggregation.
     """
-    is_target = F.col("sentiment") == sentiment
     weight = (1 + F.col("helpfulness")).cast("decimal(18,9)")
     none = F.lit(0).cast("decimal(18,9)")
-    rows = labelled.select(F.when(is_target, weight).otherwise(none).alias("w"),
-                           ngrams(review_tokens("review_text", stop)).alias("grams"))
+    rows = labelled.select("sentiment", F.when(F.col("sentiment").isin(sentiments), weight).otherwise(none).alias("w"),
+                           review_tokens("review_text", stop).alias("tokens")).withColumn("grams", ngrams("tokens"))
     occurrence = F.transform("grams", lambda g: F.struct(g.alias("keyword"), F.col("w").alias("w"), F.lit(0).alias("d")))
     once = F.transform(F.array_distinct("grams"), lambda g: F.struct(g.alias("keyword"), none.alias("w"),
                                                                      F.lit(1).alias("d")))
     emitted = F.when(F.col("w") > 0, F.concat(occurrence, once)).otherwise(once)
-    totals = (rows.select(F.inline(emitted)).groupBy("keyword")
-              .agg(F.sum("w").alias("weight"), F.sum("d").alias("docs")).where(F.col("weight") > 0))
+    totals = rows.select("sentiment", F.inline(emitted)).groupBy("keyword").agg(
+        F.sum("d").alias("docs"),
+        *[F.sum(F.when(F.col("sentiment") == c, F.col("w"))).alias(f"w{i}") for i, c in enumerate(sentiments)])
     sizes = labelled.agg(F.count(F.lit(1)).alias("n"),
-                         F.greatest(F.count_if(F.col("sentiment") == sentiment), F.lit(1)).alias("n_target"))
-    per_review = ratio(F.col("weight").cast("double"), sizes.select("n_target").scalar())
-    score = per_review / (ratio(F.col("docs"), sizes.select("n").scalar()) + 0.01)
-    return (totals.select("keyword", score.alias("score")).orderBy(F.desc("score"), "keyword").limit(top_n)
-            .select("keyword", F.bround("score", 3).alias("score"), F.lit(sentiment).alias("sentiment")))
+                         *[F.greatest(F.count_if(F.col("sentiment") == c), F.lit(1)).alias(f"n{i}")
+                           for i, c in enumerate(sentiments)])
+    share = ratio(F.col("docs"), sizes.select("n").scalar()) + 0.01
+    per_class = F.array(*[
+        F.struct(F.lit(c).alias("sentiment"), F.col(f"w{i}").alias("weight"),
+                 (ratio(F.col(f"w{i}").cast("double"), sizes.select(f"n{i}").scalar()) / share).alias("score"))
+        for i, c in enumerate(sentiments)])
+    scored = (totals.withColumn("per_class", per_class).select("keyword", F.inline("per_class"))
+              .where(F.col("weight") > 0))
+    best = top_n_per_group(scored, "sentiment", [F.desc("score"), F.asc("keyword")], top_n)
+    return best.select("keyword", F.bround("score", 3).alias("score"), "sentiment")
 
 
 def review_keywords(labelled: DataFrame, top_n: int = 20) -> DataFrame:
     """Distinctive keywords of the negative and the positive reviews."""
-    return (distinctive_keywords(labelled, "negative", top_n)
-            .unionByName(distinctive_keywords(labelled, "positive", top_n)))
+    return distinctive_keywords(labelled, ["negative", "positive"], top_n)
 
 
 def plain_ngram_counts(reviews: DataFrame, sentiment: str, top_n: int = 15, text: str = "text") -> DataFrame:
     """Most common words and pairs of one two-class label."""
     stop = sorted(set(ENGLISH_STOPWORDS) | set(SERVICE_WORDS) | set(AMBIGUOUS_WORDS))
     chosen = reviews.where(polarity_label(F.col("score")) == sentiment)
-    return (chosen.select(F.explode(ngrams(simple_tokens(text, stop))).alias("keyword"))
+    return (chosen.select(simple_tokens(text, stop).alias("tokens")).select(F.explode(ngrams("tokens")).alias("keyword"))
             .groupBy("keyword").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "keyword").limit(top_n)
             .withColumn("sentiment", F.lit(sentiment)))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.scalars import contains_any
+from tillwise.functions.scale import python_parallelism
 from tillwise.functions.words import word_runs
 
 # Ordered routing rules (phrases, sources); the first rule with a phrase in the question wins.
@@ -78,6 +79,7 @@ ZONE_SHORTCUTS = ["busiest", "most crowded", "top zones", "highest traffic", "zo
 OVERLAY_WORDS = ["overlay", "heatmap", "heat map"]
 KEYWORD_POINTS, FUZZY_POINTS, EXAMPLE_POINTS = 3.0, 0.5, 2.0
 FUZZY_MIN_LENGTH, FUZZY_RATIO, HELP_BELOW = 4, 0.85, 0.8
+WORD_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789_-"
 
 # Product and zone mentions. A neighbour outside letters, digits and underscore ends a mention.
 PRODUCT_MENTION = r"(?i)product\s*[:#-]?\s*([A-Za-z0-9]{3,15})"
@@ -126,33 +128,55 @@ def _key_tokens(phrases: list[str]) -> list[str]:
     return [t for p in phrases for t in re.findall(r"[a-z0-9_\-]+", p) if len(t) >= FUZZY_MIN_LENGTH]
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _block_points(messages: pd.Series) -> pd.Series:
-    """Fuzzy and example points per intent, with the matching-blocks ratio."""
+@F.pandas_udf(T.StructType([T.StructField("order", T.IntegerType()), T.StructField("score", T.DoubleType())]))
+def _best_by_blocks(messages: pd.Series, keyword_points: pd.Series) -> pd.DataFrame:
+    """Best intent of each message with the matching-blocks ratio.
+
+    Ratios are only computed for intents whose upper bound can still win.
+    """
     matcher = difflib.SequenceMatcher(None)
-    known: dict[tuple[str, str], float] = {}
-
-    def above(token: str, key: str) -> bool:
-        if (token, key) not in known:
-            matcher.set_seqs(token, key)
-            known[token, key] = matcher.ratio()
-        return known[token, key] > FUZZY_RATIO
-
-    def points(message: str) -> list[float]:
-        tokens = [t for t in re.findall(r"[a-z0-9_\-]+", message) if len(t) >= FUZZY_MIN_LENGTH]
-        out = []
-        for _, phrases, examples in INTENTS:
-            near = sum(above(t, k) for k in _key_tokens(phrases) for t in tokens)
-            best = 0.0
-            for example in examples:
-                matcher.set_seqs(message, example)
-                # the quick ratios are upper bounds
-                if matcher.real_quick_ratio() > best and matcher.quick_ratio() > best:
-                    best = max(best, matcher.ratio())
-            out.append(FUZZY_POINTS * near + EXAMPLE_POINTS * best)
-        return out
-
-    return messages.map(points)
+    owners: dict[str, list[int]] = {}       # key word -> intents, once per phrase that holds it
+    for i, (_, phrases, _) in enumerate(INTENTS):
+        for key in _key_tokens(phrases):
+            owners.setdefault(key, []).append(i)
+    foreign = {k: str.maketrans("", "", "".join(set(WORD_LETTERS) - set(k))) for k in owners}
+    near: dict[str, list[int]] = {}
+
+    def similar(token: str, key: str) -> bool:
+        # at most the shorter word, and only letters of the key, can match
+        need = FUZZY_RATIO * (len(token) + len(key)) / 2
+        if min(len(token), len(key)) <= need or len(token.translate(foreign[key])) <= need:
+            return False
+        matcher.set_seqs(token, key)
+        return matcher.quick_ratio() > FUZZY_RATIO and matcher.ratio() > FUZZY_RATIO
+
+    def example_ratio(message: str, examples: list[str]) -> float:
+        best = 0.0
+        for example in examples:
+            matcher.set_seqs(message, example)
+            if matcher.real_quick_ratio() > best and matcher.quick_ratio() > best:
+                best = max(best, matcher.ratio())
+        return best
+
+    def best(message: str, keyword: list[float]) -> tuple[int, float]:
+        base = list(keyword)
+        for token in re.findall(r"[a-z0-9_\-]+", message):
+            if len(token) < FUZZY_MIN_LENGTH:
+                continue
+            if token not in near:
+                near[token] = [i for k, own in owners.items() if similar(token, k) for i in own]
+            for i in near[token]:
+                base[i] += FUZZY_POINTS
+        bound = [b + EXAMPLE_POINTS * max(2 * min(len(message), len(e)) / max(len(message) + len(e), 1) for e in ex)
+                 for b, (_, _, ex) in zip(base, INTENTS)]
+        found = (-1.0, 0)
+        for i in sorted(range(len(INTENTS)), key=lambda i: (-bound[i], i)):
+            if bound[i] < found[0]:
+                break
+            found = max(found, (base[i] + EXAMPLE_POINTS * example_ratio(message, INTENTS[i][2]), -i))
+        return -found[1], found[0]
+
+    return pd.DataFrame([best(m, k) for m, k in zip(messages, keyword_points)], columns=["order", "score"])
 
 
 def _edit_points(message: Column, tokens: Column) -> list[Column]:
@@ -177,7 +201,8 @@ def intent_score(questions: DataFrame, similarity: str = "blocks", match: str =
     """
     if similarity == "edit":
         return _score_texts(questions, similarity, match)
-    texts = questions.select("text").distinct()         # logs repeat themselves: Python sees each text once
+    # logs repeat themselves: Python sees each text once
+    texts = python_parallelism(questions.select("text").distinct())
     return questions.join(_score_texts(texts, similarity, match), "text", "left")
 
 
@@ -199,16 +224,17 @@ def _score_texts(texts: DataFrame, similarity: str, match: str) -> DataFrame:
 
     keyword = [KEYWORD_POINTS * reduce(lambda a, b: a + b, [found(p) for p in phrases]) for _, phrases, _ in INTENTS]
     if similarity == "blocks":
-        rows = rows.withColumn("_near", _block_points(message))
-        near = [F.col("_near")[i] for i in range(len(INTENTS))]
+        names = F.array(*[F.lit(name) for name, _, _ in INTENTS])
+        rows = (rows.withColumn("_b", _best_by_blocks(message, F.array(*keyword)))
+                .withColumn("_best", F.struct(F.col("_b.score").alias("score"), names[F.col("_b.order")].alias("intent"))))
     elif similarity == "edit":
-        near = _edit_points(message, F.col("_tokens"))
+        # highest score first, then the earlier intent
+        ranked = F.array(*[F.struct((k + n).alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("intent"))
+                           for i, ((name, _, _), k, n) in
+                           enumerate(zip(INTENTS, keyword, _edit_points(message, F.col("_tokens"))))])
+        rows = rows.withColumn("_best", F.array_max(ranked))
     else:
         raise ValueError("similarity must be 'blocks' or 'edit'")
-    # highest score first, then the earlier intent
-    ranked = F.array(*[F.struct((k + n).alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("intent"))
-                       for i, ((name, _, _), k, n) in enumerate(zip(INTENTS, keyword, near))])
-    rows = rows.withColumn("_best", F.array_max(ranked))
     names_zone = F.contains(message, F.lit("zone")) | parse_zone(message).isNotNull()
     intent = (F.when(contains_any(message, ZONE_SHORTCUTS), "busiest_zones")
               .when(contains_any(message, OVERLAY_WORDS) & names_zone, "show_overlay")

@@ -6,14 +6,15 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.functions.scale import right_sized
+
 FEATURES = ["recency", "frequency", "monetary"]
-DAY_US = 86_400_000_000
 UNNAMED = "Low Engagement"
 SEGMENT_NAMES = ["Champions", "Loyal Customers", "At Risk", "Promising", UNNAMED]
 
@@ -23,16 +24,18 @@ def rfm(clean: DataFrame, snapshot: datetime | None = None) -> DataFrame:
 
     The snapshot defaults to one day after the newest sale.
     """
-    when = F.col("invoice_date").cast("timestamp")
-    if snapshot is None:
-        end = clean.agg(F.unix_micros(F.max(when)) + DAY_US).scalar()
-    else:
-        end = F.unix_micros(F.lit(snapshot).cast("timestamp"))
+    when = F.col("invoice_date")
+    end = (clean.agg(F.max(when) + F.expr("interval 1 day")).scalar() if snapshot is None
+           else F.lit(snapshot).cast("timestamp_ntz"))
+    elapsed = F.col("elapsed")
+    whole = F.extract(F.lit("DAY"), elapsed)
+    partial = elapsed < F.make_dt_interval(whole)           # a purchase after the snapshot: round down, not to zero
     return (clean.groupBy(F.col("customer_id").cast("string").alias("customer_id"))
-            .agg(F.unix_micros(F.max(when)).alias("last"), F.count_distinct("invoice").alias("frequency"),
-                 F.sum("sales").alias("monetary"))
-            .select("customer_id", F.floor((end - F.col("last")) / DAY_US).cast("long").alias("recency"),
-                    "frequency", F.col("monetary").cast("double").alias("monetary")))
+            .agg(F.max(when).alias("last"), F.count_distinct("invoice").alias("frequency"),
+                 F.sum("sales").cast("double").alias("monetary"))
+            .withColumn("elapsed", end - F.col("last"))
+            .select("customer_id", F.when(partial, whole - 1).otherwise(whole).cast("long").alias("recency"),
+                    "frequency", "monetary"))
 
 
 def scale_features(customers: DataFrame) -> DataFrame:
@@ -42,20 +45,24 @@ def scale_features(customers: DataFrame) -> DataFrame:
     return scaler.fit(raw).transform(raw).drop("_raw")
 
 
-def _best_fit(scaled: DataFrame, k: int, starts: int, seed: int):
-    """Cheapest of several k-means fits; the fits only differ in their seed and run side by side."""
-    def fit(i: int):
-        return KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster_id").fit(scaled)
+def _fits(scaled: DataFrame, ks, starts: int, seed: int) -> dict[int, KMeansModel]:
+    """Cheapest of several k-means fits per k. The fits differ only in k and seed and run side by side."""
+    def fit(job: tuple[int, int]):
+        k, i = job
+        model = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster_id").fit(scaled)
+        return model.summary.trainingCost, k, model
 
-    with ThreadPoolExecutor(min(starts, 8)) as pool:
-        return min(pool.map(fit, range(starts)), key=lambda m: m.summary.trainingCost)
+    scaled = right_sized(scaled)
+    with ThreadPoolExecutor(8) as pool:
+        fits = list(pool.map(fit, [(k, i) for k in ks for i in range(starts)]))
+    return {k: min((f for f in fits if f[1] == k), key=lambda f: f[0])[2] for k in ks}
 
 
 def elbow_inertias(customers: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
     """Rows ``(k, inertia)``."""
     scaled = scale_features(customers).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = [(k, float(_best_fit(scaled, k, starts, seed).summary.trainingCost)) for k in ks]
+        rows = [(k, float(m.summary.trainingCost)) for k, m in _fits(scaled, ks, starts, seed).items()]
     finally:
         scaled.unpersist()
     return customers.sparkSession.createDataFrame(rows, "k int, inertia double")
@@ -77,7 +84,7 @@ def rfm_kmeans(customers: DataFrame, k: int | None = None, starts: int = 10, see
         k = elbow_k(elbow_inertias(customers, starts=starts, seed=seed)).first()["k"]
     scaled = scale_features(customers).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = _best_fit(scaled.select("features"), k, starts, seed)
+        model = _fits(scaled.select("features"), [k], starts, seed)[k]
     finally:
         scaled.unpersist()
     return model.transform(scaled).drop("features")

@@ -18,12 +18,15 @@ def sales_forecast_job(raw_transactions: DataFrame, top_n: int | None = 10, peri
     return forecast.sales_forecast(sales.weekly_product_sales(lines, measure), include_future, periods)
 
 
-def inventory_job(forecast_table: DataFrame, stock: DataFrame, horizon_days: int = 7, horizon: str = "future"
-                  ) -> tuple[DataFrame, DataFrame]:
-    """Forecast and stock -> (reorder decisions, discount decisions)."""
+def inventory_job(forecast_table: DataFrame, stock: DataFrame, horizon_days: int = 7, horizon: str = "future",
+                  floor_zero: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Forecast table and stock -> (reorder decisions, discount decisions).
+
+    Both decisions read one stored row per stocked product.
+    """
     abc = inventory.abc_classes(forecast_table)
-    return (inventory.inventory_decisions(forecast_table, stock, abc, horizon_days, horizon),
-            inventory.discount_decisions(forecast_table, stock, abc, horizon_days, horizon))
+    position = materialise(inventory.stock_position(forecast_table, stock, abc, horizon_days, horizon))
+    return inventory.decide_reorders(position, floor_zero), inventory.decide_discounts(position)
 
 
 def segments_job(raw_transactions: DataFrame, k: int | None = None, starts: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +59,7 @@ def build_index_job(tables: dict[str, DataFrame], dim: int = chunks.EMBED_DIM):
     """Decision tables -> (facts with vectors, fitted embedding model)."""
     facts = materialise(chunks.build_chunks(tables))
     model = chunks.embed_model(facts, dim=dim)
-    return chunks.embed_text(facts, model), model
+    return materialise(chunks.embed_text(facts, model)), model
 
 
 def answer_questions(questions: DataFrame, facts: DataFrame, model, products: DataFrame, segment_names: list[str],

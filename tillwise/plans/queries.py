@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tillwise import schemas
 from tillwise.functions.scale import checkpoint_root, materialise
-from tillwise.functions.words import bigrams, simple_tokens
+from tillwise.functions.words import bigrams
 from tillwise.operators import (chunks, cleaning, forecast, inventory, kpis, quality, retrieval, reviews, routing,
                                 sales, segments, topics, traffic)
 from tillwise.plans import jobs
@@ -54,11 +54,17 @@ def _forecast(s, d, measure="sales", include_future=True):
 
 
 def _units(s, d):
-    """Forecast in units with its classes and the stock of every product."""
-    table = _forecast(s, d, "quantity")
+    """Forecast in units (stored: several readers), the stock of every product and the classes."""
+    table = materialise(_forecast(s, d, "quantity"))
     return table, sales.stock_from_sales(_clean(s, d), None), inventory.abc_classes(table)
 
 
+def _decisions(s, d):
+    """(reorder decisions, discount decisions)"""
+    table = materialise(_forecast(s, d, "quantity"))
+    return jobs.inventory_job(table, sales.stock_from_sales(_clean(s, d), None))
+
+
 def _inventory(s, d):
     return inventory.inventory_decisions(*_units(s, d))
 
@@ -465,7 +471,7 @@ def first_n_per_product(s, d):
 
 @query
 def join_stock_horizon(s, d):
-    table, stock, _ = _units(s, d)
+    table, stock = _forecast(s, d, "quantity"), sales.stock_from_sales(_clean(s, d), None)
     return _double(inventory.join_stock_horizon(stock, table), 2, "demand", "mean_demand", "mean_width")
 
 
@@ -481,7 +487,7 @@ def inventory_decisions(s, d):
 
 @query
 def inventory_decisions_earliest(s, d):
-    table = _forecast(s, d, include_future=False)
+    table = materialise(_forecast(s, d, include_future=False))
     stock = sales.stock_from_sales(_clean(s, d), None)
     return inventory.inventory_decisions(table, stock, inventory.abc_classes(table), horizon="earliest")
 
@@ -493,13 +499,13 @@ def discount_decisions(s, d):
 
 @query
 def join_inventory_discount(s, d):
-    return inventory.join_inventory_discount(_inventory(s, d), _discount(s, d)).select(
+    return inventory.join_inventory_discount(*_decisions(s, d)).select(
         "product_id", "abc_class", "decision", "recommended_order", "discount_action", "discount_rate")
 
 
 @query
 def decision_counts(s, d):
-    return inventory.decision_counts(_inventory(s, d), _discount(s, d))
+    return inventory.decision_counts(*_decisions(s, d))
 
 
 @query
@@ -509,17 +515,17 @@ def decision_crosstab(s, d):
 
 @query
 def reorder_list(s, d):
-    return inventory.reorder_list(_inventory(s, d)).select("product_id", "decision", "recommended_order")
+    return inventory.reorder_list(_decisions(s, d)[0]).select("product_id", "decision", "recommended_order")
 
 
 @query
 def discount_list(s, d):
-    return inventory.discount_list(_discount(s, d)).select("product_id", "discount_action", "discount_rate")
+    return inventory.discount_list(_decisions(s, d)[1]).select("product_id", "discount_action", "discount_rate")
 
 
 @query
 def inventory_efficiency(s, d):
-    table, stock, _ = _units(s, d)
+    table, stock = materialise(_forecast(s, d, "quantity")), sales.stock_from_sales(_clean(s, d), None)
     return _double(inventory.inventory_efficiency(table, stock), 2, "actual_sales", "predicted_sales", "demand",
                    "predicted_to_actual")
 
@@ -593,7 +599,7 @@ def tokenize_simple(s, d):
 
 @query
 def bigram_counts(s, d):
-    r = inputs.reviews(s, d).select(F.explode(bigrams(simple_tokens("text"))).alias("bigram"))
+    r = reviews.tokenize_simple(inputs.reviews(s, d)).select(F.explode(bigrams("tokens")).alias("bigram"))
     return r.groupBy("bigram").agg(F.count("*").alias("times"))
 
 
@@ -700,7 +706,7 @@ def weighted_ngram_counts(s, d):
 
 @query
 def join_freq_tables(s, d):
-    lab = _labelled(s, d)
+    lab = materialise(_labelled(s, d))
     left = reviews.weighted_ngram_counts(lab, "positive").select("keyword")
     right = _double(reviews.weighted_ngram_counts(lab, "negative"), 3, "weight")
     return reviews.join_freq_tables(left, right, "keyword", "weight")
@@ -798,7 +804,7 @@ def chunks_sales(s, d):
 
 @query
 def chunks_inventory(s, d):
-    c = chunks.chunks_inventory(_inventory(s, d), _discount(s, d))
+    c = chunks.chunks_inventory(*_decisions(s, d))
     return c.select("text", "source", *[F.col("metadata")[k].alias(k) for k in ("product_id", "decision", "abc_class")])
 
 
@@ -833,8 +839,9 @@ def chunks_traffic(s, d):
 
 
 def _tables(s, d) -> dict[str, DataFrame]:
-    return {"sales_forecast": _forecast(s, d), "inventory_recommendations": _inventory(s, d),
-            "discount_recommendations": _discount(s, d),
+    reorders, discounts = _decisions(s, d)
+    return {"sales_forecast": _forecast(s, d), "inventory_recommendations": reorders,
+            "discount_recommendations": discounts,
             "customer_segments": segments.segment_names(_clustered(s, d)), "review_topics": _topic_table(s, d),
             "review_insights": _trends(s, d), "review_keywords": _keywords(s, d), "cv_foot_traffic": _frames(s, d)}
 
@@ -950,7 +957,6 @@ def context_carry(s, d):
 @query
 def answer_questions(s, d):
     facts, model = jobs.build_index_job(_tables(s, d))
-    facts = materialise(facts)
     out = jobs.answer_questions(inputs.questions(s, d), facts, model, _products(s, d), segments.SEGMENT_NAMES, ZONES)
     return out.select("conv_id", "turn", "intent", "visual", "route", "product_id", "segment_name", "zone_id",
                       "citations", "context")

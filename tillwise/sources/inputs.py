@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.functions.scale import spread_small_scan
+
 # Sample questions, one set per kind of request.
 SAMPLE_QUESTIONS = [
     "what should I reorder?", "are my customers satisfied with my store?", "which zone is busiest?",
@@ -23,8 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose texts will be tokenised."""
+    return spread_small_scan(table(spark, sf_dir, name).select(*columns))
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_small_scan(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return joined.select(
@@ -39,7 +47,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
     labels = table(spark, sf_dir, "labels")
     joined = docs.join(labels, "doc_id", "left")
     day = (F.col("doc_id") * 7) % 900
@@ -92,8 +100,8 @@ def theme_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns of the chat logs plus the sample questions as one more conversation."""
-    asked = (table(spark, sf_dir, "conversations").where(F.col("role") == "user")
-             .select("conv_id", "turn", "text"))
+    asked = (text_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+             .where(F.col("role") == "user").drop("role"))
     samples = spark.createDataFrame([(-1, i, q) for i, q in enumerate(SAMPLE_QUESTIONS)],
                                     "conv_id long, turn long, text string")
     return asked.unionByName(samples)
