@@ -23,6 +23,8 @@ from tillwise.functions.scalars import title_label
 
 SCORE_DIGITS = 6
 SLACK = 1e-5        # covers the rounding of scores and of the bound itself
+TILE = 256          # questions scored at a time inside a block
+MAX_PIVOTS = 1024
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -97,19 +99,22 @@ def _best_of_block(top_k: int):
         if questions.empty or facts.empty:
             return pd.DataFrame(columns=columns)
         facts = facts.sort_values("chunk_id", ignore_index=True)
-        scores = np.round(_matrix(questions["embedding"]) @ _matrix(facts["embedding"]).T, SCORE_DIGITS)
-        k = min(top_k, scores.shape[1])
-        kth = np.partition(scores, -k, axis=1)[:, -k]
-        out_q, out_f = [], []
-        for i, row in enumerate(scores):
-            near = np.flatnonzero(row >= kth[i])
-            near = near[np.argsort(-row[near], kind="stable")][:k]
-            out_q.append(np.full(len(near), i))
-            out_f.append(near)
-        q, f = np.concatenate(out_q), np.concatenate(out_f)
+        vectors, asked = _matrix(facts["embedding"]).T, _matrix(questions["embedding"])
+        k = min(top_k, vectors.shape[1])
+        owner, near, score = [], [], []
+        for start in range(0, len(asked), TILE):
+            scores = np.round(asked[start:start + TILE] @ vectors, SCORE_DIGITS)
+            kth = np.partition(scores, -k, axis=1)[:, -k]
+            for i, row in enumerate(scores):
+                best = np.flatnonzero(row >= kth[i])
+                best = best[np.argsort(-row[best], kind="stable")][:k]          # ties stay in id order
+                owner.append(np.full(k, start + i))
+                near.append(best)
+                score.append(row[best])
+        q, f = np.concatenate(owner), np.concatenate(near)
         return pd.DataFrame({"query_id": questions["query_id"].to_numpy()[q],
                              "chunk_id": facts["chunk_id"].to_numpy()[f],
-                             "source": facts["source"].to_numpy()[f], "score": scores[q, f]})
+                             "source": facts["source"].to_numpy()[f], "score": np.concatenate(score)})
     return run
 
 
@@ -142,13 +147,13 @@ def _score(pairs: DataFrame, facts: DataFrame, groups: _Groups, top_k: int, bloc
         _best_of_block(top_k), f"query_id {query_type}, chunk_id {id_type}, source string, score double")
 
 
-def vector_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, pivots: int = 64, block_rows: int = 4096,
-                  compat_over_fetch: bool = False) -> DataFrame:
+def vector_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, pivots: int | None = None,
+                  block_rows: int = 32_768, compat_over_fetch: bool = False) -> DataFrame:
     """Exact ``top_k`` facts per question by inner product: ``(query_id, rank, chunk_id, source, score)``.
 
     ``chunks`` has chunk_id, source, embedding; ``queries`` has query_id, embedding and, optionally,
     ``sources`` (array, NULL = everything) to restrict each question. Equal scores are ordered by chunk id.
-    ``compat_over_fetch`` filters the best ``4 * top_k`` of all sources instead, which may return fewer.
+    ``pivots`` defaults to a number that grows with the facts. ``compat_over_fetch`` filters the best ``4 * top_k`` of all sources instead, which may return fewer.
     """
     filtered = "sources" in queries.columns
     if compat_over_fetch and filtered:
@@ -156,6 +161,8 @@ def vector_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, pivots:
         kept = (wide.drop("rank").join(queries.select("query_id", "sources"), "query_id")
                 .where(F.col("sources").isNull() | F.array_contains("sources", F.col("source"))).drop("sources"))
         return _rank(kept, top_k)
+    if pivots is None:          # a count from file footers; more facts, finer groups
+        pivots = min(MAX_PIVOTS, max(16, math.isqrt(chunks.count()) // 4))
     id_type = chunks.schema["chunk_id"].dataType.simpleString()
     query_type = queries.schema["query_id"].dataType.simpleString()
     sample = (chunks.select("chunk_id", "embedding").orderBy(F.xxhash64("chunk_id"), "chunk_id")

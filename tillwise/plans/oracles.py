@@ -627,7 +627,7 @@ _RAW = {
                       AS share FROM topics""",
     "join_topic_theme": """
         SELECT chunk_id, theme, similarity FROM
-        (SELECT chunk_id, theme, round_even(list_dot_product(cv.e, tv.e), 4) AS similarity,
+        (SELECT chunk_id, theme, round_even(list_dot_product(cv.e, tv.e), 6) AS similarity,
                 row_number() OVER (PARTITION BY chunk_id ORDER BY round_even(list_dot_product(cv.e, tv.e), 6) DESC, theme) AS r
          FROM cv, tv) WHERE r = 1""",
     "topic_theme": """
@@ -702,9 +702,9 @@ _RAW = {
         UNION ALL SELECT 'review_insights', least(COUNT(*), 24) FROM trends
         UNION ALL SELECT 'review_keywords', COUNT(DISTINCT sentiment) FROM kw
         UNION ALL SELECT 'cv_foot_traffic', COUNT(DISTINCT zone_id) FROM frames""",
-    "join_query_chunk": "SELECT query_id, rank, chunk_id, source, round_even(score, 4) AS score FROM hits",
+    "join_query_chunk": "SELECT query_id, rank, chunk_id, source, score FROM hits",
     "vector_search": """
-        SELECT query_id, CAST(r AS INTEGER) AS rank, chunk_id, source, round_even(score, 4) AS score FROM
+        SELECT query_id, CAST(r AS INTEGER) AS rank, chunk_id, source, score FROM
         (SELECT query_id, chunk_id, source, round_even(list_dot_product(qv.e, cv.e), 6) AS score,
                 row_number() OVER (PARTITION BY query_id ORDER BY round_even(list_dot_product(qv.e, cv.e), 6) DESC, chunk_id) AS r
          FROM qv JOIN cv ON CAST(split_part(source, '_', 2) AS INTEGER) % 2 = CASE WHEN query_id % 100 = 0 THEN 0 ELSE 1 END)

@@ -750,7 +750,7 @@ def topic_share(s, d):
 @query
 def join_topic_theme(s, d):
     found = topics.join_topic_theme(inputs.chunk_vectors(s, d), inputs.theme_vectors(s, d))
-    return _double(found, 4, "similarity").select("chunk_id", "theme", "similarity")
+    return found.select("chunk_id", "theme", "similarity")
 
 
 @query
@@ -861,7 +861,7 @@ def embed_text(s, d):
 
 @query
 def join_query_chunk(s, d):
-    return _double(_hits(s, d), 4, "score")
+    return _hits(s, d)
 
 
 @query
@@ -870,7 +870,7 @@ def vector_search(s, d):
     even = F.array(*[F.lit(f"source_{i}") for i in range(0, 10, 2)])
     odd = F.array(*[F.lit(f"source_{i}") for i in range(1, 10, 2)])
     asked = inputs.query_vectors(s, d).withColumn("sources", F.when(F.col("query_id") % 100 == 0, even).otherwise(odd))
-    return _double(retrieval.vector_search(inputs.chunk_vectors(s, d), asked, 5), 4, "score")
+    return retrieval.vector_search(inputs.chunk_vectors(s, d), asked, 5)
 
 
 @query
