@@ -30,7 +30,7 @@ def tokenize_simple(reviews: DataFrame, text: str = "text", out: str = "tokens")
 def join_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Token rows (``word``) that are not in a stop-word table of any size.
 
-    No hint: Spark broadcasts the word table while it is below the size threshold and shuffles otherwise.
+    No hint: Spark broadcasts a stored word table below the size threshold and shuffles otherwise.
     """
     return tokens.join(stopwords.select("word"), "word", "left_anti")
 
@@ -96,8 +96,8 @@ def lexicon_from_stats(stats: DataFrame) -> DataFrame:
 def lexicon_sentiment(reviews: DataFrame, lexicon: DataFrame, text: str = "review_text") -> DataFrame:
     """Adds ``compound`` in [-1, 1] and ``polarity`` (mean valence of the known words, 0 if none).
 
-    The lexicon join carries no hint: below the broadcast threshold the tokens are never shuffled, above it
-    adaptive execution splits hot words. Valences are exact decimals, so sums do not depend on row order.
+    The lexicon join carries no hint. A stored lexicon has a known size: below the broadcast threshold the
+    tokens are never shuffled, above it adaptive execution splits hot words. Valences are exact decimals, so sums do not depend on row order.
     """
     words = reviews.select("id", F.explode(simple_tokens(text)).alias("word"))
     hits = (words.join(lexicon, "word").groupBy("id")

@@ -89,7 +89,8 @@ def _stats(s, d):
 
 
 def _labelled(s, d):
-    return jobs.label_reviews(inputs.reviews(s, d), reviews.lexicon_from_stats(_stats(s, d)))
+    # stored, the lexicon has a known size: Spark broadcasts it while small and the tokens stay where they are
+    return jobs.label_reviews(inputs.reviews(s, d), materialise(reviews.lexicon_from_stats(_stats(s, d))))
 
 
 def _trends(s, d):
@@ -605,7 +606,7 @@ def bigram_counts(s, d):
 
 @query
 def join_stopwords(s, d):
-    stop = reviews.induced_stopwords(reviews.stopword_stats(_stats(s, d)))
+    stop = materialise(reviews.induced_stopwords(reviews.stopword_stats(_stats(s, d))))
     rows = reviews.token_rows(reviews.tokenize_simple(inputs.reviews(s, d)), "id")
     kept = reviews.join_stopwords(rows, stop)
     return kept.groupBy("word").agg(F.count("*").alias("times"))
@@ -621,7 +622,7 @@ def _word_tags(s, d):
 @query
 def content_word_filter(s, d):
     rows = reviews.token_rows(reviews.tokenize_simple(inputs.reviews(s, d)), "id")
-    kept = reviews.content_word_filter(rows, _word_tags(s, d))
+    kept = reviews.content_word_filter(rows, materialise(_word_tags(s, d)))
     return kept.groupBy("id").agg(F.count("*").alias("n_kept"), F.sum("pos").alias("sum_pos"))
 
 
