@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwise.llm import (cross_entropy, grid, licenses, mixing, packing, quality, separators, tool_calls,
-                          topk)
+from tillwise.llm import (cross_entropy, grid, licenses, mixing, packing, quality, separators,
+                          shingle_join, tool_calls, topk)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,14 @@ def tool_traffic(conversations):
 @query
 def op2_tool_call_linking(s, d):
     return tool_calls.link_tool_calls(*tool_traffic(table(s, d, "conversations")), TOOLS)
+
+
+@query
+def op4_shingle_jaccard_join(s, d):
+    return shingle_join.shingle_components(table(s, d, "documents"), n=3, num=90, den=100)
+
+
+@query
+def pipeline(s, d):
+    import corpus_pipeline
+    return corpus_pipeline.run(s, d)
