@@ -7,7 +7,9 @@ of the next, and the window runs inside each partition.
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -16,11 +18,20 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's own setting, else a scratch one (tests, laptops)."""
+    """Shared folder for stored tables: the one in ``spark.checkpoint.dir``.
+
+    Only where everything runs on one machine (a local master) may it be unset; then a scratch folder serves the
+    session and goes when it ends.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillwise-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="tillwise-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(root)
     return root
 
