@@ -90,7 +90,7 @@ def row_key(docs: DataFrame) -> Column:
 def take_mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
     mixed = mix_documents(docs, [], **options).where("mix.passes > 0")
-    passes = mixed.groupBy("key").agg(F.first("mix.passes").cast("int").alias("_passes"))
+    passes = mixed.groupBy(F.col("key").alias("_unit")).agg(F.first("mix.passes").cast("int").alias("_passes"))
     keyed = docs.withColumn("_key", row_key(docs))
-    return (keyed.join(passes, F.col("_key") == F.col("key"))
+    return (keyed.join(passes, F.col("_key") == F.col("_unit"))
             .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_passes")))).select(*docs.columns))

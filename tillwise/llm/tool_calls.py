@@ -97,10 +97,10 @@ def _ordered(calls: DataFrame, max_depth: int) -> tuple[DataFrame, DataFrame]:
 
     A call stands at its turn, or right behind the last of the calls it refers to if that stands later. Only
     references to later calls move anything, so this ends after as many joins as such references follow one another.
+    If it does not, the calls that have moved max_depth / 2 times or more are taken for those without an order.
     """
     refs = materialise(calls.select(*KEY, F.explode("after").alias("dep")).where("dep is not null").distinct())
     state = materialise(calls.select(*KEY, F.col("turn").alias("key"), F.lit(0).alias("depth")))
-    moving = None
     for _ in range(max_depth):
         deps = state.select("conv_id", F.col("call_id").alias("dep"), F.struct("key", "depth").alias("_at"))
         last = refs.join(deps, ["conv_id", "dep"]).groupBy(*KEY).agg(F.max("_at").alias("_at"))
@@ -112,8 +112,8 @@ def _ordered(calls: DataFrame, max_depth: int) -> tuple[DataFrame, DataFrame]:
         new = materialise(new)
         moving, state = new.where("moved").select(*KEY), new.drop("moved")
         if moving.isEmpty():
-            break
-    return state, moving
+            return state, moving
+    return state, state.where(F.col("depth") >= max_depth // 2).select(*KEY)
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], max_depth: int = 64) -> DataFrame:
@@ -127,7 +127,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     tools or references, no result, repeated ids. ``json`` is canonical.
 
     Equal rows count once. Of the calls with one id the earliest is the call, the others stand at their turn and get
-    no result. References in a circle, or in a chain of more than ``max_depth`` references to later calls, are named
+    no result. References in a circle, or in a chain of more than ``max_depth / 2`` references to later calls, are named
     in ``errors`` and the call stands at its turn. Calls without conv_id, call_id or turn are kept without position.
     Extra columns are ignored; empty tables give an empty result. No window or group holds a whole conversation.
     """

@@ -34,7 +34,8 @@ def whole_blocks(df: DataFrame, scale: float, rows: int, width: int, name: str)
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
-        m = np.floor(scale * dense(group["v"].to_numpy(), width))
+        with np.errstate(over="ignore"):
+            m = np.nan_to_num(np.floor(scale * dense(group["v"].to_numpy(), width)))
         return pd.DataFrame({name: [group[name].iloc[0]], "ids": [pack(group["id"].to_numpy(np.int64))],
                              "n": [len(group)], "m": [pack(m)], "norm": [np.sqrt((m * m).sum(1)).max()]})
 
@@ -51,8 +52,8 @@ def _start(top_norm: float, k: int):
             states = []
             for r in batch.itertuples():
                 q = matrix(r.m, r.n)
-                reach = np.minimum(np.sqrt((q * q).sum(1)) * top_norm + 1, float(LIMIT))
-                reach = [min(LIMIT, int(x) + 1) for x in reach]
+                reach = np.nan_to_num(np.sqrt((q * q).sum(1)) * top_norm, nan=float(LIMIT))
+                reach = [min(LIMIT, int(x) + 2) for x in reach]
                 states.append([{"pos": i, "low": -x, "span": 2 * x + 1, "wanted": k}
                                for i, x in enumerate(reach)])
             yield pd.DataFrame({"qb": batch["qb"], "state": states})
@@ -112,7 +113,7 @@ def _located(counts: DataFrame, state: DataFrame) -> DataFrame:
         F.first("low").alias("low"), F.first("span").alias("span"), F.first("wanted").alias("wanted"),
         F.coalesce(F.max(F.when(F.col("upto") >= F.col("wanted"), F.struct("bin", "upto", "n"))),
                    F.min(F.struct("bin", "upto", "n"))).alias("hit"))
-    step = F.expr(f"(span + {BINS - 1}) div {BINS}")
+    step = F.expr(f"(span - 1) div {BINS} + 1")
     down = F.col("hit.bin") * step
     above = F.col("hit.upto") - F.col("hit.n")
     return hit.select("qb", F.struct(
