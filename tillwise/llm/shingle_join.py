@@ -19,7 +19,7 @@ UNBASE = pow(BASE, -1, 1 << 64)
 WORDS = 16                          # 64-bit words of the sketch that bounds a pair's difference
 BLOCK = 400                         # documents compared with each other in one call, and bytes of their sets
 BLOCK_BYTES = 1 << 25
-HOT_ROWS, HOT_SHARE, HOT_LEAST = 1 << 16, 16, 8
+HOT_ROWS, HOT_SHARE, HOT_LEAST, HOT_ONE_IN = 1 << 16, 16, 8, 400
 SALT = 64
 
 
@@ -62,6 +62,16 @@ def difference(a, b, num: int, den: int):
     return (den - num) * (a + b) // (den + num)
 
 
+def parity(h: np.ndarray) -> np.ndarray:
+    """The set as WORDS words of parities: two sets differ in at least as many elements as their words in bits."""
+    out = np.zeros(WORDS, np.uint64)
+    if len(h):
+        at = (h >> np.uint64(58)).astype(int) * WORDS // 64
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        out[at[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
+    return out
+
+
 def sketch_keys(h: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of which two sets that link share at least one; the second array holds those that many sets may share.
 
@@ -77,7 +87,7 @@ def sketch_keys(h: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.
     none = np.zeros(0, np.uint64)
     if d == 0:
         return none, none
-    common = np.isin(h, hot)
+    common = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(size, bool)
     rare = h[~common]
     octave = size.bit_length() - 1
     bands = [octave] + [octave + 1] * (den * size >= num * (2 << octave))
@@ -98,7 +108,10 @@ def sketch_keys(h: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.
 
 
 def _hot_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
-    """Shingles of very many documents, at most HOT_ROWS: they only steer where sketches look, not what is found."""
+    """Shingles of at least one text in HOT_ONE_IN, by a sample of texts, at most HOT_ROWS of them.
+
+    They only steer where sketches look, not what is found.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(n)
         for batch in batches:
@@ -107,9 +120,10 @@ def _hot_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
                 h, times = np.unique(np.concatenate(sets), return_counts=True)
                 yield pd.DataFrame({"h": h.view(np.int64), "times": times})
 
-    some = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(HOT_SHARE)) == 0).distinct()
+    some = materialise(docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(HOT_SHARE)) == 0).distinct())
+    least = max(HOT_LEAST, some.count() // HOT_ONE_IN)
     counted = some.mapInPandas(count, "h long, times long").groupBy("h").agg(F.sum("times").alias("times"))
-    top = counted.where(F.col("times") >= HOT_LEAST).orderBy(F.col("times").desc(), "h").limit(HOT_ROWS)
+    top = counted.where(F.col("times") >= least).orderBy(F.col("times").desc(), "h").limit(HOT_ROWS)
     return np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
 
 
@@ -117,7 +131,7 @@ def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(n)
         for batch in batches:
-            sizes, names, keys, common = [], [], [], []
+            sizes, names, keys, common, bits = [], [], [], [], []
             for content in batch[text]:
                 h = shingles.of(content)
                 plain, shared = sketch_keys(h, hot.value, num, den)
@@ -125,7 +139,9 @@ def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
                 names.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                 keys.append(plain.view(np.int64))
                 common.append(shared.view(np.int64))
-            yield pd.DataFrame({ident: batch[ident], "n_shingles": sizes, "name": names, "keys": keys, "common": common})
+                bits.append(parity(h).tobytes())
+            yield pd.DataFrame({ident: batch[ident], "n_shingles": sizes, "name": names, "keys": keys, "common": common,
+                                "bits": bits})
     return sketch
 
 
@@ -149,11 +165,7 @@ def _linked(num: int, den: int):
         sets, size = [sets[i] for i in order], size[order]
         ids, side = group["rep"].to_numpy()[order], group["side"].to_numpy()[order]
         root = np.unique(group["comp"].to_numpy()[order], return_inverse=True)[1]
-        sketch = np.zeros((len(sets), WORDS), np.uint64)
-        for i, s in enumerate(sets):
-            at, bit = (s >> np.uint64(58)).astype(int) * WORDS // 64, np.uint64(1) << (s & np.uint64(63))
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            sketch[i, at[first]] = np.bitwise_xor.reduceat(bit, first) if len(s) else 0
+        sketch = np.array([parity(s) for s in sets])
         found = []
         for i in range(len(sets) - 1):
             end = np.searchsorted(size, size[i] * den // num, "right")
@@ -172,6 +184,35 @@ def _linked(num: int, den: int):
     return link
 
 
+def _near(num: int, den: int):
+    """(a, b): classes of each key that sizes and sketches allow to link, tied to the smallest of their component."""
+    def near(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["key", "rep"])
+        key, rep, size = (group[c].to_numpy() for c in ("key", "rep", "n_shingles"))
+        bits = np.frombuffer(b"".join(group["bits"]), np.uint64).reshape(len(group), WORDS)
+
+        def allowed(i, j):
+            apart = np.bitwise_count(bits[i] ^ bits[j]).sum(-1)
+            small, big = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            return (den * small >= num * big) & (apart <= difference(small, big, num, den)) & (rep[i] != rep[j])
+
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        length = np.diff(np.append(starts, len(key)))
+        two = starts[length == 2]
+        two = two[allowed(two, two + 1)]
+        found = [(rep[two + 1], rep[two])]
+        for start, n in zip(starts[length > 2], length[length > 2]):
+            own = np.arange(start, start + n)
+            links = np.concatenate([allowed(own[i:i + 64, None], own) for i in range(0, n, 64)])
+            label, last = np.arange(n), None
+            while last is None or (label != last).any():
+                last, label = label, np.minimum(label, np.where(links, label, n).min(1))
+            found.append((rep[own], rep[own[label]]))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({"a": a, "b": b})[a != b].drop_duplicates()
+    return near
+
+
 def _clustered(members: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
     return members.groupBy(*keys).applyInPandas(_linked(num, den), "a long, b long")
 
@@ -233,9 +274,9 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     """(doc_id, n_shingles, component_id) of every document; texts link if den * common >= num * all of their distinct
     n-word shingles, the component is the smallest doc_id that links reach.
 
-    Equal sets are one class. Classes that share a sketch key form families, in which distances of sketches rule
-    pairs out and exact intersections decide. A key's classes are linked to the smallest of them, keys that very many
-    share in parts first; families come from those links. Nothing is cut off, and no group emits its pairs.
+    Equal sets are one class. Classes that share a sketch key and that sizes and distances of sketches allow to link
+    form families, inside which exact intersections decide; classes that share a key of very many are a family without
+    further ado. Nothing is cut off, and no group emits its pairs.
 
     A text without words has size 0, links with nothing and is its own component. Repeated rows agree; documents with
     one doc_id are one node; a document without doc_id has the component of an equal text that has one, else null.
@@ -244,12 +285,12 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(docs, text, n))
     rows = docs.select(F.col(ident).cast("long").alias(ident), text).mapInPandas(
         _sketches(n, num, den, hot, ident, text), f"{ident} long, n_shingles long, name binary, keys array<long>, "
-                                                  "common array<long>")
+                                                  "common array<long>, bits binary")
     rows = materialise(rows)
     classes = materialise(rows.where("name is not null").groupBy("name").agg(F.min(ident).alias("rep")))
     named = rows.select(ident, "n_shingles", "name").join(classes, "name", "left")
     named = materialise(named.select(ident, "n_shingles", "rep"))
-    families = _families(rows.join(classes, "name").where(F.col(ident) == F.col("rep")))
+    families = _families(rows.join(classes, "name").where(F.col(ident) == F.col("rep")), num, den)
     discard(rows)
     texts = docs.select(F.col(ident).cast("long").alias("rep"), F.col(text).alias("text"))
     sets = texts.join(families.select("rep"), "rep").mapInPandas(_sets(n), "rep long, set binary")
@@ -259,16 +300,27 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             .select(ident, "n_shingles", F.coalesce("component", "rep", ident).alias("component_id")))
 
 
-def _families(first: DataFrame) -> DataFrame:
-    """(rep, family) of the classes that share a key with another, directly or by way of others."""
+def _families(first: DataFrame, num: int, den: int) -> DataFrame:
+    """(rep, family) of the classes that may link with another, directly or by way of others."""
     keys = first.select("rep", F.explode("keys").alias("key"), F.lit(-1).alias("salt")).unionByName(first.select(
         "rep", F.explode("common").alias("key"), F.pmod(F.xxhash64("rep"), F.lit(SALT)).cast("int").alias("salt")))
     # one shuffle of the keys; those of very many classes are dealt in SALT parts, whose heads meet once more
-    head = F.min("rep").over(Window.partitionBy("key", "salt"))
-    met = keys.withColumn("head", head).where("rep != head or salt >= 0")
-    met = materialise(met.select("rep", "head", F.when(F.col("salt") >= 0, F.col("key")).alias("common")).distinct())
-    parts = met.where("common is not null").select("common", "head").distinct()
-    across = parts.join(parts.groupBy("common").agg(F.min("head").alias("b")), "common").select(F.col("head").alias("a"), "b")
-    near = met.select(F.col("rep").alias("a"), F.col("head").alias("b")).unionByName(across)
-    families = components(near, "a", "b")
+    part = Window.partitionBy("key", "salt")
+    met = keys.withColumns({"head": F.min("rep").over(part), "n": F.count("*").over(part),
+                            "members": F.bit_xor(F.xxhash64("rep")).over(part)})
+    met = materialise(met.where("n > 1 or salt >= 0"))
+    star = met.where(f"salt >= 0 or n > {BLOCK}")
+    parts = star.where("salt >= 0").select("key", "head").distinct()
+    across = parts.join(parts.groupBy("key").agg(F.min("head").alias("b")), "key").select(F.col("head").alias("a"), "b")
+    star = star.select(F.col("rep").alias("a"), F.col("head").alias("b")).unionByName(across)
+    # other keys often meet by chance: their classes hang together where sizes and sketches allow a link. Copies have
+    # many keys with the same members, one of them is enough
+    plain = met.where(f"salt < 0 and n <= {BLOCK}")
+    one = plain.groupBy("members", "n", "head").agg(F.min("key").alias("key"))
+    plain = plain.join(one.select("key"), "key").select("key", "rep")
+    chunks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = first.select("rep", "n_shingles", "bits")
+    near = (plain.join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(4 * chunks)))
+            .groupBy("chunk").applyInPandas(_near(num, den), "a long, b long"))
+    families = components(star.unionByName(near), "a", "b")
     return materialise(families.select(F.col("node").alias("rep"), F.col("component").alias("family")))
