@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tillwise.functions.scalars import ratio, week_ending_monday
 
 MEASURES = ("sales", "quantity")
-BROADCAST_ROWS = 100_000
 
 
 def _measure(name: str):
@@ -37,11 +36,10 @@ def top_products(clean: DataFrame, top_n: int = 10) -> DataFrame:
 def filter_top_products(clean: DataFrame, top_n: int = 10) -> DataFrame:
     """Sales lines of the best products."""
     best = top_products(clean, top_n).select(F.col("product_id").alias("stock_code"))
-    best = F.broadcast(best) if top_n <= BROADCAST_ROWS else best        # top_n short ids
     return clean.join(best, "stock_code", "left_semi")
 
 
-def stock_from_sales(clean: DataFrame, top_n: int | None = 10, cover_days: int = 14) -> DataFrame:
+def stock_from_sales(clean: DataFrame, top_n: int | None = None, cover_days: int = 14) -> DataFrame:
     """Stock proxy: mean quantity of the days with sales, rounded, times ``cover_days``.
 
     ``top_n=None`` covers every product.

@@ -10,7 +10,7 @@ from tillwise.operators import (chunks, cleaning, forecast, inventory, retrieval
                                 topics, traffic)
 
 
-def sales_forecast_job(raw_transactions: DataFrame, top_n: int | None = 10, periods: int = forecast.PERIODS,
+def sales_forecast_job(raw_transactions: DataFrame, top_n: int | None = None, periods: int = forecast.PERIODS,
                        include_future: bool = True, measure: str = "sales") -> DataFrame:
     """Raw lines -> weekly sales -> forecast table, for the best ``top_n`` products (None = all)."""
     clean = cleaning.clean_transactions(raw_transactions)
@@ -41,7 +41,7 @@ def label_reviews(raw_reviews: DataFrame, lexicon: DataFrame, sample_n: int | No
     return reviews.sentiment_vote(reviews.lexicon_sentiment(clean, lexicon))
 
 
-def reviews_job(raw_reviews: DataFrame, lexicon: DataFrame, sample_n: int | None = 50_000, n_topics: int = 5,
+def reviews_job(raw_reviews: DataFrame, lexicon: DataFrame, sample_n: int | None = None, n_topics: int = 5,
                 resample: str = "ME") -> dict[str, DataFrame]:
     """Raw reviews -> insights, keywords and topics."""
     labelled = materialise(label_reviews(raw_reviews, lexicon, sample_n))      # read by all three

@@ -379,7 +379,7 @@ def top_products(s, d):
 
 @query
 def stock_from_sales(s, d):
-    return sales.stock_from_sales(_clean(s, d))
+    return sales.stock_from_sales(_clean(s, d), 10)
 
 
 @query
