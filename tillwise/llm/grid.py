@@ -17,6 +17,7 @@ from tillwise.llm.vectors import dense, finite, matrix, pack, width_of
 FAN = 16            # intervals of one level that make one of the next
 SLACK = 1e-9        # what a bound must clear, far above rounding errors of doubles
 INTERVAL = "id long, n long, low binary, high binary, centre binary, radius double, first long"
+JUDGED = "a long, b long, n_a long, n_b long, first_a long, first_b long, verdict int"
 BLOCK = "part int, seq int, ids binary, m binary, " + INTERVAL.replace("id long, ", "")
 
 
@@ -92,44 +93,78 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
                          "first": [group["first"].min()]})
 
 
+def _verdicts(one: pd.DataFrame, two: pd.DataFrame, eps: float) -> np.ndarray:
+    """What the bounds of intervals say of each pair: -1 no pair of vectors links, 1 all of them do, 0 look closer."""
+    (low_a, high_a, centre_a), (low_b, high_b, centre_b) = (
+        [np.array([np.frombuffer(x) for x in side[c]]) for c in ("low", "high", "centre")] for side in (one, two))
+    gap = np.maximum(0, np.maximum(low_a[:, None] - high_b, low_b - high_a[:, None]))
+    apart = np.sqrt(((centre_a[:, None] - centre_b) ** 2).sum(2))
+    radius_a, radius_b = one["radius"].to_numpy(), two["radius"].to_numpy()
+    reach = radius_a[:, None] + radius_b
+    skip = (np.sqrt((gap ** 2).sum(2)) > eps + SLACK) | (apart - reach > eps + SLACK)
+    itself = one["id"].to_numpy()[:, None] == two["id"].to_numpy()
+    links = np.where(itself, 2 * radius_a[:, None], apart + reach) < eps - SLACK
+    return np.where(skip, -1, np.where(links, 1, 0))
+
+
+def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The members of both intervals of a pair; of an interval with itself, the same ones twice."""
+    if group["a"].iloc[0] == group["b"].iloc[0]:
+        return group, group
+    first = group["id"] // FAN == group["a"]
+    return group[first], group[~first]
+
+
 def _judged(eps: float):
-    """What the bounds of two intervals say: -1 no pair links, 1 all pairs link, 0 look closer."""
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            low, high, centre = ({s: np.array([np.frombuffer(x) for x in b[f"{c}_{s}"]]) for s in "ab"}
-                                 for c in ("low", "high", "centre"))
-            gap = np.maximum(0, np.maximum(low["a"] - high["b"], low["b"] - high["a"]))
-            apart = np.sqrt(((centre["a"] - centre["b"]) ** 2).sum(1))
-            reach = (b["radius_a"] + b["radius_b"]).to_numpy()
-            skip = (np.sqrt((gap ** 2).sum(1)) > eps + SLACK) | (apart - reach > eps + SLACK)
-            links = np.where(b["a"] == b["b"], 2 * b["radius_a"], apart + reach) < eps - SLACK
-            out = b[["a", "b", "n_a", "n_b", "first_a", "first_b"]]
-            yield out.assign(verdict=np.where(skip, -1, np.where(links, 1, 0)).astype(np.int32))
+    """The member pairs of two intervals that cannot be dropped, with their verdicts."""
+    def judge(group: pd.DataFrame) -> pd.DataFrame:
+        one, two = _sides(group)
+        verdict = _verdicts(one, two, eps)
+        i, j = np.nonzero(verdict >= 0)
+        out = pd.DataFrame({"verdict": verdict[i, j]})
+        for s, side, at in (("a", one, i), ("b", two, j)):
+            out[s] = side["id"].to_numpy()[at]
+            out[f"n_{s}"], out[f"first_{s}"] = side["n"].to_numpy()[at], side["first"].to_numpy()[at]
+        return out[out["a"] <= out["b"]][[c.split()[0] for c in JUDGED.split(", ")]]
     return judge
 
 
-def _linked(threshold: float):
-    """(id, n, other) for every vector of a block pair with links there: how many, and a vector it hangs together with."""
-    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                ia, ib = np.frombuffer(r.ids_a, np.int64), np.frombuffer(r.ids_b, np.int64)
-                near = matrix(r.m_a, len(ia)) @ matrix(r.m_b, len(ib)).T >= threshold
-                if r.a == r.b:
-                    np.fill_diagonal(near, False)
-                at_a, at_b = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
-                if not len(at_a):
-                    continue
-                near, ia, ib = near[np.ix_(at_a, at_b)], ia[at_a], ib[at_b]
-                la, lb, last = ia.copy(), ib.copy(), None
-                top = np.iinfo(np.int64).max
-                while last is None or (la != last).any():
-                    last = la.copy()
-                    lb = np.minimum(lb, np.where(near, la[:, None], top).min(0))
-                    la = np.minimum(la, np.where(near, lb, top).min(1))
-                yield pd.DataFrame({"id": ia, "n": near.sum(1), "other": la})
-                if r.a != r.b:
-                    yield pd.DataFrame({"id": ib, "n": near.sum(0), "other": lb})
+def _linked(eps: float, threshold: float):
+    """(id, n, other) of the vectors in two intervals of blocks: how many links, and vectors they hang together with."""
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        one, two = _sides(group)
+        verdict = _verdicts(one, two, eps)
+        blocks = {r.id: (np.frombuffer(r.ids, np.int64), matrix(r.m, r.n)) for r in group.itertuples()}
+        links = {block: np.zeros(len(ids), np.int64) for block, (ids, _) in blocks.items()}
+        ties = [(np.zeros(0, np.int64),) * 2]
+        for i, j in zip(*np.nonzero(verdict >= 0)):
+            a, b = one["id"].iloc[i], two["id"].iloc[j]
+            if a > b:
+                continue
+            (ia, ma), (ib, mb) = blocks[a], blocks[b]
+            near = ma @ mb.T >= threshold if verdict[i, j] == 0 else np.ones((len(ia), len(ib)), bool)
+            if a == b:
+                np.fill_diagonal(near, False)
+            at_a, at_b = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+            if not len(at_a):
+                continue
+            near = near[np.ix_(at_a, at_b)]
+            links[a][at_a] += near.sum(1)
+            if a != b:
+                links[b][at_b] += near.sum(0)
+            la, lb, last = ia[at_a], ib[at_b], None
+            top = np.iinfo(np.int64).max
+            while last is None or (la != last).any():
+                last = la
+                lb = np.minimum(lb, np.where(near, la[:, None], top).min(0))
+                la = np.minimum(la, np.where(near, lb, top).min(1))
+            ties += [(ia[at_a], la), (ib[at_b], lb)]
+        ids = np.concatenate([ids for ids, _ in blocks.values()])
+        n = np.concatenate([links[block] for block in blocks])
+        node, other = (np.concatenate(x) for x in zip(*ties))
+        tied = pd.DataFrame({"id": node, "n": 0, "other": other})
+        counted = pd.DataFrame({"id": ids, "n": n, "other": ids})
+        return pd.concat([counted[n > 0], tied[node != other].drop_duplicates()])
     return link
 
 
@@ -140,8 +175,9 @@ def grid_order_join(vectors: DataFrame, threshold: float = 0.95, ident: str = "v
     Unit vectors are ordered by the cells that a grid as wide as the link distance makes of their leading principal
     axes, and the order is cut into blocks, blocks into intervals of intervals. From the whole sequence down, pairs
     of intervals whose bounds keep them apart are dropped, pairs whose bounds prove all their vectors linked are
-    counted as a whole, others are opened; what is left of blocks is compared in doubles. A pair of blocks passes on
-    one row a vector, never its pairs, so a group of many copies costs no more rows than it has vectors.
+    counted as a whole, others are opened; what is left of blocks is compared in doubles. A pair of intervals passes
+    on counts and ties of its vectors, never their pairs, so a group of many copies costs no more rows than it has
+    vectors.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and so do rows
     without an id (their component is null). Shorter vectors count as if they ended in zeros. Repeated rows link with
@@ -177,31 +213,26 @@ def _links(usable: DataFrame, width: int, eps: float, threshold: float, dims: in
     numbered = stored.join(per.select("part", before.alias("before")), "part")
     bounds = ["n", "low", "high", "centre", "radius", "first"]
     levels = [materialise(numbered.select((F.col("before") + F.col("seq")).alias("id"), *bounds, "ids", "m"))]
-    while levels[-1].count() > 1:
+    while len(levels) == 1 or levels[-1].count() > 1:
         up = levels[-1].select(F.expr(f"id div {FAN}").alias("up"), *bounds)
         levels.append(materialise(up.groupBy("up").applyInPandas(_merged, INTERVAL)))
 
-    def side(level: int, s: str, *more: str) -> DataFrame:
-        return levels[level].select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in (*bounds, *more)])
+    # an open pair of intervals meets the members of both once, so a block moves once for FAN others, not for each
+    n = int(usable.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def members(pairs: DataFrame, level: int):
+        ups = F.array_distinct(F.array("a", "b"))
+        own = levels[level].withColumn("up", F.expr(f"id div {FAN}"))
+        met = pairs.select("a", "b", F.explode(ups).alias("up")).join(own, "up").drop("up")
+        return met.repartition(n, "a", "b").groupBy("a", "b")
 
     pairs = usable.sparkSession.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    whole = None
-    for level in range(len(levels) - 1, -1, -1):
-        met = pairs.join(side(level, "a"), "a").join(side(level, "b"), "b")
-        judged = materialise(met.mapInPandas(_judged(eps), "a long, b long, n_a long, n_b long, first_a long, "
-                                             "first_b long, verdict int"))
-        all_linked = judged.where("verdict = 1").withColumn("level", F.lit(level))
-        whole = all_linked if whole is None else whole.unionByName(all_linked)
+    whole = usable.sparkSession.createDataFrame([], JUDGED).withColumn("level", F.lit(0))
+    for level in range(len(levels) - 2, 0, -1):
+        judged = materialise(members(pairs, level).applyInPandas(_judged(eps), JUDGED))
+        whole = whole.unionByName(judged.where("verdict = 1").withColumn("level", F.lit(level)))
         pairs = judged.where("verdict = 0").select("a", "b")
-        if level:
-            inner = F.sequence(F.lit(0), F.lit(FAN - 1))
-            pairs = (pairs.withColumn("i", F.explode(inner)).withColumn("j", F.explode(inner))
-                     .select((F.col("a") * FAN + F.col("i")).alias("a"), (F.col("b") * FAN + F.col("j")).alias("b"))
-                     .where("a <= b"))
-    n = int(usable.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids_m = [levels[0].select(F.col("id").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("m").alias(f"m_{s}")) for s in "ab"]
-    open_pairs = pairs.join(ids_m[0], "a").join(ids_m[1], "b").repartition(n, "a", "b")
-    near = open_pairs.mapInPandas(_linked(threshold), "id long, n long, other long")
+    near = members(pairs, 0).applyInPandas(_linked(eps, threshold), "id long, n long, other long")
 
     # intervals that link as a whole: what each gains, and one link for each pair
     gains = whole.select("level", F.col("a").alias("at"), "first_a", F.when(F.col("a") == F.col("b"), F.col("n_a") - 1)
