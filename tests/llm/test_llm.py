@@ -166,6 +166,29 @@ def test_shingle_join_blocks_and_odd_rows(spark, monkeypatch):
     assert shingle_join.shingle_components(docs(spark, [])).count() == 0
 
 
+def test_open_families_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK", 3)
+    rng = np.random.default_rng(9)
+    sets = []
+    for size in (40, 700, 1020, 2000, 4090):            # next to the sizes at which sketches double
+        for _ in range(4):
+            base = rng.integers(0, 2 ** 63, size).astype(np.uint64)
+            for _ in range(rng.integers(1, 5)):
+                k = int(rng.integers(0, size // 12))
+                sets.append(np.unique(np.concatenate([base[k:], rng.integers(0, 2 ** 63, k // 4).astype(np.uint64)])))
+    got = shingle_join._verified(spark.createDataFrame(
+        [(0, i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "family long, rep long, set binary"), 90, 100).collect()
+    parts = []
+    for links in ([(r.a, r.b) for r in got], [(i, j) for i in range(len(sets)) for j in range(i) if 100 * (
+            both := len(np.intersect1d(sets[i], sets[j]))) >= 90 * (len(sets[i]) + len(sets[j]) - both)]):
+        label = list(range(len(sets)))
+        for _ in label:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        parts.append(label)
+    assert parts[0] == parts[1] and len(set(parts[0])) < len(sets)
+
+
 def test_sketch_keys_share_one():
     rng = np.random.default_rng(3)
     for size in (10, 40, 333, 2000):

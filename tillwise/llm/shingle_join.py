@@ -62,11 +62,11 @@ def difference(a, b, num: int, den: int):
     return (den - num) * (a + b) // (den + num)
 
 
-def parity(h: np.ndarray) -> np.ndarray:
-    """The set as WORDS words of parities: two sets differ in at least as many elements as their words in bits."""
-    out = np.zeros(WORDS, np.uint64)
+def parity(h: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """The set as ``words`` words of parities, a power of two: sets differ in at least as many elements as in bits."""
+    out = np.zeros(words, np.uint64)
     if len(h):
-        at = (h >> np.uint64(58)).astype(int) * WORDS // 64
+        at = (h >> np.uint64(65 - words.bit_length())).astype(int)
         first = np.flatnonzero(np.diff(at, prepend=-1))
         out[at[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
     return out
@@ -184,6 +184,49 @@ def _linked(num: int, den: int):
     return link
 
 
+def _wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sketches of at least one bit a shingle in the place of the sets."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in batch["set"]]
+        bits = [parity(h, max(WORDS, 1 << (len(h) // 64).bit_length())).tobytes() for h in sets]
+        yield batch.drop(columns="set").assign(n_shingles=[len(h) for h in sets], bits=bits)
+
+
+def _candidates(num: int, den: int):
+    """(a, b): a spanning forest of the pairs of different components that sizes and wide sketches allow to link.
+
+    Sketches are wider in higher size bands; a wide one is folded to meet a narrow one.
+    """
+    def candidates(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("n_shingles", kind="stable")
+        size, ids, side, comp = (group[c].to_numpy() for c in ("n_shingles", "rep", "side", "comp"))
+        width = np.array([len(x) // 8 for x in group["bits"]])
+        starts = {w: np.searchsorted(width, w) for w in np.unique(width).tolist()}     # sizes and widths rise together
+        folded = {w: {w: np.frombuffer(b"".join(group["bits"][width == w]), np.uint64).reshape(-1, w)} for w in starts}
+
+        def at_width(w: int, to: int) -> np.ndarray:
+            if to not in folded[w]:
+                wider = at_width(w, 2 * to)
+                folded[w][to] = wider[:, ::2] ^ wider[:, 1::2]
+            return folded[w][to]
+
+        tied, found = np.arange(len(ids)), []
+        for i in range(len(ids) - 1):
+            own = int(width[i])
+            sketch = folded[own][own][i - starts[own]]
+            near = np.arange(i + 1, max(i + 1, np.searchsorted(size, size[i] * den // num, "right")))
+            near = near[(comp[near] != comp[i]) & ((side[near] != side[i]) | (side[i] == 2)) & (tied[near] != tied[i])]
+            for w in np.unique(width[near]).tolist():
+                some = near[width[near] == w]
+                apart = np.bitwise_count(at_width(w, own)[some - starts[w]] ^ sketch).sum(1)
+                for j in some[apart <= difference(size[i], size[some], num, den)]:
+                    if tied[j] != tied[i]:
+                        found.append((ids[i], ids[j]))
+                        tied[tied == tied[j]] = tied[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    return candidates
+
+
 def _near(num: int, den: int):
     """(a, b): classes of each key that sizes and sketches allow to link, tied to the smallest of their component."""
     def near(group: pd.DataFrame) -> pd.DataFrame:
@@ -247,26 +290,43 @@ def _verified(members: DataFrame, num: int, den: int) -> DataFrame:
     heads = heads.withColumn("block", F.pmod(F.xxhash64("comp"), F.lit(SALT)))
     links = materialise(links.unionByName(_clustered(heads, ["family", "block"], num, den)))
     large = materialise(_labelled(large, links).drop("block"))
-    # what is left: families of several components; large components have blocks of their own
-    per = large.groupBy("family", "comp").agg(F.count("*").alias("_n"))
-    open_families = per.groupBy("family").agg(F.count("*").alias("_comps"), F.sum("_n").alias("_all")).where("_comps > 1")
-    pure = F.col("_n") >= BLOCK
+    # what is left: families of several components. Their sketches meet first, and only documents whose sketches
+    # allow a link to another component are compared whole
+    sketched = large.select("family", "rep", "comp", "set").mapInPandas(
+        _wide, "family long, rep long, comp long, n_shingles long, bits binary")
+    ties = _met(materialise(sketched), "bits").applyInPandas(_candidates(num, den), "a long, b long")
+    closer = components(ties, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    large = materialise(large.drop("family").join(closer, "rep"))
+    return links.unionByName(_met(large, "set").applyInPandas(_linked(num, den), "a long, b long"))
+
+
+def _met(members: DataFrame, content: str):
+    """Blocks of different components of a family, pair by pair; large components have blocks of their own.
+
+    A block holds about BLOCK sets or BLOCK_BYTES of ``content``; of sketches, which are small, eight times as many.
+    """
+    rows = BLOCK * (8 if content == "bits" else 1)
+    per = members.groupBy("family", "comp").agg(F.count("*").alias("_n"), F.sum(F.length(content)).alias("_bytes"))
+    open_families = per.groupBy("family").agg(F.count("*").alias("_comps"), F.sum("_n").alias("_all"),
+                                              F.sum("_bytes").alias("_all_bytes")).where("_comps > 1")
+    pure = (F.col("_n") >= rows) | (F.col("_bytes") >= BLOCK_BYTES)
+    chunks = lambda n, size: F.ceil(F.greatest(F.col(n) / rows, F.col(size) / BLOCK_BYTES))
     blocks = per.join(open_families, "family").select(
         "family", "comp", F.when(pure, F.col("comp")).otherwise(-1).alias("owner"),
-        F.when(pure, F.ceil(F.col("_n") / BLOCK)).otherwise(F.ceil(F.col("_all") / BLOCK)).alias("_chunks"))
-    placed = large.drop("side").join(blocks, ["family", "comp"]).withColumn("part", F.pmod(
+        F.when(pure, chunks("_n", "_bytes")).otherwise(chunks("_all", "_all_bytes")).alias("_chunks"))
+    placed = members.drop("side").join(blocks, ["family", "comp"]).withColumn("part", F.pmod(
         F.when(F.col("owner") == -1, F.xxhash64("comp")).otherwise(F.xxhash64("rep")), F.col("_chunks")))
-    placed = materialise(placed.select("family", "rep", "set", "comp", "owner", "part"))
+    columns = ["family", "rep", "comp", content, *[c for c in members.columns if c == "n_shingles"]]
+    placed = materialise(placed.select(*columns, "owner", "part"))
     names = placed.select("family", "owner", "part").distinct()
     one, two = (names.select("family", F.struct("owner", "part").alias(s)) for s in ("one", "two"))
     pairs = one.join(two, "family").where("one <= two and (one.owner != two.owner or one.owner = -1)")
-    own = F.struct("owner", "part").alias("own")
     sides = pairs.select("family", "one", "two", F.explode(F.when(
         F.col("one") == F.col("two"), F.array(F.struct(F.lit(2).alias("side"), F.col("one").alias("own")))).otherwise(
         F.array(F.struct(F.lit(0).alias("side"), F.col("one").alias("own")),
                 F.struct(F.lit(1).alias("side"), F.col("two").alias("own"))))).alias("_s")).select("family", "one", "two", "_s.*")
-    met = placed.select("family", "rep", "set", "comp", own).join(sides, ["family", "own"])
-    return links.unionByName(_clustered(met, ["family", "one", "two"], num, den))
+    own = F.struct("owner", "part").alias("own")
+    return placed.select(*columns, own).join(sides, ["family", "own"]).groupBy("family", "one", "two")
 
 
 def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, ident: str = "doc_id",
