@@ -77,8 +77,9 @@ def sketch_keys(h: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.
 
     A set of s shingles links with none that differs in more than d = s * (den - num) / num of them. In its size
     band, one octave that reaches down to sizes that link into it, shingles fall into segments by their leading bits,
-    and each flips one of a segment's 64 bits. d differences touch at most d segments, and every other one is equal:
-    of the first d + 1 segments that are not zero, one is untouched and in both sets' keys. Shingles in ``hot`` are
+    and each flips one of a segment's 2**32 bits, so that segments rarely agree unless their shingles do. A segment's
+    bits are told by the XOR of the hashes of those that are set. d differences touch at most d segments, and every
+    other one is equal: of the first d + 1 segments that are not zero, one is untouched and in both sets' keys. Shingles in ``hot`` are
     left out of the sketch, which only lowers the distance. A set with too few segments left adds its first d + 1
     single shingles, hot ones last; two such sets share one of these, and one with another kind of set shares a segment.
     """
@@ -97,9 +98,9 @@ def sketch_keys(h: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.
         at = (rare >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)
         first = np.flatnonzero(np.diff(at, prepend=np.uint64(segments)))
         if len(first):
-            words = np.bitwise_xor.reduceat(np.uint64(1) << (rare & np.uint64(63)), first)
-            own = np.flatnonzero(words)[:d + 1]
-            keys.append(_mixed(_mixed(words[own]) + at[first][own] * np.uint64(64) + np.uint64(band)))
+            bits = np.bitwise_xor.reduceat(_mixed((rare & np.uint64(0xFFFFFFFF)) + np.uint64(1)), first)
+            own = np.flatnonzero(bits)[:d + 1]
+            keys.append(_mixed(bits[own] + at[first][own] * np.uint64(64) + np.uint64(band)))
         scarce = scarce or not len(first) or len(own) <= d
     single = np.concatenate([rare, h[common]])[:d + 1] if scarce else none
     single_hot = single[len(rare):]
