@@ -284,3 +284,44 @@ def test_pipeline_stages_keep_columns(spark):
 
 def test_queries_are_registered():
     assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in QUERIES} and "pipeline" in QUERIES
+
+
+def plain_losses(trained, texts, order=4, vocabulary=1 << 17):
+    """Modified Kneser-Ney in plain dictionaries: the mean loss a character of each text."""
+    from collections import Counter
+    from math import log
+    runs = lambda t: [("\x02" * (order - 1) + t)[i:i + order] for i in range(len(t))]
+    levels = [Counter(g for t in trained for g in runs(t))]
+    for _ in range(order - 1):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    p, gamma = {}, {}
+    for counts in reversed(levels):
+        of = Counter(counts.values())
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] + of[2] else 0.5
+        d = [max(0.1 * i, i - (i + 1) * y * of[i + 1] / of[i] if of[i] else 0.5 * i) for i in (1, 2, 3)]
+        cut = {g: min(n, d[min(n, 3) - 1]) for g, n in counts.items()}
+        total, mass = Counter(), Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            mass[g[:-1]] += cut[g]
+        gamma |= {c: mass[c] / total[c] for c in total}
+        p |= {g: (n - cut[g]) / total[g[:-1]] + gamma[g[:-1]] * p.get(g[1:], 1 / vocabulary) for g, n in counts.items()}
+    prob = lambda g: p[g] if g in p else gamma.get(g[:-1], 1) * prob(g[1:]) if g else 1 / vocabulary
+    return [-sum(log(prob(g)) for g in runs(t)) / len(t) for t in texts]
+
+
+def test_rare_n_grams_of_large_texts_are_kept(spark):
+    rows = [(1, "ab" * 600_000), (2, "wxyz wxya"), (3, "abac é漢"), (4, "wxyz"), (5, None), (6, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in cross_entropy.score_documents(table, spark.createDataFrame([(2,)], "doc_id long")).collect()}
+    texts = [t for _, t in rows[:4]]
+    for name, trained in (("target_loss", [texts[1]]), ("background_loss", texts)):
+        assert [got[i][name] for i in (1, 2, 3, 4)] == pytest.approx(plain_losses(trained, texts), rel=1e-9)
+    assert got[5].score is None and got[6].score is None and [got[i].n_tokens for i in (3, 5, 6)] == [7, 0, 0]
+    named = [(i, t, "xx") for i, t in rows]
+    judged = quality.Classifier(spark.createDataFrame(named, "doc_id long, text string, lang string"),
+                                spark.createDataFrame([(i, 1) for i in range(1, 5)], "doc_id long, quality int"))
+    halves = {r.doc_id: r.h for r in table.select("doc_id", quality._half("text").alias("h")).collect()}
+    for r in judged.scores.where("chars > 0").collect():
+        other = [t for i, t in rows[:4] if halves[i] != halves[r.doc_id]]
+        assert (r.loss is None) if not other else r.loss == pytest.approx(plain_losses(other, [rows[r.doc_id - 1][1]])[0])

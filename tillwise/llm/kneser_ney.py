@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tillwise.functions.scale import materialise
 
 PAD = "\x02"            # stands before a text
 SLICE = 2_000_000       # characters looked at together
+PART = 8_000_000        # characters of the documents that ask for their n-grams together
 
 
 def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -81,19 +83,17 @@ def _discounted(level: DataFrame) -> DataFrame:
                                                             .otherwise(F.col("d3"))))
 
 
-def estimate(counts: DataFrame, order: int, vocabulary: int, max_grams: int) -> DataFrame:
+def estimate(counts: DataFrame, order: int, vocabulary: int) -> DataFrame:
     """(model, gram, context, logp, loggamma): one row a seen n-gram or context of each order.
 
     The highest order uses counts, the lower ones in how many contexts an n-gram follows. The tables of the orders
     are joined on (model, context) for the discounted mass and on (model, suffix) for the lower order, both sharded
-    by these keys. N-grams of the highest order that are rarer than one in ``max_grams`` of all are left to the
-    lower orders; so at most ``max_grams`` stay, and with the lower orders ``order`` times that, at any size.
+    by these keys. Every n-gram of every order is kept, so the table grows with the input and stays sharded.
     """
     levels = [materialise(counts)]
     for _ in range(order - 1):
         levels.append(materialise(levels[-1].groupBy("model", F.substring("gram", 2, order).alias("gram"))
                                   .agg(F.count("*").alias("n"))))
-    least = (counts_total := levels[0].agg(F.sum("n")).first()[0] or 0) / max_grams
     lower, out = None, None
     for n, level in enumerate(reversed(levels), 1):
         rows = _discounted(level).withColumn("context", F.substring("gram", 1, n - 1))
@@ -106,16 +106,15 @@ def estimate(counts: DataFrame, order: int, vocabulary: int, max_grams: int) ->
             rows = (rows.withColumn("_suffix", F.substring("gram", 2, order)).join(suffix, ["model", "_suffix"]))
         p = (F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("below")
         lower = materialise(rows.select("model", "gram", "context", "n", p.alias("p"), "gamma"))
-        kept = lower.where(F.col("n") >= least) if n == order and counts_total else lower
-        seen = kept.select("model", "gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("loggamma"))
-        contexts = kept.groupBy("model", F.col("context").alias("gram")).agg(F.log(F.first("gamma")).alias("loggamma"))
+        seen = lower.select("model", "gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("loggamma"))
+        contexts = lower.groupBy("model", F.col("context").alias("gram")).agg(F.log(F.first("gamma")).alias("loggamma"))
         part = seen.unionByName(contexts.select("model", "gram", F.lit(None).cast("double").alias("logp"), "loggamma"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
 class Models:
-    """All models of ``estimate`` for the tasks: bounded tables, one for n-grams and one for contexts."""
+    """Models of ``estimate`` for a small training text, in dictionaries: what ``document_losses`` is held against."""
 
     def __init__(self, rows: list, order: int, vocabulary: int):
         self.order, self.floor = order, -math.log(vocabulary)
@@ -161,9 +160,98 @@ def trusted_sample(labels: DataFrame, condition: Column, rows: int, ident: str =
 
 
 def fit(texts: DataFrame, order: int, vocabulary: int, max_grams: int) -> Models:
-    """Models from rows (model, text). At most ``order * max_grams`` n-grams and contexts come to the driver."""
-    table = estimate(count_grams(texts, order), order, vocabulary, max_grams)
-    return Models([tuple(r) for r in table.collect()], order, vocabulary)
+    """Models from few rows (model, text), on the driver; an error if they have more than ``order * max_grams`` rows."""
+    rows = estimate(count_grams(texts, order), order, vocabulary).limit(order * max_grams + 1).collect()
+    if len(rows) > order * max_grams:
+        raise ValueError(f"more than {order * max_grams} n-grams and contexts; use document_losses")
+    return Models([tuple(r) for r in rows], order, vocabulary)
+
+
+def table_of(texts: DataFrame, order: int, vocabulary: int) -> DataFrame:
+    """The table of ``estimate`` from rows (model, text), stored."""
+    return materialise(estimate(count_grams(texts, order), order, vocabulary))
+
+
+def _priced(wanted: DataFrame, table: DataFrame, order: int, vocabulary: int) -> DataFrame:
+    """(model, gram, loss) of distinct rows (model, gram); null if the model has no text.
+
+    From single characters upwards: an n-gram has its own probability, or the loss of its suffix and the weight that
+    its context leaves to it. Each order is joined on (model, gram), (model, context) and (model, suffix).
+    """
+    p = table.where("logp is not null").select("model", "gram", "logp")
+    gamma = table.where("loggamma is not null").select("model", F.col("gram").alias("_context"), "loggamma")
+    levels = [wanted]
+    for _ in range(order - 1):
+        levels.append(levels[-1].select("model", F.substring("gram", 2, order).alias("gram")).distinct())
+    lower = None
+    for n, level in enumerate(reversed(levels), 1):
+        rows = (level.join(p.where(F.length("gram") == n), ["model", "gram"], "left")
+                .withColumn("_context", F.substring("gram", 1, n - 1))
+                .join(gamma.where(F.length("_context") == n - 1), ["model", "_context"], "left"))
+        if lower is None:
+            other = math.log(vocabulary) - F.col("loggamma")          # every model with text has the empty context
+        else:
+            rows = (rows.withColumn("_suffix", F.substring("gram", 2, order))
+                    .join(lower.select("model", F.col("gram").alias("_suffix"), "loss"), ["model", "_suffix"], "left"))
+            other = F.col("loss") - F.coalesce("loggamma", F.lit(0.0))
+        lower = materialise(rows.select("model", "gram", F.coalesce(-F.col("logp"), other).alias("loss")))
+    return lower
+
+
+def document_losses(docs: DataFrame, table: DataFrame, order: int, vocabulary: int, text: str = "text",
+                    under: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``_losses``: mean losses a character under the models ``under``, or under that in ``_model``.
+
+    Null without text or model. Documents are dealt by a hash in parts of about PART characters of one ``_model``. A
+    part asks for its distinct n-grams, which meet the sharded ``table`` in joins on (model, gram), and gets their
+    losses back; no table of n-grams passes through the driver, and a task holds those of one part.
+    """
+    has = F.coalesce(F.length(text), F.lit(0))
+    n = max(1, math.ceil((docs.agg(F.sum(has)).first()[0] or 0) / PART))
+    placed = docs.withColumns({"_model": F.lit("") if under else F.coalesce("_model", F.lit("")), "_part": F.pmod(
+        F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"]), F.lit(n)).cast("int")})
+    width = len(under) if under else 1
+
+    def ask(key, rows):
+        content = [t for t in rows.column(text).to_pylist() if t]
+        names = [grams(content[a:b], order)[1] for a, b in slices(content)]
+        names = pd.unique(np.concatenate(names).astype(object)) if names else []
+        return pa.table({"_model": pa.array([key[0].as_py()] * len(names), pa.string()),
+                         "_part": pa.array([key[1].as_py()] * len(names), pa.int32()), "gram": pa.array(names, pa.string())})
+
+    asked = materialise(placed.select("_model", "_part", F.col(text)).groupBy("_model", "_part").applyInArrow(
+        ask, "_model string, _part int, gram string"))
+    wanted = asked.select("_model", "gram").distinct()
+    if under:
+        wanted = wanted.select(F.explode(F.array(*[F.lit(m) for m in under])).alias("model"), "gram")
+    else:
+        wanted = wanted.withColumnRenamed("_model", "model")
+    priced = _priced(materialise(wanted), table, order, vocabulary)
+    if under:
+        each = [F.max(F.when(F.col("model") == m, F.col("loss"))).alias(f"_l{i}") for i, m in enumerate(under)]
+        told = asked.join(priced.groupBy("gram").agg(*each), "gram")
+    else:
+        told = asked.join(priced.select(F.col("model").alias("_model"), "gram", F.col("loss").alias("_l0")), ["_model", "gram"])
+
+    def score(rows, told):
+        texts = rows.column(text).to_pylist()
+        out = np.full((len(texts), width), np.nan)
+        known = pd.Index(told.column("gram").to_pandas().astype(object))
+        losses = np.column_stack([told.column(f"_l{i}").to_numpy().astype(float) for i in range(width)])
+        full = [i for i, t in enumerate(texts) if t]
+        content = [texts[i] for i in full]
+        for a, b in slices(content):
+            at, names = grams(content[a:b], order)
+            sizes = np.array([len(t) for t in content[a:b]])
+            own = losses[known.get_indexer(names.astype(object))][at]
+            out[full[a:b]] = np.add.reduceat(own, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+        lists = [[None if np.isnan(x) else float(x) for x in row] for row in out]
+        return rows.drop_columns(["_model", "_part"]).append_column("_losses", pa.array(lists, pa.list_(pa.float64())))
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_model")
+    told = told.select("_model", "_part", "gram", *[f"_l{i}" for i in range(width)])
+    return placed.groupBy("_model", "_part").cogroup(told.groupBy("_model", "_part")).applyInArrow(
+        score, f"{kinds}, _losses array<double>")
 
 
 def quantile(losses: DataFrame, key: str, loss: str, q: float, step: float = 0.001) -> DataFrame:
