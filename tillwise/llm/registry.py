@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwise.llm import (cross_entropy, grid, licenses, mixing, packing, quality, separators,
+from tillwise.llm import (cross_entropy, fim, grid, licenses, mixing, packing, quality, separators,
                           shingle_join, tool_calls, topk)
 
 QUERIES: dict = {}
@@ -106,6 +106,31 @@ def op4_shingle_jaccard_join(s, d):
     return shingle_join.shingle_components(table(s, d, "documents"), n=3, num=90, den=100)
 
 
+@query
+def op11_fill_in_middle(s, d):
+    made = fim.fill_in_middle(table(s, d, "documents"))
+    return made.select("doc.doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                       F.sha2("fim.output", 256).alias("output_sha256"),
+                       F.sha2(fim.restore("fim.output", "fim.form"), 256).alias("restored_sha256"))
+
+
+ORACLES["op11_fill_in_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x,
+                  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+h AS (SELECT *, len(w)::BIGINT AS n, ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(w[1:a], ''), '') AS prefix, coalesce(array_to_string(w[a + 1:b], ''), '') AS middle,
+             coalesce(array_to_string(w[b + 1:n], ''), '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p"""
+
+
 @query
 def pipeline(s, d):
     import corpus_pipeline
