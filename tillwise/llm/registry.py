@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwise.llm import (cross_entropy, fim, grid, licenses, mixing, packing, quality, separators,
+from tillwise.llm import (cross_entropy, fim, grid, importance, licenses, mixing, packing, quality, separators,
                           shingle_join, tool_calls, topk)
 
 QUERIES: dict = {}
@@ -131,6 +131,39 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT EN
        sha256(t) AS restored_sha256 FROM p"""
 
 
+@query
+def op12_importance_resampling(s, d):
+    drawn = importance.resample(table(s, d, "documents"), table(s, d, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# DuckDB has no CRC-32: its table is made here, and every distinct word is reduced byte by byte
+ORACLES["op12_importance_resampling"] = """
+WITH codes AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a % 2 = 1
+                      THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+words AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w, false AS goal FROM documents
+          UNION ALL
+          SELECT NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')), true FROM benchmark),
+bytes AS (SELECT w, list_transform(range(octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT) AS b
+          FROM (SELECT DISTINCT w FROM words)),
+hashed AS (SELECT w, xor(list_reduce(list_prepend(4294967295, b), lambda a, x: xor(t[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) % 10000 AS bucket
+           FROM bytes, codes),
+per AS (SELECT bucket, (count(*) FILTER (NOT goal))::DOUBLE AS s, (count(*) FILTER (goal))::DOUBLE AS t
+        FROM words JOIN hashed USING (w) GROUP BY bucket),
+whole AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM per),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain FROM per, whole),
+weights AS (SELECT doc_id, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE NOT goal GROUP BY doc_id),
+scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                  (('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+           FROM documents LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+                  count(*) OVER () * 10 // 100 AS drawn FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
 @query
 def pipeline(s, d):
     import corpus_pipeline
