@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwise.llm import (cross_entropy, fim, grid, importance, licenses, mixing, packing, quality, separators,
+from tillwise.llm import (cross_entropy, decontaminate, fim, grid, importance, licenses, mixing, packing, quality, separators,
                           shingle_join, tool_calls, topk)
 
 QUERIES: dict = {}
@@ -164,6 +164,30 @@ ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS ran
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
 
 
+@query
+def op13_benchmark_decontamination(s, d):
+    return decontaminate.decontaminate(table(s, d, "documents"), table(s, d, "benchmark"))
+
+
+ORACLES["op13_benchmark_decontamination"] = """
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+cut AS (SELECT item_id, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i + 1:i + 10], ' ') AS whole FROM cut),
+sizes AS (SELECT DISTINCT size FROM windows),
+runs AS (SELECT r, w, size, unnest(range(len(w) - size + 1)) AS start FROM split, sizes WHERE len(w) >= size),
+hits AS (SELECT r, start, size, item_id FROM runs JOIN windows USING (size) WHERE array_to_string(w[start + 1:start + size], ' ') = whole),
+places AS (SELECT DISTINCT r, unnest(range(start, start + size)) AS p FROM hits),
+hit AS (SELECT r, count(*) AS n_hit FROM places GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+          FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN hit USING (r) LEFT JOIN found USING (r)"""
+
+
 @query
 def pipeline(s, d):
     import corpus_pipeline
