@@ -156,3 +156,37 @@ def test_chunk_texts(spark):
     assert row["metadata"] == {"segment_name": "Champions", "cluster_id": "2"}
     with pytest.raises(ValueError):
         chunks.build_chunks({})
+
+
+def test_answers_of_all_intents(spark):
+    from tillwise.operators import answers
+    pictures = spark.createDataFrame([(z, f"{z}.png") for z in ("1", "41_A", "41_B")], "zone_id string, path string")
+    sold = spark.createDataFrame([("7", f"2024-01-0{i}", float(i), None if i == 3 else 2.0) for i in (3, 1, 2)],
+                                 "product_id string, date string, actual_sales double, predicted_sales double")
+    stock = spark.createDataFrame([("7", "A", "OK", 0)], "product_id string, abc_class string, decision string, recommended_order long")
+    asked = [(1, "sales_product_trend", "7", None), (2, "sales_product_trend", "8", None), (3, "sales_product_trend", None, None),
+             (4, "show_overlay", None, "41"), (5, "show_overlay", None, "41_B"), (6, "show_overlay", "7", None), (7, "show_overlay", None, "9"),
+             (8, "inventory_top", "7", "1"), (9, "discount_top", None, None), (10, "greeting", None, None), (11, "sales_top10", None, None),
+             (12, "unheard", None, None), (13, "sales_top10", "7", None)]
+    resolved = spark.createDataFrame(asked, "question_id long, intent string, product_id string, zone_id string")
+    got = {}
+    for r in sorted(answers.answer_rows(resolved, {"sales_forecast": sold, "overlays": pictures, "inventory_recommendations": stock}).collect(),
+                    key=lambda r: (r.question_id, r["rank"])):
+        got.setdefault(r.question_id, []).append((r.key, r.text))
+    assert got[1] == [(None, "Sales of product 7:"), ("2024-01-01", "actual 1.0, predicted 2.0"),
+                      ("2024-01-02", "actual 2.0, predicted 2.0"), ("2024-01-03", "actual 3.0, predicted unknown")]
+    assert got[2] == [(None, "There is no forecast of product 8.")] and got[3][0][1].startswith("Which product")
+    assert [k for k, _ in got[4]] == [None, "41_A", "41_B"] and got[5][1] == ("41_B", "41_B.png")
+    assert got[6] == [(None, "Which zone? For example: 1, 41_A, 41_B")] and got[7] == [(None, "There is no picture of zone 9.")]
+    assert got[8] == [(None, "No product has to be reordered.")] and got[9] == [(None, "The table discount_recommendations is missing.")]
+    assert len(got[10]) == 1 and got[11] == got[13] == [(None, "Products with the highest predicted demand:"), ("7", "predicted 4.0")]
+    assert got[12] == [(None, answers.HEADLINES["help"][1])]
+    with pytest.raises(ValueError):
+        answers.answer_table({})
+
+
+def test_context_of_null_conversations_and_turns(spark):
+    rows = [(None, 1, "a"), (None, 2, None), (1, None, "b"), (1, 1, None), (1, 2, "c"), (1, 3, None), (2, 1, None)]
+    got = routing.context_carry(spark.createDataFrame(rows, "conv_id long, turn long, product_id string"), ["product_id"], 2)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(None, 1, "a"), (None, 2, "a"), (1, None, "b"), (1, 1, None), (1, 2, "c"), (1, 3, "c"), (2, 1, None)], key=str)

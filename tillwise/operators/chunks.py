@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.functions.scale import materialise, running_total
 from tillwise.functions.scalars import grouped_number as num
 from tillwise.functions.scalars import plain_number as plain
 from tillwise.operators.inventory import join_inventory_discount
@@ -16,15 +17,21 @@ from tillwise.operators.reviews import last_n_months, top_n_per_group
 EMBED_DIM = 256
 
 
-def _chunk(df: DataFrame, source: str, text: list, **metadata: Column) -> DataFrame:
+#: the order of the sources in the index
+SOURCES = ["sales_forecast", "inventory", "segments", "review_topics", "review_insights", "review_keywords", "cv_foot_traffic"]
+
+
+def _chunk(df: DataFrame, source: str, text: list, weight: Column | None = None, **metadata: Column) -> DataFrame:
+    """Facts of one source. ``weight`` and then the first metadata value say in which order they are indexed."""
     parts = [F.lit(t) if isinstance(t, str) else t for t in text]
     pairs = [v for k, c in metadata.items() for v in (F.lit(k), c.cast("string"))]
-    return df.select(F.concat(*parts).alias("text"), F.lit(source).alias("source"),
-                     F.create_map(*pairs).alias("metadata"))
+    weight = F.lit(0.0) if weight is None else weight.cast("double")
+    return df.select(F.concat(*parts).alias("text"), F.lit(source).alias("source"), F.create_map(*pairs).alias("metadata"),
+                     F.struct(weight.alias("weight"), next(iter(metadata.values())).cast("string").alias("name")).alias("place"))
 
 
 def chunks_sales(forecast: DataFrame) -> DataFrame:
-    """One fact per product on its whole forecast window."""
+    """One fact per product on its whole forecast window; the best products come first."""
     per_product = forecast.groupBy("product_id").agg(
         F.coalesce(F.sum("predicted_sales"), F.lit(0.0)).alias("total"), F.avg("predicted_low").alias("low"),
         F.avg("predicted_high").alias("high"), F.count("*").alias("rows"),
@@ -34,7 +41,7 @@ def chunks_sales(forecast: DataFrame) -> DataFrame:
                   ["Sales forecast for product ", F.col("product_id"), ": predicted ", num("total"),
                    " in sales over ", F.col("rows").cast("string"), " periods, confidence range ", known("low", 0), "–",
                    known("high", 0), ". Most recent actual sales: ", known("latest", 1), "."],
-                  product_id=F.col("product_id"))
+                  weight=-F.bround("total", 0), product_id=F.col("product_id"))
 
 
 def chunks_inventory(inventory: DataFrame, discount: DataFrame) -> DataFrame:
@@ -56,7 +63,7 @@ def chunks_segments(segments: DataFrame) -> DataFrame:
                    " customers, average recency ", plain("avg_recency"),
                    " days since last purchase, average purchase frequency ", plain("avg_frequency", 1),
                    " orders, average spend £", num("avg_monetary", 2), "."],
-                  segment_name=F.col("segment_name"), cluster_id=F.col("cluster_id"))
+                  weight=F.col("cluster_id"), segment_name=F.col("segment_name"), cluster_id=F.col("cluster_id"))
 
 
 def chunks_review_topics(topics: DataFrame) -> DataFrame:
@@ -110,7 +117,11 @@ def chunks_traffic(traffic: DataFrame) -> DataFrame:
 # -- store --------------------------------------------------------------------------------------------
 
 def build_chunks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Facts of every table that is there, with a stable id."""
+    """Facts of every table that is there, in index order.
+
+    ``ordinal`` counts the facts of a source from 0, ``chunk_id`` those of all sources in the order of SOURCES; both
+    are dense, so no two facts share an id. The order comes from range partitions and their offsets.
+    """
     builders = [
         ("sales_forecast", lambda t: chunks_sales(t["sales_forecast"])),
         ("inventory_recommendations",
@@ -129,7 +140,13 @@ def build_chunks(tables: dict[str, DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("chunk_id", F.xxhash64("source", "text"))
+    rank = F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.col("source"))
+    numbered = running_total(out.withColumn("_rank", rank).withColumn("_one", F.lit(1)),
+                             [F.col("_rank").asc(), F.col("place").asc(), F.col("text").asc()], "_one", "_upto")
+    numbered = materialise(numbered.select("text", "source", "metadata", (F.col("_upto") - 1).cast("long").alias("chunk_id")))
+    first = numbered.groupBy("source").agg(F.min("chunk_id").alias("_first"))            # one row per source
+    return (numbered.join(F.broadcast(first), "source")
+            .select("text", "source", "metadata", "chunk_id", (F.col("chunk_id") - F.col("_first")).alias("ordinal")))
 
 
 def embed_model(texts: DataFrame, column: str = "text", dim: int = EMBED_DIM) -> PipelineModel:

@@ -218,7 +218,7 @@ def _rank(hits: DataFrame, top_k: int) -> DataFrame:
 
 
 def fetch_by_source(chunks: DataFrame, source: str, top_n: int = 5) -> DataFrame:
-    """First facts of one source in id order."""
+    """First facts of one source in index order, which their ids follow."""
     return chunks.where(F.col("source") == source).orderBy("chunk_id").limit(top_n)
 
 

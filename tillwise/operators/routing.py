@@ -320,9 +320,10 @@ def context_carry(questions: DataFrame, columns: list[str], turns_per_part: int
     before = Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     last = parts.groupBy("conv_id", "_part").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("turn"))).alias(c) for c in columns])
-    earlier = last.select("conv_id", "_part",
+    earlier = last.select(F.col("conv_id").alias("_conv"), F.col("_part").alias("_of"),
                           *[F.last(c, ignorenulls=True).over(before).alias(f"_before_{c}") for c in columns])
     carried = parts.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
-    return (carried.join(earlier, ["conv_id", "_part"])
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("_part").eqNullSafe(F.col("_of"))
+    return (carried.join(earlier, same)
             .withColumns({c: F.coalesce(c, f"_before_{c}") for c in columns})
-            .drop("_part", *[f"_before_{c}" for c in columns]))
+            .drop("_part", "_conv", "_of", *[f"_before_{c}" for c in columns]))

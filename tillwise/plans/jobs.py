@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scale import materialise
-from tillwise.operators import (chunks, cleaning, forecast, inventory, retrieval, reviews, routing, sales, segments,
+from tillwise.operators import (answers, chunks, cleaning, forecast, inventory, retrieval, reviews, routing, sales, segments,
                                 topics, traffic)
 
 
@@ -62,6 +62,23 @@ def build_index_job(tables: dict[str, DataFrame], dim: int = chunks.EMBED_DIM):
     return materialise(chunks.embed_text(facts, model)), model
 
 
+def carried_entities(questions: DataFrame, products: DataFrame, segment_names: list[str], zones: list[str] | None) -> DataFrame:
+    """Adds product_id, segment_name and zone_id as last mentioned in the conversation."""
+    named = routing.extract_product(questions, products)
+    named = routing.extract_zone(routing.extract_segment(named, segment_names), zones)
+    return routing.context_carry(named, ["product_id", "segment_name", "zone_id"])
+
+
+def answer_tables(questions: DataFrame, tables: dict[str, DataFrame], products: DataFrame, segment_names: list[str],
+                  zones: list[str] | None = None, similarity: str = "blocks") -> DataFrame:
+    """Questions -> table answers ``(conv_id, turn, intent, rank, key, text)``, rank 0 being the headline."""
+    intents = routing.intent_score(questions, similarity).select("conv_id", "turn", "intent")
+    ident = F.struct("conv_id", "turn").alias("question_id")
+    resolved = carried_entities(questions, products, segment_names, zones).join(intents, ["conv_id", "turn"])
+    rows = answers.answer_rows(resolved.select(ident, "intent", "product_id", "zone_id"), tables)
+    return rows.select("question_id.*", "intent", "rank", "key", "text")
+
+
 def answer_questions(questions: DataFrame, facts: DataFrame, model, products: DataFrame, segment_names: list[str],
                      zones: list[str] | None = None, top_k: int = 3, topic_n: int = 10, insight_n: int = 2,
                      product_n: int = 20) -> DataFrame:
@@ -103,9 +120,7 @@ def answer_questions(questions: DataFrame, facts: DataFrame, model, products: Da
     context = retrieval.answer_context(hits, asked)
     sources = retrieval.citations(hits)
 
-    entities = routing.extract_product(questions, products)
-    entities = routing.extract_zone(routing.extract_segment(entities, segment_names), zones)
-    entities = routing.context_carry(entities, ["product_id", "segment_name", "zone_id"])
+    entities = carried_entities(questions, products, segment_names, zones)
     intents = routing.intent_score(questions, "blocks").select("conv_id", "turn", "intent")
     return (routed.select("conv_id", "turn", "query_id", "visual", "route")
             .join(intents, ["conv_id", "turn"])

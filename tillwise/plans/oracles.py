@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 from tillwise.functions.words import AMBIGUOUS_WORDS, ENGLISH_STOPWORDS, INDUCTION_SEED, SERVICE_WORDS
-from tillwise.operators import routing, segments
+from tillwise.operators import answers, routing, segments
 from tillwise.operators.reviews import REVIEW_STOPWORDS
 from tillwise.sources.inputs import SAMPLE_QUESTIONS
 
@@ -415,6 +415,69 @@ CTES["plot_tokens"] = r"""
         (SELECT conv_id, turn, regexp_split_to_array(replace(upper(text), ',', ' '), '\s+') AS w FROM questions))"""
 CTES["known_segments"] = "SELECT DISTINCT segment_name FROM named"
 
+CTES["carried"] = """
+    SELECT conv_id, turn, last_value(product_id IGNORE NULLS) OVER w AS product_id,
+           last_value(zone_id IGNORE NULLS) OVER w AS zone_id
+    FROM products JOIN zoned_questions USING (conv_id, turn)
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+CTES["pictures"] = "SELECT DISTINCT zone_id, 'overlays/zone_' || zone_id || '.png' AS path FROM frames"
+_KNOWN = lambda c, digits: f"COALESCE(format('{{:.{digits}f}}', CAST({c} AS DOUBLE)), 'unknown')"
+CTES["answer_lists"] = f"""
+    SELECT 'sales_top10' AS intent, '' AS entity, row_number() OVER (ORDER BY t DESC, product_id) AS rank, product_id AS key,
+           'predicted ' || {_KNOWN('t', 1)} AS text FROM
+      (SELECT product_id, SUM(CAST(COALESCE(predicted_sales, 0) AS DECIMAL(18,4))) AS t FROM fc GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)
+    UNION ALL
+    SELECT 'sales_product_trend', product_id, row_number() OVER (PARTITION BY product_id ORDER BY date), CAST(date AS VARCHAR),
+           'actual ' || {_KNOWN('actual_sales', 1)} || ', predicted ' || {_KNOWN('predicted_sales', 1)} FROM fc
+    UNION ALL
+    SELECT 'inventory_top', '', row_number() OVER (ORDER BY product_id), product_id,
+           'order ' || format('{{:,}}', recommended_order) || ', class ' || abc_class FROM u_inv WHERE decision = 'REORDER'
+    QUALIFY row_number() OVER (ORDER BY product_id) <= 20
+    UNION ALL
+    SELECT 'discount_top', '', row_number() OVER (ORDER BY product_id), product_id, discount_rate || '% off, class ' || abc_class
+    FROM u_disc WHERE discount_action = 'DISCOUNT' QUALIFY row_number() OVER (ORDER BY product_id) <= 20
+    UNION ALL
+    SELECT 'reviews_keywords_' || sentiment, '', row_number() OVER (PARTITION BY sentiment ORDER BY score DESC, keyword), keyword,
+           {_KNOWN('score', 3)} FROM kw QUALIFY row_number() OVER (PARTITION BY sentiment ORDER BY score DESC, keyword) <= 15
+    UNION ALL
+    SELECT 'reviews_summary', '', row_number() OVER (ORDER BY date), CAST(date AS VARCHAR),
+           'rating ' || {_KNOWN('avg_rating', 2)} || ', ' || review_count || ' reviews' FROM trends
+    UNION ALL
+    SELECT 'segments_overview', '', row_number() OVER (ORDER BY customer_count DESC, segment_name), segment_name,
+           format('{{:,}}', customer_count) || ' customers, spend ' || {_KNOWN('avg_monetary', 2)} FROM named
+    UNION ALL
+    SELECT 'busiest_zones', '', row_number() OVER (ORDER BY max(people_count) DESC, zone_id), zone_id, 'peak ' || max(people_count)
+           || ', total ' || SUM(people_count) || ', mean ' || {_KNOWN('avg(people_count)', 2)} || ', ' || COUNT(*) || ' frames'
+    FROM frames GROUP BY zone_id QUALIFY row_number() OVER (ORDER BY max(people_count) DESC, zone_id) <= 15
+    UNION ALL
+    SELECT 'show_overlay', zone_id, 1, zone_id, path FROM pictures
+    UNION ALL
+    SELECT 'show_overlay', w, row_number() OVER (PARTITION BY w ORDER BY zone_id), zone_id, 'part: ' || path FROM
+      (SELECT *, regexp_extract(zone_id, '^(.+)_[^_]+$', 1) AS w FROM pictures)
+    WHERE w <> '' AND w NOT IN (SELECT zone_id FROM pictures)"""
+
+
+def _answers_sql() -> str:
+    """Headline and list of every question; needs the intents that come before."""
+    heads = []
+    for intent, (_, said, without) in answers.HEADLINES.items():
+        here = f"intent = '{intent}'"
+        fill = lambda line: f"replace({_quote(line)}, '{{}}', COALESCE(entity, ''))"
+        if intent in answers.ENTITY_OF:
+            names = "|| (SELECT string_agg(zone_id, ', ' ORDER BY zone_id) FROM (SELECT zone_id FROM pictures ORDER BY 1 LIMIT 10))"
+            heads.append((f"{here} AND entity IS NULL", _quote(answers.UNNAMED[intent]) + (names if intent == "show_overlay" else "")))
+        if without:
+            heads.append((f"{here} AND NOT EXISTS (FROM answer_lists l WHERE l.intent = asked.intent AND l.entity = asked.entity)", fill(without)))
+        heads.append((here, fill(said)))
+    head, last = _intent_sql().rsplit("SELECT conv_id, turn, CASE", 1)
+    return f"""{head.rstrip()}, scores AS (SELECT conv_id, turn, CASE{last}),
+        asked AS (SELECT conv_id, turn, intent, CASE intent WHEN 'sales_product_trend' THEN product_id
+                         WHEN 'show_overlay' THEN zone_id ELSE '' END AS entity FROM scores JOIN carried USING (conv_id, turn))
+        SELECT conv_id, turn, intent, CAST(0 AS INTEGER) AS rank, NULL::VARCHAR AS key, {_case(heads)} AS text FROM asked
+        UNION ALL
+        SELECT conv_id, turn, intent, CAST(rank AS INTEGER), key, text FROM asked JOIN answer_lists USING (intent, entity)"""
+
+
 _RAW = {
     "src_union_extracts": """SELECT invoice, stock_code, quantity, invoice_date, customer_id, CAST(sales AS DOUBLE) AS sales
                              FROM clean""",
@@ -725,6 +788,7 @@ _RAW = {
          (_contains_any(routing.PLOT_PHRASES), "'product_chart'"),
          (_contains_any(routing.RATING_PHRASES), "'rating_chart'")]) + " AS visual FROM questions",
     "intent_score": _intent_sql(),
+    "answer_tables": _answers_sql(),
     "extract_product": "SELECT conv_id, turn, product_id FROM products",
     "join_token_entity": """
         SELECT conv_id, turn, product_id FROM questions LEFT JOIN
@@ -749,6 +813,24 @@ _RAW = {
 }
 
 
+#: source -> (its facts, the order in which they are indexed); foot traffic is indexed by picture
+_INDEXED = {
+    "sales_forecast": (_RAW["chunks_sales"].replace("AS text,", "AS text, -round_even(COALESCE(SUM(predicted_sales), 0), 0) AS weight,"),
+                       "weight, product_id"),
+    "inventory": (_RAW["chunks_inventory"], "product_id"),
+    "segments": (_RAW["chunks_segments"], "CAST(cluster_id AS INT), segment_name"),
+    "review_topics": (_RAW["chunks_review_topics"], "sentiment"),
+    "review_insights": (_RAW["chunks_review_insights"], "date"),
+    "review_keywords": (_RAW["chunks_review_keywords"], "sentiment"),
+    "cv_foot_traffic": (_RAW["chunks_traffic"].replace("FROM visits", "FROM frames"), "zone_id"),
+}
+_RAW["index_facts"] = """SELECT CAST(row_number() OVER (ORDER BY s, ordinal) - 1 AS BIGINT) AS chunk_id, source, ordinal, text FROM (
+    """ + " UNION ALL ".join(f"""SELECT {i} AS s, source, CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) AS ordinal, text FROM ({sql})"""
+                             for i, (sql, order) in enumerate(_INDEXED.values())) + ")"
+_RAW["first_facts"] = """SELECT CAST(row_number() OVER (ORDER BY t DESC, product_id) - 1 AS BIGINT) AS ordinal, product_id FROM
+    (SELECT product_id, round_even(COALESCE(SUM(predicted_sales), 0), 0) AS t FROM fc GROUP BY 1) QUALIFY ordinal < 20"""
+
+
 def _build(sql: str) -> str:
     sql = sql.strip()
     if not sql.startswith(","):

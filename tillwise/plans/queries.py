@@ -101,12 +101,13 @@ def _keywords(s, d):
     return reviews.review_keywords(_labelled(s, d))
 
 
-def _topic_table(s, d):
+def _topic_table(s, d, labelled=None):
     """Reviews by sentiment and language in the shape of the topic table."""
+    labelled = _labelled(s, d) if labelled is None else labelled
     docs = inputs.table(s, d, "documents").select(F.col("doc_id").alias("id"), "lang")
     lang = F.col("lang")
     number = F.when(lang == "en", 0).when(lang == "fr", 1).when(lang == "de", 2).otherwise(3)
-    return (_labelled(s, d).select("id", "sentiment").join(docs, "id").groupBy("sentiment", "lang")
+    return (labelled.select("id", "sentiment").join(docs, "id").groupBy("sentiment", "lang")
             .agg(F.count("*").alias("review_count"))
             .select("sentiment", number.alias("topic_id"), F.concat(lang, F.lit(", text")).alias("top_words"),
                     "review_count", F.concat(F.lit("Theme "), lang).alias("theme")))
@@ -841,10 +842,11 @@ def chunks_traffic(s, d):
 
 def _tables(s, d) -> dict[str, DataFrame]:
     reorders, discounts = _decisions(s, d)
-    return {"sales_forecast": _forecast(s, d), "inventory_recommendations": reorders,
-            "discount_recommendations": discounts,
-            "customer_segments": segments.segment_names(_clustered(s, d)), "review_topics": _topic_table(s, d),
-            "review_insights": _trends(s, d), "review_keywords": _keywords(s, d), "cv_foot_traffic": _frames(s, d)}
+    forecasts, labelled = materialise(_forecast(s, d)), materialise(_labelled(s, d))        # read by several builders
+    return {"sales_forecast": forecasts, "inventory_recommendations": reorders, "discount_recommendations": discounts,
+            "customer_segments": segments.segment_names(_clustered(s, d)), "review_topics": _topic_table(s, d, labelled),
+            "review_insights": reviews.review_trends(labelled), "review_keywords": reviews.review_keywords(labelled),
+            "cv_foot_traffic": _frames(s, d)}
 
 
 @query
@@ -852,6 +854,18 @@ def build_chunks(s, d):
     return chunks.build_chunks(_tables(s, d)).groupBy("source").agg(F.count("*").alias("facts"))
 
 
+@query
+def index_facts(s, d):
+    return chunks.build_chunks(_tables(s, d)).select("chunk_id", "source", "ordinal", "text")
+
+
+@query
+def first_facts(s, d):
+    """The facts that answer top-product questions: those of the products with the highest prediction."""
+    facts = chunks.build_chunks({"sales_forecast": materialise(_forecast(s, d)), "cv_foot_traffic": _frames(s, d)})
+    return retrieval.fetch_by_source(facts, "sales_forecast", 20).select("ordinal", F.col("metadata")["product_id"].alias("product_id"))
+
+
 @query
 def embed_text(s, d):
     q = inputs.questions(s, d)
@@ -955,6 +969,16 @@ def context_carry(s, d):
         "conv_id", "turn", "product_id", "segment_name", "zone_id")
 
 
+def _overlays(s, d):
+    return _frames(s, d).select("zone_id", F.concat(F.lit("overlays/zone_"), F.col("zone_id"), F.lit(".png")).alias("path")).distinct()
+
+
+@query
+def answer_tables(s, d):
+    tables = {**_tables(s, d), "overlays": _overlays(s, d)}
+    return jobs.answer_tables(inputs.questions(s, d), tables, _products(s, d), segments.SEGMENT_NAMES, ZONES, "edit")
+
+
 @query
 def answer_questions(s, d):
     facts, model = jobs.build_index_job(_tables(s, d))

@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.scale import spread_small_scan
 
-# Sample questions, one set per kind of request.
+#: one or more questions for every kind of request
 SAMPLE_QUESTIONS = [
-    "what should I reorder?", "are my customers satisfied with my store?", "which zone is busiest?",
-    "plot product 1234", "show heatmap", "describe my customer segments", "what do customers love?",
-    "hi", "hello", "help", "what can you do", "top 10 products", "highest predicted sales",
-    "plot sales trend for product 1850", "actual vs predicted", "reorder list", "products running out",
-    "which products need discount", "promo recommendations", "review summary", "sentiment trend",
-    "top complaints", "most common problems", "refund issues", "top likes", "what customers like",
-    "customer orders", "dislike", "love", "customer segments", "who are my customers", "busiest zones",
-    "show overlay for zone 41a", "zone 41 B heatmap", "overlay for zone_2", "tell me about at risk customers",
-    "low engagement customers", "rating trend over time", "forecast for 1999 next week", "and its stock?",
+    "which articles must we replenish this week?", "is there a shortage anywhere?", "list everything we should reorder",
+    "are shoppers satisfied with the new shop?", "what is the overall feedback?", "how do customers feel about us?",
+    "where is foot traffic highest?", "give me the busiest zones of the day", "is zone 2 crowded?",
+    "draw a chart of product 1234", "sales trend of product 1850 please", "actual against predicted for product 77",
+    "display the heatmap of zone 41a", "overlay of zone_2", "zone 41 C heat map", "I want the overlay of zone 1",
+    "who belongs to the champion segment?", "tell me about at risk shoppers", "low engagement people", "rfm clusters",
+    "what do people love?", "most liked things", "the worst problems", "refund complaints", "any dislike?", "praise of the month",
+    "hello there", "hi", "help me", "what are your features", "top 10 by demand", "best products of all",
+    "highest predicted demand", "promo candidates", "what deserves a markdown", "rating trend by month", "review history",
+    "expected sales of 1999 next month", "and how much stock has it?", "does it need a discount?", "plot it",
 ]
 
 
