@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from check_oracles import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"elbow_inertias", "answer_questions"}      # many model fits; covered by their own tests
+SLOW = set()
 
 
 @pytest.fixture(scope="module")

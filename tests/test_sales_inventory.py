@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +191,28 @@ def test_forecast_job_keeps_the_best_products(spark):
     reorder, discount = jobs.inventory_job(table, stock)
     assert {r["product_id"]: r["decision"] for r in reorder.collect()} == {"big": "REORDER", "mid": "OK"}
     assert discount.where("discount_action = 'DISCOUNT'").count() == 1
+
+
+def test_kmeans_does_not_depend_on_the_partitions(spark):
+    rng = np.random.default_rng(11)
+    rows = [(f"c{i}", int(rng.integers(0, 400)), int(rng.integers(1, 30)), float(rng.integers(1, 10 ** 6)) / 100) for i in range(300)]
+    rows += [(f"d{i}", 5, 5, 5.0) for i in range(40)]                      # equal customers
+    kind = "customer_id string, recency long, frequency long, monetary double"
+    table = spark.createDataFrame(rows, kind)
+    found = [sorted(map(tuple, segments.rfm_kmeans(df, 5, starts=3).collect()))
+             for df in (table.coalesce(1), table.repartition(7), spark.createDataFrame(rows[::-1], kind))]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 340
+    costs = [r.inertia for r in segments.elbow_inertias(table, range(2, 9), starts=3).collect()]
+    assert len(costs) == 7 and costs[-1] < costs[0]
+    # every customer has the nearest of the centres, which are the means of their customers
+    points = {r.customer_id: np.array(r.point) for r in segments.scale_features(table).collect()}
+    members = {}
+    for r in found[0]:
+        members.setdefault(r[-1], []).append(points[r[0]])
+    centres = {c: np.mean(m, axis=0) for c, m in members.items()}
+    for r in found[0]:
+        far = {c: ((points[r[0]] - m) ** 2).sum() for c, m in centres.items()}
+        assert far[r[-1]] <= min(far.values()) * (1 + 1e-6)
+    flat = spark.createDataFrame([("a", 1, 1, 2.0), ("b", 1, 1, 2.0)], kind)
+    assert {r.cluster_id for r in segments.rfm_kmeans(flat, 2).collect()} == {0}
+    assert segments.rfm_kmeans(spark.createDataFrame([], kind), 2).count() == 0

@@ -8,7 +8,6 @@ of the next, and the window runs inside each partition.
 from __future__ import annotations
 
 import atexit
-import math
 import shutil
 import tempfile
 import uuid
@@ -57,12 +56,6 @@ def python_parallelism(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def right_sized(df: DataFrame, rows_per_partition: int = 20_000) -> DataFrame:
-    """Fewer partitions for a cached small table that many short jobs will read; counts it, which fills the cache."""
-    wanted = max(1, math.ceil(df.count() / rows_per_partition))
-    return df.coalesce(wanted)
-
-
 def spread_small_scan(df: DataFrame) -> DataFrame:
     """Spreads a scan that has fewer splits than the cluster has cores, ahead of work that is heavy per row.
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from datetime import datetime
+from decimal import Decimal
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.scale import right_sized
+from tillwise.functions.scale import materialise
 
 FEATURES = ["recency", "frequency", "monetary"]
 UNNAMED = "Low Engagement"
@@ -38,33 +38,110 @@ def rfm(clean: DataFrame, snapshot: datetime | None = None) -> DataFrame:
                     "frequency", "monetary"))
 
 
-def scale_features(customers: DataFrame) -> DataFrame:
-    """Adds ``features``: the three measures, centred and scaled."""
-    raw = VectorAssembler(inputCols=FEATURES, outputCol="_raw").transform(customers)
-    scaler = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)
-    return scaler.fit(raw).transform(raw).drop("_raw")
+#: one standard deviation in the whole numbers that distances are computed with, and the furthest a value may be out
+UNIT, FAR = 100_000, 800_000_000
+CANDIDATES = 8              # customers drawn per start and cluster, of which seeds are chosen
+MAX_STEPS = 60
 
 
-def _fits(scaled: DataFrame, ks, starts: int, seed: int) -> dict[int, KMeansModel]:
-    """Cheapest of several k-means fits per k. The fits differ only in k and seed and run side by side."""
-    def fit(job: tuple[int, int]):
-        k, i = job
-        model = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster_id").fit(scaled)
-        return model.summary.trainingCost, k, model
+def scale_features(customers: DataFrame) -> DataFrame:
+    """Adds ``point``: the three measures centred and scaled, in whole UNITs, so that sums and distances are exact.
 
-    scaled = right_sized(scaled)
-    with ThreadPoolExecutor(8) as pool:
-        fits = list(pool.map(fit, [(k, i) for k in ks for i in range(starts)]))
-    return {k: min((f for f in fits if f[1] == k), key=lambda f: f[0])[2] for k in ks}
+    A value further out than FAR counts as that far; a measure without spread counts as its mean.
+    """
+    stats = customers.agg(*[f(F.col(c).cast("double")).alias(n + c) for c in FEATURES for n, f in (("m", F.avg), ("s", F.stddev_pop))])
+    row = stats.first()                                     # six numbers
+    def scaled(c):
+        spread = row["s" + c] or 0.0
+        z = (F.col(c) - row["m" + c]) / spread if spread > 0 else F.lit(0.0)
+        return F.coalesce(F.greatest(F.least(F.round(z * UNIT), F.lit(FAR)), F.lit(-FAR)), F.lit(0)).cast("long")
+    return customers.withColumn("point", F.array(*[scaled(c) for c in FEATURES]))
+
+
+def _seeds(points: DataFrame, ks, starts: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """(k, start) -> k seeds. A start draws CANDIDATES * k customers by the hash of their id and takes, from the first
+    on, always the one furthest from those taken; so row count, order and partitions play no part."""
+    many = CANDIDATES * max(ks)
+    ident = F.concat_ws(":", F.lit(seed), F.col("start").cast("string"), F.col("customer_id").cast("string"))
+    drawn = points.select("customer_id", "point", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))).alias("start"))
+    place = F.row_number().over(Window.partitionBy("start").orderBy("h", "customer_id"))    # tasks cut their share first
+    drawn = drawn.withColumn("h", F.md5(ident)).withColumn("place", place).where(F.col("place") <= many)
+    found: dict[int, list] = {}
+    for r in drawn.select("start", "place", "point").collect():                             # starts * many rows
+        found.setdefault(r.start, []).append((r.place, r.point))
+    out = {}
+    for start, rows in found.items():
+        candidates = np.array([p for _, p in sorted(rows)], np.int64)
+        for k in ks:
+            own, taken = candidates[:CANDIDATES * k], [0]
+            while len(taken) < k:
+                taken.append(int(((own[:, None] - own[taken]) ** 2).sum(2).min(1).argmax()))
+            out[k, start] = own[taken]
+    return out
+
+
+def _step(points: DataFrame, models: list[np.ndarray]) -> list[tuple[list, list, int]]:
+    """One scan for all models: counts and sums of every cluster, and the sum of squared distances of every model."""
+    ends = np.cumsum([len(m) for m in models])
+    centres = np.concatenate(models)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums, cost = np.zeros(len(centres), np.int64), np.zeros((len(centres), 3), np.int64), [0] * len(models)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy().reshape(-1, 3)
+            for at in range(0, len(flat), 2048):
+                own = flat[at:at + 2048]
+                far = ((own[:, None] - centres) ** 2).sum(2)
+                for i, (begin, end) in enumerate(zip(np.append(0, ends), ends)):
+                    best = far[:, begin:end].argmin(1)
+                    least = far[np.arange(len(own)), begin + best]
+                    np.add.at(n, begin + best, 1)
+                    np.add.at(sums, begin + best, own)
+                    cost[i] += (int((least >> 32).sum()) << 32) + int((least & 0xFFFFFFFF).sum())
+        model = np.repeat(np.arange(len(models)), [len(m) for m in models])
+        first = np.append(0, ends[:-1])
+        shown = [Decimal(cost[m]) if c == first[m] else Decimal(0) for c, m in enumerate(model)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(centres))), pa.array(n), *[pa.array(s) for s in sums.T], pa.array(shown, pa.decimal128(38, 0))],
+            ["c", "n", "x", "y", "z", "cost"])
+
+    parts = points.select("point").mapInArrow(totals, "c long, n long, x long, y long, z long, cost decimal(38,0)")
+    rows = sorted(parts.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("n", "x", "y", "z", "cost")]).collect())     # one per centre
+    out = []
+    for begin, end in zip(np.append(0, ends), ends):
+        own = rows[begin:end]
+        out.append(([r.n for r in own], [(r.x, r.y, r.z) for r in own], int(sum(r.cost for r in own))))
+    return out
+
+
+def _fits(points: DataFrame, ks, starts: int, seed: int) -> dict[int, tuple[int, np.ndarray]]:
+    """k -> (squared distances, centres) of the cheapest of ``starts`` runs of Lloyd's algorithm.
+
+    All k and starts move together, one scan a step, until no centre moves or after MAX_STEPS steps. Whole numbers
+    throughout: the result does not depend on how the rows lie. Of equal runs the first start wins.
+    """
+    open_ = _seeds(points, ks, starts, seed)
+    done: dict[int, tuple[int, int, np.ndarray]] = {}
+    for step in range(MAX_STEPS + 1):
+        if not open_:
+            break
+        keys = sorted(open_)
+        moved = {}
+        for key, (n, sums, cost) in zip(keys, _step(points, [open_[k] for k in keys])):
+            old = open_[key]
+            new = np.array([[(2 * s + m) // (2 * m) for s in xyz] if m else c for m, xyz, c in zip(n, sums, old.tolist())], np.int64)
+            if step < MAX_STEPS and (new != old).any():
+                moved[key] = new
+            else:
+                done[key[0]] = min(done.get(key[0], (cost, key[1], old)), (cost, key[1], old), key=lambda f: f[:2])
+        open_ = moved
+    return {k: (cost, centres) for k, (cost, _, centres) in done.items()}
 
 
 def elbow_inertias(customers: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
-    """Rows ``(k, inertia)``."""
-    scaled = scale_features(customers).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [(k, float(m.summary.trainingCost)) for k, m in _fits(scaled, ks, starts, seed).items()]
-    finally:
-        scaled.unpersist()
+    """Rows ``(k, inertia)``: squared distances in standard deviations to the nearest of k centres."""
+    points = materialise(scale_features(customers).select("customer_id", "point"))      # one scan a step
+    rows = [(k, cost / UNIT ** 2) for k, (cost, _) in sorted(_fits(points, list(ks), starts, seed).items())]
     return customers.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
@@ -82,21 +159,40 @@ def rfm_kmeans(customers: DataFrame, k: int | None = None, starts: int = 10, see
     """Customers with ``cluster_id``; ``k=None`` picks it by the elbow."""
     if k is None:
         k = elbow_k(elbow_inertias(customers, starts=starts, seed=seed)).first()["k"]
-    scaled = scale_features(customers).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = _fits(scaled.select("features"), [k], starts, seed)[k]
-    finally:
-        scaled.unpersist()
-    return model.transform(scaled).drop("features")
+    points = materialise(scale_features(customers))
+    fits = _fits(points.select("customer_id", "point"), [k], starts, seed)
+    if k not in fits:                                                                   # no customers
+        return points.drop("point").withColumn("cluster_id", F.lit(None).cast("int"))
+    far = F.array(*[_squared([F.lit(int(x)) for x in centre]) for centre in fits[k][1]])
+    return points.withColumn("cluster_id", (F.array_position(far, F.array_min(far)) - 1).cast("int")).drop("point")
+
+
+def _squared(other: list) -> Column:
+    """Squared distance of ``point``."""
+    return reduce(lambda a, b: a + b, [(F.get("point", F.lit(i)) - x) * (F.get("point", F.lit(i)) - x) for i, x in enumerate(other)])
 
 
 def cluster_quality(clustered: DataFrame) -> DataFrame:
-    """Silhouette of the clustering with the size of every cluster."""
-    scaled = scale_features(clustered)
-    score = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id",
-                                metricName="silhouette").evaluate(scaled)
-    return (clustered.groupBy("cluster_id").agg(F.count("*").alias("customer_count"))
-            .withColumn("silhouette", F.lit(float(score))))
+    """Mean silhouette (squared distances) of the clustering with the size of every cluster.
+
+    The mean squared distance to a cluster follows from its size, centre and mean square, so one scan of sums and one
+    of customers are enough. A customer alone in its cluster counts 0.
+    """
+    points = materialise(scale_features(clustered).select("cluster_id", F.transform("point", lambda x: x.cast("double") / UNIT).alias("point")))
+    coordinate = [F.get("point", F.lit(i)) for i in range(3)]
+    square = reduce(lambda a, b: a + b, [x * x for x in coordinate])
+    per = materialise(points.groupBy("cluster_id").agg(F.count("*").alias("n"), F.avg(square).alias("q"),
+                                                       *[F.avg(x).alias(f"m{i}") for i, x in enumerate(coordinate)]))
+    listed = per.agg(F.sort_array(F.collect_list(F.struct("cluster_id", "n", "q", "m0", "m1", "m2")))).scalar()      # one per cluster
+    far = F.transform("_all", lambda c: F.struct(
+        (square + c["q"] - 2 * reduce(lambda a, b: a + b, [x * c[f"m{i}"] for i, x in enumerate(coordinate)])).alias("d"),
+        c["cluster_id"].alias("c"), c["n"].alias("n")))
+    seen = points.withColumn("_all", listed).withColumn("_far", far)
+    own = F.element_at(F.filter("_far", lambda f: f["c"] == F.col("cluster_id")), 1)
+    other = F.array_min(F.transform(F.filter("_far", lambda f: f["c"] != F.col("cluster_id")), lambda f: f["d"]))
+    seen = seen.select(own.alias("own"), other.alias("b")).withColumn("a", F.try_divide(F.col("own.d") * F.col("own.n"), F.col("own.n") - 1))
+    score = F.when((F.col("own.n") > 1) & (F.greatest("a", "b") > 0), (F.col("b") - F.col("a")) / F.greatest("a", "b")).otherwise(0.0)
+    return per.select("cluster_id", F.col("n").alias("customer_count"), seen.agg(F.avg(score)).scalar().alias("silhouette"))
 
 
 def cluster_means(clustered: DataFrame) -> DataFrame:

@@ -813,6 +813,54 @@ _RAW = {
 }
 
 
+# Lloyd's algorithm in whole numbers, all (start, k) side by side; a run leaves the recursion when no centre moves.
+_D2 = "(a[1] - b[1]) * (a[1] - b[1]) + (a[2] - b[2]) * (a[2] - b[2]) + (a[3] - b[3]) * (a[3] - b[3])"
+_FAR = "list_transform(centres, lambda b: " + _D2.replace("a[", "p[") + ")"
+CTES["km_points"] = "SELECT customer_id, [" + ", ".join(
+    f"CAST(round(CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE 0 END * {segments.UNIT}) AS BIGINT)" for i, c in enumerate(segments.FEATURES)
+) + "] AS p FROM rfm, (SELECT " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_pop(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(segments.FEATURES)) + " FROM rfm)"
+CTES["km_drawn"] = f"""
+    SELECT s, list(p ORDER BY h, customer_id) AS drawn FROM
+      (SELECT s, p, customer_id, md5('42:' || s || ':' || customer_id) AS h FROM km_points, range(10) r(s)
+       QUALIFY row_number() OVER (PARTITION BY s ORDER BY md5('42:' || s || ':' || customer_id), customer_id) <= {8 * segments.CANDIDATES})
+    GROUP BY s"""
+CTES["km_seeds"] = f"""
+    WITH RECURSIVE seeded AS (
+      SELECT s, k, drawn[1:{segments.CANDIDATES} * k] AS own, [drawn[1]] AS centres FROM km_drawn, range(2, 9) r(k)
+      UNION ALL
+      SELECT s, k, own, list_append(centres, own[list_position(far, list_max(far))]) FROM
+        (SELECT *, list_transform(own, lambda a: list_min(list_transform(centres, lambda b: {_D2}))) AS far FROM seeded WHERE len(centres) < k))
+    SELECT s, k, centres FROM seeded WHERE len(centres) = k"""
+CTES["km_runs"] = f"""
+    WITH RECURSIVE runs AS (
+      SELECT 0 AS step, s, k, centres, TRUE AS moved FROM km_seeds
+      UNION ALL
+      SELECT step + 1, s, k, fresh, fresh <> centres FROM
+        (SELECT step, s, k, centres, list_transform(range(1, k + 1), lambda c: COALESCE(found[c], centres[c])) AS fresh FROM
+          (SELECT step, s, k, centres, map(list(c), list(centre)) AS found FROM
+            (SELECT step, s, k, centres, c, [{', '.join(f'CAST(floor((2 * SUM(p[{i}]) + COUNT(*)) / (2.0 * COUNT(*))) AS BIGINT)' for i in (1, 2, 3))}] AS centre
+             FROM (SELECT runs.*, p, list_position({_FAR}, list_min({_FAR})) AS c FROM runs, km_points WHERE moved AND step < {segments.MAX_STEPS})
+             GROUP BY step, s, k, centres, c)
+           GROUP BY step, s, k, centres)))
+    SELECT s, k, arg_max(centres, step) AS centres FROM runs GROUP BY s, k"""
+CTES["km_costs"] = f"SELECT s, k, centres, SUM(list_min({_FAR})) AS cost FROM km_runs, km_points GROUP BY s, k, centres"
+CTES["km_best"] = "SELECT k, cost, centres FROM km_costs QUALIFY row_number() OVER (PARTITION BY k ORDER BY cost, s) = 1"
+CTES["km_four"] = f"""
+    SELECT customer_id, p, CAST(list_position({_FAR}, list_min({_FAR})) - 1 AS INTEGER) AS cluster_id
+    FROM km_points, km_best WHERE k = 4"""
+_RAW["rfm_kmeans"] = """SELECT customer_id, recency, frequency, round_even(monetary, 2) AS monetary, cluster_id
+                        FROM rfm JOIN km_four USING (customer_id)"""
+_RAW["elbow_inertias"] = f"SELECT CAST(k AS INTEGER) AS k, round_even(CAST(cost AS DOUBLE) / {segments.UNIT}e0 / {segments.UNIT}, 2) AS inertia FROM km_best"
+_RAW["cluster_quality"] = f"""
+    , pairs AS (SELECT a.customer_id, a.cluster_id AS own, b.cluster_id AS c, COUNT(*) AS n,
+                       SUM({_D2.replace('a[', 'a.p[').replace('b[', 'b.p[')}) AS d FROM km_four a, km_four b GROUP BY 1, 2, 3),
+    near AS (SELECT customer_id, max(CASE WHEN own = c THEN CAST(d AS DOUBLE) / nullif(n - 1, 0) END) AS a,
+                    min(CASE WHEN own <> c THEN CAST(d AS DOUBLE) / n END) AS b FROM pairs GROUP BY 1)
+    SELECT cluster_id, COUNT(*) AS customer_count,
+           (SELECT round_even(avg(COALESCE((b - a) / nullif(greatest(a, b), 0), 0)), 4) FROM near) AS silhouette
+    FROM km_four GROUP BY 1"""
+
 #: source -> (its facts, the order in which they are indexed); foot traffic is indexed by picture
 _INDEXED = {
     "sales_forecast": (_RAW["chunks_sales"].replace("AS text,", "AS text, -round_even(COALESCE(SUM(predicted_sales), 0), 0) AS weight,"),
