@@ -266,6 +266,10 @@ def test_quality_and_cross_entropy(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odd = quality.Classifier(docs(spark), none)
     assert sorted(r.doc_id or -1 for r in odd.kept(docs(spark)).collect()) == [-1, 1, 1, 2, 5, 6, 7]
+    clash = docs(spark).withColumns({c: F.lit(1) for c in ("_id", "limit", "h1", "_lang", "_model", "a.b")})
+    same = quality.Classifier(clash, none).kept(clash)
+    assert same.columns == clash.columns and same.count() == 7
+    assert cross_entropy.score_documents(clash, spark.createDataFrame([(1,)], "doc_id long")).count() == len(ODD)
     assert odd.decisions().count() == len(ODD) and quality.Classifier(docs(spark, []), none).kept(docs(spark, [])).count() == 0
     scored = cross_entropy.score_documents(docs(spark), spark.createDataFrame([(1,), (None,)], "doc_id long")).collect()
     assert len(scored) == len(ODD) and all(r.score is None for r in scored if r.n_tokens == 0)
@@ -322,6 +326,6 @@ def test_rare_n_grams_of_large_texts_are_kept(spark):
     judged = quality.Classifier(spark.createDataFrame(named, "doc_id long, text string, lang string"),
                                 spark.createDataFrame([(i, 1) for i in range(1, 5)], "doc_id long, quality int"))
     halves = {r.doc_id: r.h for r in table.select("doc_id", quality._half("text").alias("h")).collect()}
-    for r in judged.scores.where("chars > 0").collect():
+    for r in judged.scores.where("chars > 0").withColumnRenamed("id", "doc_id").collect():
         other = [t for i, t in rows[:4] if halves[i] != halves[r.doc_id]]
         assert (r.loss is None) if not other else r.loss == pytest.approx(plain_losses(other, [rows[r.doc_id - 1][1]])[0])

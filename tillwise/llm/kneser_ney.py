@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scale import materialise
+from tillwise.llm.tables import discard
 
 PAD = "\x02"            # stands before a text
 SLICE = 2_000_000       # characters looked at together
@@ -83,34 +84,37 @@ def _discounted(level: DataFrame) -> DataFrame:
                                                             .otherwise(F.col("d3"))))
 
 
-def estimate(counts: DataFrame, order: int, vocabulary: int) -> DataFrame:
-    """(model, gram, context, logp, loggamma): one row a seen n-gram or context of each order.
+def estimate(counts: DataFrame, order: int, vocabulary: int) -> list[DataFrame]:
+    """For each order from 1 the stored rows (model, gram, context, p, gamma) of all n-grams seen.
 
     The highest order uses counts, the lower ones in how many contexts an n-gram follows. The tables of the orders
     are joined on (model, context) for the discounted mass and on (model, suffix) for the lower order, both sharded
-    by these keys. Every n-gram of every order is kept, so the table grows with the input and stays sharded.
+    by these keys. Every n-gram of every order is kept, so the tables grow with the input and stay sharded; the counts
+    behind them are deleted as soon as an order is done.
     """
     levels = [materialise(counts)]
     for _ in range(order - 1):
         levels.append(materialise(levels[-1].groupBy("model", F.substring("gram", 2, order).alias("gram"))
                                   .agg(F.count("*").alias("n"))))
-    lower, out = None, None
+    done: list[DataFrame] = []
     for n, level in enumerate(reversed(levels), 1):
         rows = _discounted(level).withColumn("context", F.substring("gram", 1, n - 1))
         per = rows.groupBy("model", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("gamma"))
         rows = rows.join(per, ["model", "context"])
-        if lower is None:
+        if not done:
             rows = rows.withColumn("below", F.lit(1.0 / vocabulary))
         else:
-            suffix = lower.select("model", F.col("gram").alias("_suffix"), F.col("p").alias("below"))
+            suffix = done[-1].select("model", F.col("gram").alias("_suffix"), F.col("p").alias("below"))
             rows = (rows.withColumn("_suffix", F.substring("gram", 2, order)).join(suffix, ["model", "_suffix"]))
         p = (F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("below")
-        lower = materialise(rows.select("model", "gram", "context", "n", p.alias("p"), "gamma"))
-        seen = lower.select("model", "gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("loggamma"))
-        contexts = lower.groupBy("model", F.col("context").alias("gram")).agg(F.log(F.first("gamma")).alias("loggamma"))
-        part = seen.unionByName(contexts.select("model", "gram", F.lit(None).cast("double").alias("logp"), "loggamma"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        done.append(materialise(rows.select("model", "gram", "context", p.alias("p"), "gamma")))
+        discard(level)
+    return done
+
+
+def contexts(level: DataFrame) -> DataFrame:
+    """(model, context, gamma) of an order, each context once."""
+    return level.groupBy("model", "context").agg(F.first("gamma").alias("gamma"))
 
 
 class Models:
@@ -161,56 +165,65 @@ def trusted_sample(labels: DataFrame, condition: Column, rows: int, ident: str =
 
 def fit(texts: DataFrame, order: int, vocabulary: int, max_grams: int) -> Models:
     """Models from few rows (model, text), on the driver; an error if they have more than ``order * max_grams`` rows."""
-    rows = estimate(count_grams(texts, order), order, vocabulary).limit(order * max_grams + 1).collect()
+    rows = []
+    for level in estimate(count_grams(texts, order), order, vocabulary):
+        none = F.lit(None).cast("double")
+        rows += level.select("model", "gram", F.log("p"), none).limit(order * max_grams + 1).collect()
+        rows += contexts(level).select("model", "context", none, F.log("gamma")).limit(order * max_grams + 1).collect()
     if len(rows) > order * max_grams:
         raise ValueError(f"more than {order * max_grams} n-grams and contexts; use document_losses")
     return Models([tuple(r) for r in rows], order, vocabulary)
 
 
-def table_of(texts: DataFrame, order: int, vocabulary: int) -> DataFrame:
-    """The table of ``estimate`` from rows (model, text), stored."""
-    return materialise(estimate(count_grams(texts, order), order, vocabulary))
+def table_of(texts: DataFrame, order: int, vocabulary: int) -> list[DataFrame]:
+    """The tables of ``estimate`` from rows (model, text)."""
+    return estimate(count_grams(texts, order), order, vocabulary)
 
 
-def _priced(wanted: DataFrame, table: DataFrame, order: int, vocabulary: int) -> DataFrame:
+def _priced(wanted: DataFrame, tables: list[DataFrame], order: int, vocabulary: int) -> DataFrame:
     """(model, gram, loss) of distinct rows (model, gram); null if the model has no text.
 
     From single characters upwards: an n-gram has its own probability, or the loss of its suffix and the weight that
-    its context leaves to it. Each order is joined on (model, gram), (model, context) and (model, suffix).
+    its context leaves to it. Each order is joined on (model, gram), (model, context) and (model, suffix), and deleted
+    when the next one is there.
     """
-    p = table.where("logp is not null").select("model", "gram", "logp")
-    gamma = table.where("loggamma is not null").select("model", F.col("gram").alias("_context"), "loggamma")
     levels = [wanted]
     for _ in range(order - 1):
         levels.append(levels[-1].select("model", F.substring("gram", 2, order).alias("gram")).distinct())
     lower = None
-    for n, level in enumerate(reversed(levels), 1):
-        rows = (level.join(p.where(F.length("gram") == n), ["model", "gram"], "left")
-                .withColumn("_context", F.substring("gram", 1, n - 1))
-                .join(gamma.where(F.length("_context") == n - 1), ["model", "_context"], "left"))
+    for n, (level, table) in enumerate(zip(reversed(levels), tables), 1):
+        p = table.select("model", "gram", F.log("p").alias("logp"))
+        gamma = contexts(table).select("model", F.col("context").alias("_context"), F.log("gamma").alias("loggamma"))
+        rows = (level.join(p, ["model", "gram"], "left").withColumn("_context", F.substring("gram", 1, n - 1))
+                .join(gamma, ["model", "_context"], "left"))
         if lower is None:
             other = math.log(vocabulary) - F.col("loggamma")          # every model with text has the empty context
         else:
             rows = (rows.withColumn("_suffix", F.substring("gram", 2, order))
                     .join(lower.select("model", F.col("gram").alias("_suffix"), "loss"), ["model", "_suffix"], "left"))
             other = F.col("loss") - F.coalesce("loggamma", F.lit(0.0))
-        lower = materialise(rows.select("model", "gram", F.coalesce(-F.col("logp"), other).alias("loss")))
+        previous, lower = lower, materialise(rows.select("model", "gram", F.coalesce(-F.col("logp"), other).alias("loss")))
+        if previous is not None:
+            discard(previous)
     return lower
 
 
-def document_losses(docs: DataFrame, table: DataFrame, order: int, vocabulary: int, text: str = "text",
-                    under: list[str] | None = None) -> DataFrame:
+def document_losses(docs: DataFrame, tables: list[DataFrame], order: int, vocabulary: int, text: str = "text",
+                    under: list[str] | None = None, stored: list[DataFrame] | None = None) -> DataFrame:
     """``docs`` with ``_losses``: mean losses a character under the models ``under``, or under that in ``_model``.
 
-    Null without text or model. Documents are dealt by a hash in parts of about PART characters of one ``_model``. A
-    part asks for its distinct n-grams, which meet the sharded ``table`` in joins on (model, gram), and gets their
-    losses back; no table of n-grams passes through the driver, and a task holds those of one part.
+    Null without text or model. The documents of each ``_model`` are dealt by a hash in parts of about PART characters.
+    A part asks for its distinct n-grams, which meet the sharded ``tables`` in joins on (model, gram), and gets their
+    losses back; no table of n-grams passes through the driver, and a task holds those of one part. Tables that are of
+    no use once the result has been stored are added to ``stored``.
     """
     has = F.coalesce(F.length(text), F.lit(0))
-    n = max(1, math.ceil((docs.agg(F.sum(has)).first()[0] or 0) / PART))
-    placed = docs.withColumns({"_model": F.lit("") if under else F.coalesce("_model", F.lit("")), "_part": F.pmod(
-        F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"]), F.lit(n)).cast("int")})
-    width = len(under) if under else 1
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"])
+    placed = docs.withColumns({"_model": F.lit("") if under else F.coalesce("_model", F.lit("")), "_row": row})
+    parts = placed.groupBy("_model").agg(F.ceil(F.greatest(F.sum(has), F.lit(1)) / PART).alias("_parts"))
+    parts = materialise(parts)                                       # one row a model
+    placed = placed.join(parts, "_model").withColumn("_part", F.pmod("_row", "_parts").cast("int")).drop("_row", "_parts")
+    width, kept = len(under) if under else 1, [f.name for f in docs.schema if f.name != "_model"]
 
     def ask(key, rows):
         content = [t for t in rows.column(text).to_pylist() if t]
@@ -226,7 +239,11 @@ def document_losses(docs: DataFrame, table: DataFrame, order: int, vocabulary: i
         wanted = wanted.select(F.explode(F.array(*[F.lit(m) for m in under])).alias("model"), "gram")
     else:
         wanted = wanted.withColumnRenamed("_model", "model")
-    priced = _priced(materialise(wanted), table, order, vocabulary)
+    wanted = materialise(wanted)
+    priced = _priced(wanted, tables, order, vocabulary)
+    discard(wanted)
+    if stored is not None:
+        stored += [asked, priced, parts]
     if under:
         each = [F.max(F.when(F.col("model") == m, F.col("loss"))).alias(f"_l{i}") for i, m in enumerate(under)]
         told = asked.join(priced.groupBy("gram").agg(*each), "gram")
@@ -246,7 +263,7 @@ def document_losses(docs: DataFrame, table: DataFrame, order: int, vocabulary: i
             own = losses[known.get_indexer(names.astype(object))][at]
             out[full[a:b]] = np.add.reduceat(own, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
         lists = [[None if np.isnan(x) else float(x) for x in row] for row in out]
-        return rows.drop_columns(["_model", "_part"]).append_column("_losses", pa.array(lists, pa.list_(pa.float64())))
+        return rows.select(kept).append_column("_losses", pa.array(lists, pa.list_(pa.float64())))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_model")
     told = told.select("_model", "_part", "gram", *[f"_l{i}" for i in range(width)])
