@@ -93,7 +93,7 @@ def test_tool_calls(spark):
     results = [(1, 5, "a", "r1"), (1, 4, "a", "r0"), (3, 1, "z", None)]
     got = tool_calls.link_tool_calls(
         spark.createDataFrame(calls, kind), spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string"),
-        {"f": {"type": "object", "properties": {"x": {"type": "string"}}, "required": ["x"]}}, max_depth=4).collect()
+        {"f": {"type": "object", "properties": {"x": {"type": "string"}}, "required": ["x"]}}).collect()
     by = {(r.conv_id, r.call_id, r.turn): r for r in got}
     assert len(got) == 8
     assert [by[1, c, t].position for c, t in (("b", 2), ("c", 3), ("a", 1), ("c", 4))] == [0, 1, 2, 3]
@@ -107,6 +107,46 @@ def test_tool_calls(spark):
     assert all(json.loads(r.json) for r in got)
 
 
+def test_circles_do_not_touch_chains(spark):
+    kind = "conv_id long, turn long, call_id string, name string, arguments string, after array<string>"
+    chain = [(1, i, f"c{i}", "f", "{}", [f"c{i + 1}"] if i < 24 else []) for i in range(25)]
+    circle = [(2, 0, "a", "f", "{}", ["b"]), (2, 1, "b", "f", "{}", ["a"]), (2, 2, "late", "f", "{}", ["a"]), (2, 3, "free", "f", "{}", [])]
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    got = tool_calls.link_tool_calls(spark.createDataFrame(chain + circle, kind), results, {"f": {}}).collect()
+    assert [r.call_id for r in sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)] == [f"c{i}" for i in range(24, -1, -1)]
+    assert {r.call_id for r in got if "circular" in r.errors} == {"a", "b"}
+
+
+def test_repeated_rows_lose_no_link(spark):
+    words = [f"v{i}" for i in range(2000)]
+    rng = np.random.default_rng(12)
+    rows = []
+    for family in range(150):
+        base = list(rng.choice(words, 14, replace=False))
+        for part in (base, base[:-1], base[1:]):
+            rows.append((len(rows), " ".join(part), "en", "s", 0))
+    for table in (rows, rows + rows, rows * 3):
+        got = shingle_join.shingle_components(docs(spark, table), 3, 80, 100).distinct().collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i - i % 3) for i in range(len(rows))]
+
+
+def test_large_ids_beside_null(spark):
+    big = 9007199254740993
+    table = docs(spark, [(big, "one two three four", "en", "s", 0), (None, "five six", "en", "s", 0)]).coalesce(1)
+    for got in (shingle_join.shingle_components(table), packing.pack_documents(table), licenses.scan_licenses(table),
+                separators.document_token_counts(table)):
+        assert {r.doc_id for r in got.collect()} == {big, None}
+
+
+def test_pipeline_keeps_texts_that_share_an_id(spark):
+    long = "some words that are in no other text of this small table at all"
+    rows = [(1, "a b c d e f g", "en", "s", 1), (1, long, "en", "s", 1), (2, long + " but", "en", "s", 1), (2, "x y", "en", "s", 1),
+            (None, "x y", "en", "s", 1), (3, None, "en", "s", 1), (3, None, "en", "s", 1)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, DOC), SF)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, "a b c d e f g"), (1, long), (2, "x y"), (3, None), (3, None)], key=str)
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (i % 9), "en", f"s{i % 4}" if i % 4 else None, 0) for i in range(400)]
     got = [r.mix.asDict() | r.doc.asDict() for r in mixing.mix_documents(docs(spark, rows), ["doc_id", "source"]).collect()]

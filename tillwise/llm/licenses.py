@@ -154,5 +154,7 @@ def scan_licenses(docs: DataFrame, ident: str = "doc_id", text: str = "text", an
             out.insert(0, ident, batch[ident].to_numpy())
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    kind = docs.schema[ident].dataType.simpleString()
-    return docs.select(ident, text).mapInPandas(scan, f"{ident} {kind}, {FOUND}")
+    # pandas would turn a column of numbers and nulls into doubles, so the ids pass it as text
+    kind, ids = docs.schema[ident].dataType.simpleString(), F.col(ident).cast("string").alias(ident)
+    found = docs.select(ids, text).mapInPandas(scan, f"{ident} string, {FOUND}")
+    return found.withColumn(ident, F.col(ident).cast(kind))

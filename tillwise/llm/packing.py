@@ -36,8 +36,7 @@ def _pieces(tokenizer: str, size: int, end: int, ident: str, text: str):
                     crc = zlib.crc32(ids[start:start + length].astype("<u4").tobytes())
                     rows.append((doc, task, used[length], i, start, length, crc))
                     used[length] += 1
-            yield pd.DataFrame(rows, columns=[ident, *[c.split()[0] for c in PIECE.split(", ")]]).astype(
-                {ident: "Int64"})
+            yield pd.DataFrame(rows, columns=[ident, *[c.split()[0] for c in PIECE.split(", ")]])
     return pieces
 
 
@@ -180,8 +179,9 @@ def pack_documents(docs: DataFrame, size: int = 2048, tokenizer: str = "byte_bpe
     Rows that repeat a doc_id, or have none, are packed one by one. An empty table gives an empty result.
     """
     kind = docs.schema[ident].dataType.simpleString()
-    pieces = materialise(docs.select(ident, text).mapInPandas(_pieces(tokenizer, size, end, ident, text),
-                                                              f"{ident} {kind}, {PIECE}"))
+    # pandas would turn a column of numbers and nulls into doubles, so the ids pass it as text
+    pieces = materialise(docs.select(F.col(ident).cast("string").alias(ident), text).mapInPandas(
+        _pieces(tokenizer, size, end, ident, text), f"{ident} string, {PIECE}"))
     per = materialise(pieces.groupBy("task", "length").agg(F.count("*").alias("n")))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = per.select("task", "length", F.coalesce(before, F.lit(0)).alias("before"))
@@ -191,5 +191,6 @@ def pack_documents(docs: DataFrame, size: int = 2048, tokenizer: str = "byte_bpe
     places = _Places(plan(counts, size, rounds), size)
     ranked = pieces.join(offsets, ["task", "length"]).select(
         ident, "piece", "start", "length", "ids_crc32", (F.col("place") + F.col("before")).alias("rank"))
-    return ranked.mapInPandas(_placed(places), f"{ident} {kind}, piece int, start long, length int, ids_crc32 long, "
-                                               "sequence_id long, offset long")
+    placed = ranked.mapInPandas(_placed(places), f"{ident} string, piece int, start long, length int, ids_crc32 long, "
+                                                 "sequence_id long, offset long")
+    return placed.withColumn(ident, F.col(ident).cast(kind))

@@ -82,10 +82,9 @@ def tool_traffic(conversations):
     ident = lambda turn: F.concat_ws("-", F.lit("call"), turn.cast("string"))
     words = F.split("text", " ")
     tool = F.element_at(F.array(*[F.lit(x) for x in TOOLS]), (F.pmod(F.xxhash64("text"), F.lit(3)) + 1).cast("int"))
-    arguments = F.when(tool == "search", F.to_json(F.struct(F.get(words, F.lit(0)).alias("query"),
-                                                             F.length("text").alias("limit")))).when(
+    arguments = F.when(tool == "search", F.to_json(F.struct(F.col("text").alias("query"), F.length("text").alias("limit")))).when(
         tool == "measure", F.to_json(F.struct("text", F.when(F.length("text") % 7 == 0, "lines").otherwise("words").alias("unit")))
-    ).otherwise(F.to_json(F.struct(F.slice(words, 1, 5).alias("items"))))
+    ).otherwise(F.to_json(F.struct(words.alias("items"))))
     ahead = lambda turn: (c + turn) % 10 == 3
     none = F.array().cast("array<string>")
     after = F.when(ahead(t), F.array(ident(t + 2))).when((t < 2) | ahead(t - 2), none).otherwise(F.array(ident(t - 2)))

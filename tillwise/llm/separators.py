@@ -52,7 +52,8 @@ def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k", end: int = END
     A null text is an empty document. ``doc_ids`` is the manifest of the documents that end in the block; the scan
     does not read it.
     """
-    return materialise(docs.select(F.col(ident).cast("long").alias(ident), text)
+    # pandas would turn a column of numbers and nulls into doubles, so the ids pass it as text
+    return materialise(docs.select(F.col(ident).cast("long").cast("string").alias(ident), text)
                        .mapInPandas(_flat(tokenizer, end, block_tokens, ident, text), BLOCK))
 
 

@@ -18,7 +18,8 @@ BASE = 0x9E3779B97F4A7C15 | 1       # odd, so it has an inverse
 UNBASE = pow(BASE, -1, 1 << 64)
 WORDS = 16                          # 64-bit words of the sketch that bounds a pair's difference
 BLOCK = 400                         # documents compared with each other in one call, and bytes of their sets
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 23
+CHUNK_ROWS = 50_000                 # keys of classes that one call of _near may hold
 HOT_ROWS, HOT_SHARE, HOT_LEAST, HOT_ONE_IN = 1 << 16, 16, 8, 400
 SALT = 64
 
@@ -339,19 +340,24 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     form families, inside which exact intersections decide; classes that share a key of very many are a family without
     further ado. Nothing is cut off, and no group emits its pairs.
 
-    A text without words has size 0, links with nothing and is its own component. Repeated rows agree; documents with
+    A text without words has size 0, links with nothing and is its own component. Further columns are ignored. Repeated
+    rows agree; documents with
     one doc_id are one node; a document without doc_id has the component of an equal text that has one, else null.
     An empty table gives an empty result.
     """
     hot = docs.sparkSession.sparkContext.broadcast(_hot_shingles(docs, text, n))
-    rows = docs.select(F.col(ident).cast("long").alias(ident), text).mapInPandas(
-        _sketches(n, num, den, hot, ident, text), f"{ident} long, n_shingles long, name binary, keys array<long>, "
+    # pandas would turn a column of numbers and nulls into doubles, so the ids pass it as text
+    rows = docs.select(F.col(ident).cast("long").cast("string").alias(ident), text).mapInPandas(
+        _sketches(n, num, den, hot, ident, text), f"{ident} string, n_shingles long, name binary, keys array<long>, "
                                                   "common array<long>, bits binary")
-    rows = materialise(rows)
-    classes = materialise(rows.where("name is not null").groupBy("name").agg(F.min(ident).alias("rep")))
-    named = rows.select(ident, "n_shingles", "name").join(classes, "name", "left")
+    rows = materialise(rows.withColumn(ident, F.col(ident).cast("long")).withColumn("_row", F.monotonically_increasing_id()))
+    named = F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("rep"), "_row")
+    classes = rows.where("name is not null").groupBy("name").agg(F.min(named).alias("first"))
+    classes = materialise(classes.select("name", "first.rep", "first._row"))
+    named = rows.select(ident, "n_shingles", "name").join(classes.drop("_row"), "name", "left")
     named = materialise(named.select(ident, "n_shingles", "rep"))
-    families = _families(rows.join(classes, "name").where(F.col(ident) == F.col("rep")), num, den)
+    # one row a class, however often its text stands in the table
+    families = _families(rows.join(classes.where("rep is not null").select("_row", "rep"), "_row"), num, den)
     discard(rows)
     texts = docs.select(F.col(ident).cast("long").alias("rep"), F.col(text).alias("text"))
     sets = texts.join(families.select("rep"), "rep").mapInPandas(_sets(n), "rep long, set binary")
@@ -368,7 +374,8 @@ def _families(first: DataFrame, num: int, den: int) -> DataFrame:
     # one shuffle of the keys; those of very many classes are dealt in SALT parts, whose heads meet once more
     part = Window.partitionBy("key", "salt")
     met = keys.withColumns({"head": F.min("rep").over(part), "n": F.count("*").over(part),
-                            "members": F.bit_xor(F.xxhash64("rep")).over(part)})
+                            "members": F.bit_xor(F.xxhash64("rep")).over(part),
+                            "total": F.sum(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(1 << 31))).over(part)})
     met = materialise(met.where("n > 1 or salt >= 0"))
     star = met.where(f"salt >= 0 or n > {BLOCK}")
     parts = star.where("salt >= 0").select("key", "head").distinct()
@@ -377,11 +384,11 @@ def _families(first: DataFrame, num: int, den: int) -> DataFrame:
     # other keys often meet by chance: their classes hang together where sizes and sketches allow a link. Copies have
     # many keys with the same members, one of them is enough
     plain = met.where(f"salt < 0 and n <= {BLOCK}")
-    one = plain.groupBy("members", "n", "head").agg(F.min("key").alias("key"))
+    one = plain.groupBy("members", "total", "n", "head").agg(F.min("key").alias("key"))
     plain = plain.join(one.select("key"), "key").select("key", "rep")
-    chunks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(4 * int(first.sparkSession.conf.get("spark.sql.shuffle.partitions")), met.count() // CHUNK_ROWS)
     sized = first.select("rep", "n_shingles", "bits")
-    near = (plain.join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(4 * chunks)))
+    near = (plain.join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)))
             .groupBy("chunk").applyInPandas(_near(num, den), "a long, b long"))
     families = components(star.unionByName(near), "a", "b")
     return materialise(families.select(F.col("node").alias("rep"), F.col("component").alias("family")))

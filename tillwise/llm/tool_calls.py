@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.scale import materialise, running_total
+from tillwise.llm.tables import discard
 
 KEY = ["conv_id", "call_id"]
 NO_CALL = "no call"
@@ -91,32 +92,32 @@ def _written(schemas: dict[str, dict]):
     return write
 
 
-def _ordered(calls: DataFrame, max_depth: int) -> tuple[DataFrame, DataFrame]:
+def _ordered(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(conv_id, call_id, key, depth): sorting by key and depth is a topological order of the references; and the
     calls for which there is none.
 
     A call stands at its turn, or right behind the last of the calls it refers to if that stands later. Only
     references to later calls move anything, so this ends after as many joins as such references follow one another.
-    If it does not, the calls that have moved max_depth / 2 times or more are taken for those without an order.
+    In a conversation of n calls nothing stands behind n others, so a call that gets deeper is part of a circle, or
+    would have to stand behind one; it moves no further and has no order. Other conversations and other calls are not touched by it.
     """
     refs = materialise(calls.select(*KEY, F.explode("after").alias("dep")).where("dep is not null").distinct())
-    state = materialise(calls.select(*KEY, F.col("turn").alias("key"), F.lit(0).alias("depth")))
-    for _ in range(max_depth):
+    n = calls.groupBy("conv_id").agg(F.count("*").alias("n"))
+    state = materialise(calls.select(*KEY, F.col("turn").alias("key"), F.lit(0).cast("long").alias("depth")).join(n, "conv_id"))
+    while True:
         deps = state.select("conv_id", F.col("call_id").alias("dep"), F.struct("key", "depth").alias("_at"))
         last = refs.join(deps, ["conv_id", "dep"]).groupBy(*KEY).agg(F.max("_at").alias("_at"))
-        moved = F.col("_at") >= F.struct("key", "depth")
-        new = state.join(last, KEY, "left").select(
+        moved = F.coalesce((F.col("_at") >= F.struct("key", "depth")) & (F.col("depth") <= F.col("n")), F.lit(False))
+        new = materialise(state.join(last, KEY, "left").select(
             *KEY, F.when(moved, F.col("_at.key")).otherwise(F.col("key")).alias("key"),
-            F.when(moved, F.col("_at.depth") + 1).otherwise(F.col("depth")).alias("depth"),
-            F.coalesce(moved, F.lit(False)).alias("moved"))
-        new = materialise(new)
-        moving, state = new.where("moved").select(*KEY), new.drop("moved")
-        if moving.isEmpty():
-            return state, moving
-    return state, state.where(F.col("depth") >= max_depth // 2).select(*KEY)
+            F.when(moved, F.col("_at.depth") + 1).otherwise(F.col("depth")).alias("depth"), "n", moved.alias("moved")))
+        discard(state)
+        state = new.drop("moved")
+        if new.where("moved").isEmpty():
+            return state.drop("n"), state.where("depth > n").select(*KEY)
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], max_depth: int = 64) -> DataFrame:
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per call, and one for results without a call: conv_id, call_id, position, turn, name, n_results,
     result_turn, errors, json.
 
@@ -127,8 +128,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     tools or references, no result, repeated ids. ``json`` is canonical.
 
     Equal rows count once. Of the calls with one id the earliest is the call, the others stand at their turn and get
-    no result. References in a circle, or in a chain of more than ``max_depth / 2`` references to later calls, are named
-    in ``errors`` and the call stands at its turn. Calls without conv_id, call_id or turn are kept without position.
+    no result. References in a circle are named in ``errors`` and the call stands at its turn; chains of any
+    length are ordered. Calls without conv_id, call_id or turn are kept without position.
     Extra columns are ignored; empty tables give an empty result. No window or group holds a whole conversation.
     """
     calls = materialise(calls.select(*KEY, "turn", "name", "arguments", "after").distinct())
@@ -142,13 +143,13 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
 
     got = (results.where("conv_id is not null and call_id is not null").distinct().groupBy(*KEY)
            .agg(F.count("*").alias("n_results"), F.min(F.struct("turn", "content")).alias("_result")))
-    state, stuck = _ordered(whole, max_depth)
+    state, stuck = _ordered(whole)
     known = whole.select("conv_id", F.col("call_id").alias("dep"), F.lit(1).alias("_known"))
     lost = (whole.select(*KEY, F.explode("after").alias("dep")).where("dep is not null")
             .join(known, ["conv_id", "dep"], "left").where("_known is null")
             .groupBy(*KEY).agg(F.lit("unknown reference").alias("_lost")))
     linked = (whole.withColumn("_call", F.lit(1)).join(got, KEY, "full").join(state, KEY, "left").join(lost, KEY, "left")
-              .join(stuck.withColumn("_stuck", F.lit("circular or too deep reference")), KEY, "left"))
+              .join(stuck.withColumn("_stuck", F.lit("circular reference")), KEY, "left"))
     notes = F.concat_ws("; ", F.when(F.col("_call").isNull(), NO_CALL), F.when(F.col("n_results").isNull(), "no result"),
                         "_lost", "_stuck")
     at = [F.when(F.col("_stuck").isNull(), F.col("key")).otherwise(F.col("turn")).alias("key"),
