@@ -20,19 +20,22 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the Kneser-Ney classifier accepts."""
+    """Documents that the Kneser-Ney classifier accepts; each is scored once."""
     return Classifier(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group with five-word shingles alike to 0.8 or more.
+    """One row, of those with the smallest doc_id one, of each group with five-word shingles alike to 0.8 or more.
 
-    Documents without doc_id stay.
+    Rows are told apart by a number of their own, so a doc_id may stand at several texts or be missing; rows without
+    words stay.
     """
-    groups = shingle_components(docs, n=5, num=80, den=100)
-    heads = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(
-        docs.where("doc_id is null"))
+    rows = materialise(docs.select(F.struct("*").alias("doc"), "text", F.monotonically_increasing_id().alias("row")))
+    groups = shingle_components(rows.select("row", "text"), n=5, num=80, den=100, ident="row")
+    ident = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), "row").alias("place")
+    placed = rows.select("row", ident).join(groups.select("row", "component_id"), "row")
+    heads = placed.groupBy("component_id").agg(F.min("place").alias("place")).select("place.row")
+    return rows.join(heads, "row", "left_semi").select("doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
