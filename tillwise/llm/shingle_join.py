@@ -277,11 +277,12 @@ def _verified(members: DataFrame, num: int, den: int) -> DataFrame:
     several components, blocks of different ones are compared pair by pair. So copies of one document cost no more
     than their number, and no two documents that could link are left out.
     """
-    members = materialise(members)
+    first = members = materialise(members)
     sizes = members.groupBy("family").agg(F.count("*").alias("_size"), F.sum(F.length("set")).alias("_bytes"))
     members = members.join(sizes, "family").withColumn("comp", F.col("rep")).withColumn("side", F.lit(2))
     chunks = F.ceil(F.greatest(F.col("_size") / BLOCK, F.col("_bytes") / BLOCK_BYTES))
     members = materialise(members.withColumn("block", F.pmod(F.xxhash64("rep"), chunks)).withColumn("chunks", chunks))
+    discard(first)
     links = materialise(_clustered(members, ["family", "block"], num, den))
     large = members.where("chunks > 1").drop("_size", "_bytes", "chunks")
     if large.isEmpty():
@@ -294,11 +295,14 @@ def _verified(members: DataFrame, num: int, den: int) -> DataFrame:
     large = materialise(_labelled(large, links).drop("block"))
     # what is left: families of several components. Their sketches meet first, and only documents whose sketches
     # allow a link to another component are compared whole
-    sketched = large.select("family", "rep", "comp", "set").mapInPandas(
-        _wide, "family long, rep long, comp long, n_shingles long, bits binary")
-    ties = _met(materialise(sketched), "bits").applyInPandas(_candidates(num, den), "a long, b long")
+    discard(members)
+    sketched = materialise(large.select("family", "rep", "comp", "set").mapInPandas(
+        _wide, "family long, rep long, comp long, n_shingles long, bits binary"))
+    ties = _met(sketched, "bits").applyInPandas(_candidates(num, den), "a long, b long")
     closer = components(ties, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    large = materialise(large.drop("family").join(closer, "rep"))
+    last, large = large, materialise(large.drop("family").join(closer, "rep"))
+    discard(last)
+    discard(sketched)
     return links.unionByName(_met(large, "set").applyInPandas(_linked(num, den), "a long, b long"))
 
 
@@ -391,4 +395,6 @@ def _families(first: DataFrame, num: int, den: int) -> DataFrame:
     near = (plain.join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)))
             .groupBy("chunk").applyInPandas(_near(num, den), "a long, b long"))
     families = components(star.unionByName(near), "a", "b")
-    return materialise(families.select(F.col("node").alias("rep"), F.col("component").alias("family")))
+    families = materialise(families.select(F.col("node").alias("rep"), F.col("component").alias("family")))
+    discard(met)
+    return families
