@@ -22,6 +22,7 @@ BLOCK_BYTES = 1 << 23
 CHUNK_ROWS = 50_000                 # keys of classes that one call of _near may hold
 HOT_ROWS, HOT_SHARE, HOT_LEAST, HOT_ONE_IN = 1 << 16, 16, 8, 400
 SALT = 64
+SET_ROWS = 200                      # sets that a task hands on at a time, since a set may be long
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -148,10 +149,16 @@ def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
 
 
 def _sets(n: int):
+    """Whole sets with their sizes and sketches of at least one bit a shingle."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(n)
         for batch in batches:
-            yield pd.DataFrame({"rep": batch["rep"], "set": [shingles.of(t).tobytes() for t in batch["text"]]})
+            for start in range(0, len(batch), SET_ROWS):
+                part = batch.iloc[start:start + SET_ROWS]
+                found = [shingles.of(t) for t in part["text"]]
+                bits = [parity(h, max(WORDS, 1 << (len(h) // 64).bit_length())).tobytes() for h in found]
+                yield pd.DataFrame({"rep": part["rep"].to_numpy(), "set": [h.tobytes() for h in found],
+                                    "n_shingles": [len(h) for h in found], "bits": bits})
     return sets
 
 
@@ -186,14 +193,6 @@ def _linked(num: int, den: int):
     return link
 
 
-def _wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sketches of at least one bit a shingle in the place of the sets."""
-    for batch in batches:
-        sets = [np.frombuffer(x, np.uint64) for x in batch["set"]]
-        bits = [parity(h, max(WORDS, 1 << (len(h) // 64).bit_length())).tobytes() for h in sets]
-        yield batch.drop(columns="set").assign(n_shingles=[len(h) for h in sets], bits=bits)
-
-
 def _candidates(num: int, den: int):
     """(a, b): a spanning forest of the pairs of different components that sizes and wide sketches allow to link.
 
@@ -259,7 +258,8 @@ def _near(num: int, den: int):
 
 
 def _clustered(members: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
-    return members.groupBy(*keys).applyInPandas(_linked(num, den), "a long, b long")
+    return (members.select(*keys, "rep", "comp", "side", "set").groupBy(*keys)
+            .applyInPandas(_linked(num, den), "a long, b long"))
 
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -296,13 +296,11 @@ def _verified(members: DataFrame, num: int, den: int) -> DataFrame:
     # what is left: families of several components. Their sketches meet first, and only documents whose sketches
     # allow a link to another component are compared whole
     discard(members)
-    sketched = materialise(large.select("family", "rep", "comp", "set").mapInPandas(
-        _wide, "family long, rep long, comp long, n_shingles long, bits binary"))
+    sketched = large.select("family", "rep", "comp", "n_shingles", "bits")
     ties = _met(sketched, "bits").applyInPandas(_candidates(num, den), "a long, b long")
     closer = components(ties, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    last, large = large, materialise(large.drop("family").join(closer, "rep"))
+    last, large = large, materialise(large.drop("family", "n_shingles", "bits").join(closer, "rep"))
     discard(last)
-    discard(sketched)
     return links.unionByName(_met(large, "set").applyInPandas(_linked(num, den), "a long, b long"))
 
 
@@ -364,7 +362,8 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     families = _families(rows.join(classes.where("rep is not null").select("_row", "rep"), "_row"), num, den)
     discard(rows)
     texts = docs.select(F.col(ident).cast("long").alias("rep"), F.col(text).alias("text"))
-    sets = texts.join(families.select("rep"), "rep").mapInPandas(_sets(n), "rep long, set binary")
+    sets = texts.join(families.select("rep"), "rep").mapInPandas(
+        _sets(n), "rep long, set binary, n_shingles long, bits binary")
     links = _verified(sets.join(families, "rep"), num, den)
     labels = components(links, "a", "b")
     return (named.join(labels, named.rep == labels.node, "left")
