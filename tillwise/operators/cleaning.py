@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scalars import money, ratio, try_double
+from tillwise.functions.scale import materialise
 
 
 EPOCH = datetime(1970, 1, 1)
@@ -40,32 +41,43 @@ def clean_reviews(raw: DataFrame, sample_n: int | None = None) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, sample_n: int, by: str = "score", key: str = "id") -> DataFrame:
-    """Exactly ``floor(sample_n * share)`` rows of each group, picked by the order of ``md5(key)``.
+    """Exactly ``floor(sample_n * share)`` rows of each group, those with the smallest ``md5(key)``.
 
-    No group is sorted as a whole: rows are counted per hash prefix, whole prefixes below the quota are
-    taken and only the prefix that holds the cut is ranked. Smaller tables are returned unchanged.
+    The table is read twice: once for a stored table of groups and hashes, on which histograms of 4, then 8 hex
+    digits close in on the hash that cuts each group, and once to keep the rows up to the cut. No group is sorted: a
+    histogram has at most 65,536 bins a group. Rows that share the key of a cut are told apart by their content. A
+    table of at most ``sample_n`` rows is kept whole.
     """
-    hashed = (df.withColumn("_h", F.md5(F.col(key).cast("string")))
-              .withColumn("_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    per_prefix = hashed.groupBy(by, "_b").agg(F.count(F.lit(1)).alias("_n"))   # at most 65,536 rows per group
-    below = _prefix_counts(per_prefix, by)
-    cut = (hashed.join(below, [by, "_b"])
-           .withColumn("_quota", F.floor(F.lit(sample_n) * F.col("_size") / total)))
-    whole = F.col("_upto") <= F.col("_quota")
-    split = ~whole & (F.col("_upto") - F.col("_n") < F.col("_quota"))
-    rank = F.row_number().over(Window.partitionBy(by, "_b").orderBy("_h", key))
-    ranked = (cut.where(split).withColumn("_r", rank)
-              .where(F.col("_r") <= F.col("_quota") - (F.col("_upto") - F.col("_n"))).drop("_r"))
-    sampled = cut.where(whole).unionByName(ranked).select(*df.columns)
-    return (sampled.where(total > sample_n)
-            .unionByName(df.where(total <= sample_n)))
-
-
-def _prefix_counts(per_prefix: DataFrame, by: str) -> DataFrame:
-    w = Window.partitionBy(by)
-    upto = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    return (per_prefix.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_size", F.sum("_n").over(w)))
+    own = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    hashes = materialise(df.select(F.col(by).alias("_by"), own.alias("_hash")))
+    sizes = hashes.groupBy("_by").agg(F.count("*").alias("_size"))
+    total = sizes.agg(F.sum("_size")).scalar()
+    quota = F.when(total <= sample_n, F.col("_size")).otherwise(F.floor(F.lit(sample_n) * F.col("_size") / total))
+    need = sizes.select("_by", quota.alias("_need")).where("_need > 0").withColumn("_bin", F.lit(""))
+    for digits in (4, 8, 32):
+        need = materialise(_cut(hashes, need, digits))      # one row per group
+    same = df[by].eqNullSafe(need["_by"])
+    if need.where("_need < _times").isEmpty():
+        return df.join(need, same & (own <= need["_bin"]), "left_semi")
+    below = df.join(need, same & (own < need["_bin"]), "left_semi")
+    place = F.row_number().over(Window.partitionBy("_by").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
+    tied = df.join(need, same & (own == need["_bin"])).withColumn("_place", place).where("_place <= _need")
+    return below.unionByName(tied.select(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def _cut(hashes: DataFrame, need: DataFrame, digits: int) -> DataFrame:
+    """(_by, _bin, _need, _times) of the hash prefix that holds each group's ``_need``-th row of its present ``_bin``.
+
+    ``_need`` then counts from the first row of the new bin, which holds ``_times`` rows.
+    """
+    inside = F.col("g._by").eqNullSafe(F.col("h._by")) & F.startswith("h._hash", "g._bin")
+    counts = (hashes.alias("h").join(need.alias("g"), inside)
+              .groupBy("g._by", "g._need", F.substring("h._hash", 1, digits).alias("_bin"))
+              .agg(F.count("*").alias("_times")))
+    upto = F.sum("_times").over(Window.partitionBy("_by").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    left = F.col("_need") - (F.col("_upto") - F.col("_times"))
+    return (counts.withColumn("_upto", upto).where((F.col("_upto") >= F.col("_need")) & (left > 0))
+            .select("_by", "_bin", left.alias("_need"), "_times"))
 
 
 def extract_rating(df: DataFrame, column: str, out: str = "rating") -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.functions.scale import exact_quantiles, materialise
+from tillwise.functions.scale import running_total
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:
@@ -89,19 +89,34 @@ def missing_dates(df: DataFrame, date: str, step_days: int = 1) -> DataFrame:
 
 
 def outlier_profile(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
-    """Quartiles and the rows outside the fences ``k`` quartile ranges away, per measure."""
-    values = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    quartiles, fences = {}, {}
-    for c in columns:
-        found = {r["prob"]: r["value"] for r in exact_quantiles(values, c, [0.25, 0.75]).collect()}      # two rows
-        q1, q3 = found.get(0.25), found.get(0.75)
-        step = None if q1 is None else k * (q3 - q1)
-        quartiles[c] = (q1, q3)
-        fences[c] = (F.lit(None if q1 is None else q1 - step), F.lit(None if q1 is None else q3 + step))
-    one = values.agg(*[e for c in columns for e in (
-        F.count(c).alias(f"n:{c}"), F.count_if(F.col(c) < fences[c][0]).alias(f"low:{c}"),
-        F.count_if(F.col(c) > fences[c][1]).alias(f"high:{c}"))])
-    rows = [F.struct(F.lit(c).alias("measure"), F.col(f"`n:{c}`").alias("n"), F.col(f"`low:{c}`").alias("n_low"),
-                     F.col(f"`high:{c}`").alias("n_high"), F.lit(quartiles[c][0]).cast("double").alias("q1"),
-                     F.lit(quartiles[c][1]).cast("double").alias("q3")) for c in columns]
-    return one.select(F.inline(F.array(*rows)))
+    """Quartiles and the rows outside the fences ``k`` quartile ranges away, per measure.
+
+    All measures are ranked together: equal values are counted per (measure, value), one range order and its offsets
+    place them, and both the ranks and the rows beyond the fences are read off these counts. So the table itself is
+    read once, whatever the number of measures, and nothing returns to the driver.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in columns])
+    counted = (df.select(F.inline(values)).where(F.col("v").isNotNull()).groupBy("measure", "v")
+               .agg(F.count("*").alias("times")))
+    ranked = running_total(counted, [F.asc("measure"), F.asc("v")], "times", "upto")
+    # one row per measure: its size, and where its ranks begin
+    before = Window.orderBy("measure").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranked.groupBy("measure").agg(F.sum("times").alias("n")).withColumn(
+        "first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    wanted = F.array(*[F.struct(F.lit(p).alias("prob"), (F.lit(p) * (F.col("n") - 1)).alias("pos")) for p in (0.25, 0.75)])
+    upto = F.col("upto") - F.col("first")
+    hits = (ranked.join(F.broadcast(sizes), "measure").withColumn("w", F.explode(wanted))
+            .where((upto > F.floor("w.pos")) & (upto - F.col("times") <= F.ceil("w.pos"))))
+    low, high = F.min("v"), F.max("v")
+    at = hits.groupBy("measure", F.col("w.prob").alias("prob"), F.col("w.pos").alias("pos")).agg(
+        (low + (high - low) * (F.col("pos") - F.floor("pos"))).alias("value"))
+    quartiles = at.groupBy("measure").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q)
+                                            for p, q in ((0.25, "q1"), (0.75, "q3"))])
+    step = F.lit(k) * (F.col("q3") - F.col("q1"))
+    outside = lambda beyond: F.sum(F.when(beyond, F.col("times")).otherwise(0))
+    found = (ranked.join(F.broadcast(quartiles), "measure").groupBy("measure", "q1", "q3")
+             .agg(F.sum("times").alias("n"), outside(F.col("v") < F.col("q1") - step).alias("n_low"),
+                  outside(F.col("v") > F.col("q3") + step).alias("n_high")))
+    measures = df.sparkSession.createDataFrame([(c,) for c in columns], "measure string")
+    return (measures.join(found, "measure", "left").fillna(0, ["n", "n_low", "n_high"])
+            .select("measure", "n", "n_low", "n_high", "q1", "q3"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scalars import plain_number, ratio, try_double
+from tillwise.functions.scale import materialise
 from tillwise.functions.words import (AMBIGUOUS_WORDS, ENGLISH_STOPWORDS, INDUCTION_SEED, SERVICE_WORDS,
                                       SHOPPING_STOPWORDS, ngrams, review_tokens, simple_tokens)
 
@@ -98,15 +99,23 @@ def lexicon_sentiment(reviews: DataFrame, lexicon: DataFrame, text: str = "revie
 
     The lexicon join carries no hint. A stored lexicon has a known size: below the broadcast threshold the
     tokens are never shuffled, above it adaptive execution splits hot words. Valences are exact decimals, so sums do not depend on row order.
+    Sums belong to an id with its text, so ids may repeat or be missing: every row also counts itself once, by a word
+    that no text holds, and rows alike share the sum of all of them evenly.
     """
-    words = reviews.select("id", F.explode(simple_tokens(text)).alias("word"))
-    hits = (words.join(lexicon, "word").groupBy("id")
-            .agg(F.sum("valence").alias("_sum"), F.count("*").alias("_hits")))
-    s = F.coalesce(F.col("_sum").cast("double"), F.lit(0.0))
-    return (reviews.join(hits, "id", "left")
+    digest = F.md5(F.col(text))
+    itself = F.array(F.lit(""))
+    words = reviews.select("id", digest.alias("_text"), F.explode(F.concat(itself, simple_tokens(text))).alias("word"))
+    nothing = lexicon.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).cast("decimal(9,4)").alias("valence"))
+    known = lexicon.select("word", F.col("valence").cast("decimal(9,4)").alias("valence")).unionByName(nothing)
+    rows = F.count_if(F.col("word") == "")
+    hits = (words.join(known, "word").groupBy(F.col("id").alias("_id"), "_text")
+            .agg((F.sum("valence") / rows).cast("double").alias("_sum"),
+                 ((F.count("*") - rows) / rows).cast("double").alias("_hits")))
+    s = F.coalesce(F.col("_sum"), F.lit(0.0))
+    return (reviews.join(hits, F.col("id").eqNullSafe(F.col("_id")) & (digest == F.col("_text")), "left")
             .withColumn("compound", s / F.sqrt(s * s + LEXICON_ALPHA))
             .withColumn("polarity", F.coalesce(ratio(s, F.col("_hits")), F.lit(0.0)))
-            .drop("_sum", "_hits"))
+            .drop("_id", "_text", "_sum", "_hits"))
 
 
 def _sign(value: Column, positive: Column, negative: Column) -> Column:
@@ -223,11 +232,20 @@ def last_n_months(insights: DataFrame, n: int = 24) -> DataFrame:
 
 def weighted_ngram_counts(labelled: DataFrame, sentiment: str, stop=REVIEW_STOPWORDS) -> DataFrame:
     """Words and adjacent pairs of one class, every occurrence weighing ``1 + helpfulness``."""
-    target = labelled.where(F.col("sentiment") == sentiment)
+    return (class_ngram_weights(labelled, [sentiment], stop)
+            .select("keyword", F.col(f"`{sentiment}`").alias("weight")))
+
+
+def class_ngram_weights(labelled: DataFrame, sentiments: list[str], stop=REVIEW_STOPWORDS) -> DataFrame:
+    """Words and adjacent pairs with their weight in each class, one column a class, NULL where it has none.
+
+    All classes are summed in one pass over the reviews.
+    """
     weight = (1 + F.col("helpfulness")).cast("decimal(18,9)")
-    tokens = target.select(weight.alias("w"), review_tokens("review_text", stop).alias("tokens"))
-    return (tokens.select("w", F.explode(ngrams("tokens")).alias("keyword"))
-            .groupBy("keyword").agg(F.sum("w").alias("weight")))
+    tokens = (labelled.where(F.col("sentiment").isin(sentiments))
+              .select("sentiment", weight.alias("w"), review_tokens("review_text", stop).alias("tokens")))
+    return (tokens.select("sentiment", "w", F.explode(ngrams("tokens")).alias("keyword")).groupBy("keyword")
+            .agg(*[F.sum(F.when(F.col("sentiment") == c, F.col("w"))).alias(c) for c in sentiments]))
 
 
 def join_freq_tables(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
@@ -239,29 +257,33 @@ def distinctive_keywords(labelled: DataFrame, sentiments: list[str], top_n: int
                          ) -> DataFrame:
     """Words and pairs much more frequent in one class than overall, ``top_n`` per class.
 
-    One pass for all classes: a review emits every occurrence with its weight, and its distinct n-grams
-    once more for the document count; both meet in the same map-side aggregation.
+    One pass for all classes: a review emits every occurrence with its weight, its distinct n-grams once more for
+    the document count, and an empty word that counts the reviews; all meet in the same map-side aggregation, whose
+    stored result also gives the class sizes.
     """
     weight = (1 + F.col("helpfulness")).cast("decimal(18,9)")
     none = F.lit(0).cast("decimal(18,9)")
     rows = labelled.select("sentiment", F.when(F.col("sentiment").isin(sentiments), weight).otherwise(none).alias("w"),
                            review_tokens("review_text", stop).alias("tokens")).withColumn("grams", ngrams("tokens"))
     occurrence = F.transform("grams", lambda g: F.struct(g.alias("keyword"), F.col("w").alias("w"), F.lit(0).alias("d")))
-    once = F.transform(F.array_distinct("grams"), lambda g: F.struct(g.alias("keyword"), none.alias("w"),
+    once = F.transform(F.concat(F.array(F.lit("")), F.array_distinct("grams")), lambda g: F.struct(g.alias("keyword"), none.alias("w"),
                                                                      F.lit(1).alias("d")))
     emitted = F.when(F.col("w") > 0, F.concat(occurrence, once)).otherwise(once)
     totals = rows.select("sentiment", F.inline(emitted)).groupBy("keyword").agg(
         F.sum("d").alias("docs"),
-        *[F.sum(F.when(F.col("sentiment") == c, F.col("w"))).alias(f"w{i}") for i, c in enumerate(sentiments)])
-    sizes = labelled.agg(F.count(F.lit(1)).alias("n"),
-                         *[F.greatest(F.count_if(F.col("sentiment") == c), F.lit(1)).alias(f"n{i}")
-                           for i, c in enumerate(sentiments)])
+        *[F.sum(F.when(F.col("sentiment") == c, F.col("w"))).alias(f"w{i}") for i, c in enumerate(sentiments)],
+        *[F.sum(F.when(F.col("sentiment") == c, F.col("d"))).alias(f"d{i}") for i, c in enumerate(sentiments)])
+    totals = materialise(totals)
+    sizes = totals.where(F.col("keyword") == "").select(
+        F.col("docs").alias("n"), *[F.greatest(F.coalesce(f"d{i}", F.lit(0)), F.lit(1)).alias(f"n{i}")
+                                    for i in range(len(sentiments))])
     share = ratio(F.col("docs"), sizes.select("n").scalar()) + 0.01
     per_class = F.array(*[
         F.struct(F.lit(c).alias("sentiment"), F.col(f"w{i}").alias("weight"),
                  (ratio(F.col(f"w{i}").cast("double"), sizes.select(f"n{i}").scalar()) / share).alias("score"))
         for i, c in enumerate(sentiments)])
-    scored = (totals.withColumn("per_class", per_class).select("keyword", F.inline("per_class"))
+    scored = (totals.where(F.col("keyword") != "").withColumn("per_class", per_class)
+              .select("keyword", F.inline("per_class"))
               .where(F.col("weight") > 0))
     best = top_n_per_group(scored, "sentiment", [F.desc("score"), F.asc("keyword")], top_n)
     return best.select("keyword", F.bround("score", 3).alias("score"), "sentiment")

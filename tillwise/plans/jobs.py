@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.scale import materialise
 from tillwise.operators import (answers, chunks, cleaning, forecast, inventory, retrieval, reviews, routing, sales, segments,
                                 topics, traffic)
+from tillwise.sources import files
 
 
 def sales_forecast_job(raw_transactions: DataFrame, top_n: int | None = None, periods: int = forecast.PERIODS,
@@ -42,10 +43,10 @@ def label_reviews(raw_reviews: DataFrame, lexicon: DataFrame, sample_n: int | No
 
 
 def reviews_job(raw_reviews: DataFrame, lexicon: DataFrame, sample_n: int | None = None, n_topics: int = 5,
-                resample: str = "ME") -> dict[str, DataFrame]:
-    """Raw reviews -> insights, keywords and topics."""
+                resample: str = "ME", word_tags: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Raw reviews -> insights, keywords and named topics, the tables that :func:`build_index_job` takes."""
     labelled = materialise(label_reviews(raw_reviews, lexicon, sample_n))      # read by all three
-    by_class = [topics.review_topics(labelled, s, n_topics) for s in ("negative", "positive")]
+    by_class = [topics.review_topics(labelled, s, n_topics, word_tags=word_tags) for s in ("negative", "positive")]
     return {"review_insights": reviews.review_trends(labelled, resample),
             "review_keywords": reviews.review_keywords(labelled),
             "review_topics": by_class[0].unionByName(by_class[1])}
@@ -62,6 +63,16 @@ def build_index_job(tables: dict[str, DataFrame], dim: int = chunks.EMBED_DIM):
     return materialise(chunks.embed_text(facts, model)), model
 
 
+def store_index(facts: DataFrame, model, path: str, version: str = "1") -> str:
+    """The facts of :func:`build_index_job` with the model of their vectors, for later sessions."""
+    return files.sink_chunk_store(facts, path, model, version)
+
+
+def load_index(spark: SparkSession, path: str, version: str = "1"):
+    """(facts with vectors, embedding model) as they were stored."""
+    return files.src_chunk_store(spark, path), files.src_embed_model(spark, path, version)
+
+
 def carried_entities(questions: DataFrame, products: DataFrame, segment_names: list[str], zones: list[str] | None) -> DataFrame:
     """Adds product_id, segment_name and zone_id as last mentioned in the conversation."""
     named = routing.extract_product(questions, products)

@@ -165,6 +165,17 @@ CTES = {
     "weights": """
         SELECT sentiment, keyword, SUM(CAST(1 + helpfulness AS DECIMAL(18,9))) AS weight
         FROM (SELECT sentiment, helpfulness, unnest(g) AS keyword FROM grams) GROUP BY 1, 2""",
+    "topic_docs": f"""
+        SELECT id, sentiment, t FROM
+          (SELECT id, sentiment, list_filter(w, lambda x: length(x) % 3 <> 2) AS t FROM
+            (SELECT id, sentiment, {_review('review_text', REVIEW_STOPWORDS)} AS w FROM lab
+             WHERE sentiment IN ('negative', 'positive'))) WHERE len(t) >= 3""",
+    "topic_words": """
+        SELECT sentiment, word, docs, row_number() OVER (PARTITION BY sentiment ORDER BY docs DESC, word) - 1 AS number FROM
+          (SELECT sentiment, word, COUNT(*) AS docs FROM
+            (SELECT sentiment, unnest(list_distinct(t)) AS word FROM topic_docs) GROUP BY 1, 2) c
+          JOIN (SELECT sentiment, COUNT(*) AS n FROM topic_docs GROUP BY 1) USING (sentiment)
+        WHERE docs >= 10 AND docs <= CAST(0.3 AS DOUBLE) * n""",
     "gram_docs": "SELECT keyword, COUNT(*) AS docs FROM (SELECT unnest(list_distinct(g)) AS keyword FROM grams) GROUP BY 1",
     "class_sizes": "SELECT sentiment, COUNT(*) AS n_target FROM lab GROUP BY 1",
     "kw_scored": """
@@ -207,7 +218,7 @@ CTES = {
         SELECT date_trunc('hour', ts) AS timestamp, event_type AS zone_id, COUNT(*) AS people_count FROM events
         GROUP BY 1, 2""",
     "cv": """SELECT vec_id AS chunk_id, 'source_' || CAST(label AS VARCHAR) AS source, CAST(embedding AS DOUBLE[]) AS e
-             FROM embeddings WHERE vec_id % 50 <> 0""",
+             FROM embeddings""",
     "qv": "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 50 = 0",
     "tv": """SELECT label, 'theme_' || CAST(label AS VARCHAR) AS theme, CAST(min_by(embedding, vec_id) AS DOUBLE[]) AS e
              FROM embeddings GROUP BY label""",
@@ -513,7 +524,7 @@ _RAW = {
     "null_profile": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) FILTER ({c} IS NULL) AS n_null FROM tx"
         for c in ("invoice", "stock_code", "quantity", "price", "invoice_date", "customer_id")),
-    "numeric_profile": f"{_numeric('quantity')} UNION ALL {_numeric('customer_id')}",
+    "numeric_profile": " UNION ALL ".join(_numeric(c) for c in ("quantity", "price", "customer_id")),
     "date_coverage": """
         SELECT product_id, min(date) AS first_date, max(date) AS last_date, COUNT(DISTINCT date) AS n_present,
                date_diff('day', min(date), max(date)) // 7 + 1 - COUNT(DISTINCT date) AS n_missing FROM weekly GROUP BY 1""",
@@ -671,9 +682,36 @@ _RAW = {
     "weighted_ngram_counts": """SELECT keyword, round_even(CAST(weight AS DOUBLE), 3) AS weight FROM weights
                                 WHERE sentiment = 'negative'""",
     "join_freq_tables": """
-        SELECT p.keyword, COALESCE(round_even(CAST(n.weight AS DOUBLE), 3), 0) AS weight
-        FROM weights p LEFT JOIN (SELECT * FROM weights WHERE sentiment = 'negative') n ON n.keyword = p.keyword
-        WHERE p.sentiment = 'positive'""",
+        SELECT keyword, COALESCE(round_even(CAST(SUM(weight) FILTER (sentiment = 'negative') AS DOUBLE), 3), 0) AS weight
+        FROM weights GROUP BY keyword HAVING COUNT(*) FILTER (sentiment = 'positive') > 0""",
+    "topic_vocabulary": "SELECT sentiment, word, docs, number FROM topic_words",
+    "topic_bags": """
+        SELECT sentiment, id, CAST(COUNT(number) AS INTEGER) AS n_words, CAST(COALESCE(SUM(times), 0) AS BIGINT) AS n_tokens,
+               CAST(COALESCE(SUM((number + 1) * times), 0) AS BIGINT) AS number_sum FROM
+        (SELECT d.sentiment, d.id, number, times FROM topic_docs d LEFT JOIN
+          (SELECT sentiment, id, number, times FROM
+            (SELECT sentiment, id, word, COUNT(*) AS times FROM (SELECT sentiment, id, unnest(t) AS word FROM topic_docs)
+             GROUP BY 1, 2, 3) JOIN topic_words USING (sentiment, word)) w ON w.sentiment = d.sentiment AND w.id = d.id)
+        GROUP BY 1, 2""",
+    "topic_totals": """
+        SELECT sentiment, CAST(5 AS BIGINT) AS n_topics, COUNT(*) AS reviews, true AS themes_known FROM topic_docs
+        WHERE sentiment IN (SELECT sentiment FROM topic_words) AND
+              sentiment IN (SELECT sentiment FROM lab GROUP BY 1 HAVING COUNT(*) >= 50) GROUP BY 1""",
+    "reviews_index": """
+        SELECT source, facts, facts AS n_alike FROM
+        (SELECT 'review_topics' AS source, COUNT(DISTINCT sentiment) AS facts FROM topic_docs
+         WHERE sentiment IN (SELECT sentiment FROM topic_words) AND
+               sentiment IN (SELECT sentiment FROM lab GROUP BY 1 HAVING COUNT(*) >= 50)
+         UNION ALL SELECT 'review_insights', least(COUNT(*), 24) FROM trends
+         UNION ALL SELECT 'review_keywords', COUNT(DISTINCT sentiment) FROM kw) WHERE facts > 0""",
+    "extract_report": """
+        SELECT CASE WHEN year(invoice_date) >= 1998 THEN 'late' ELSE 'early' END AS extract, true AS is_read,
+               COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_named FROM tx GROUP BY 1
+        UNION ALL SELECT 'early', false, 0, 1 UNION ALL SELECT 'never', false, 0, 1""",
+    "embed_text": """
+        SELECT conv_id, turn, CAST(256 AS INTEGER) AS dim,
+               CASE WHEN len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) >= 2)) > 0
+                    THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM questions""",
     "distinctive_keywords": "SELECT * FROM kw",
     "plain_ngram_counts": f"""
         SELECT keyword, COUNT(*) AS count, sentiment FROM

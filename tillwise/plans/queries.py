@@ -133,10 +133,32 @@ def src_union_extracts(s, d):
     early = F.year("invoice_date") < 1998
     raw.where(early).write.parquet(f"{root}/early")
     raw.where(~early).write.parquet(f"{root}/late")
+    _broken_file(s, f"{root}/early")
     out = files.src_union_extracts(s, [f"{root}/early", f"{root}/absent", f"{root}/late"])
     return _double(out, 2, "sales").select("invoice", "stock_code", "quantity", "invoice_date", "customer_id", "sales")
 
 
+def _broken_file(s, folder):
+    """A Parquet file whose upload stopped after its first bytes."""
+    path = s._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-broken.parquet")
+    stream = path.getFileSystem(s._jsc.hadoopConfiguration()).create(path)
+    for byte in b"PAR1":
+        stream.write(byte)
+    stream.close()
+
+
+@query
+def extract_report(s, d):
+    """Extracts by year, one of them with a broken file; files are summed up by whether they were read."""
+    raw, root = inputs.transactions(s, d), _scratch(s)
+    late = F.year("invoice_date") >= 1998
+    raw.withColumn("era", F.when(late, "late").otherwise("early")).write.partitionBy("era").parquet(root)
+    _broken_file(s, f"{root}/era=early")
+    report = files.extract_report(s, [f"{root}/era=early", f"{root}/era=late", f"{root}/era=never"])
+    return (report.groupBy(F.substring_index("path", "=", -1).alias("extract"), "is_read")
+            .agg(F.sum("n_rows").alias("n_rows"), F.count_if(F.col("why").isNotNull()).alias("n_named")))
+
+
 def _latin_line(column):
     """Text on one line, characters outside Latin-1 replaced."""
     return F.regexp_replace(F.regexp_replace(column, r"[\r\n]+", " "), r"[^\x00-\xFF]", "?")
@@ -246,7 +268,7 @@ def src_box_annotations(s, d):
         yield from batches
         yield pd.DataFrame({"value": ["</annotations>"]})
 
-    for camera in ("1", "2", "41"):
+    for camera in [r["camera"] for r in b.select("camera").distinct().collect()]:        # one folder a camera
         (b.where(F.col("camera") == camera).select(xml.alias("value")).mapInPandas(document, "value string")
          .write.text(f"{root}/{camera}"))
     return files.src_box_annotations(s, f"{root}/*").select("camera", "frame", "stem", "x1", "y1", "x2", "y2")
@@ -282,7 +304,7 @@ def null_profile(s, d):
 
 @query
 def numeric_profile(s, d):
-    return _double(quality.numeric_profile(inputs.transactions(s, d).select("quantity", "customer_id")), 4,
+    return _double(quality.numeric_profile(inputs.transactions(s, d).select("quantity", "price", "customer_id")), 4,
                    "mean", "std", "min", "max")
 
 
@@ -708,10 +730,10 @@ def weighted_ngram_counts(s, d):
 
 @query
 def join_freq_tables(s, d):
-    lab = materialise(_labelled(s, d))
-    left = reviews.weighted_ngram_counts(lab, "positive").select("keyword")
-    right = _double(reviews.weighted_ngram_counts(lab, "negative"), 3, "weight")
-    return reviews.join_freq_tables(left, right, "keyword", "weight")
+    both = materialise(reviews.class_ngram_weights(_labelled(s, d), ["positive", "negative"]))
+    left = both.where("positive is not null").select("keyword")
+    right = both.where("negative is not null").select("keyword", F.col("negative").alias("weight"))
+    return reviews.join_freq_tables(left, _double(right, 3, "weight"), "keyword", "weight")
 
 
 @query
@@ -744,6 +766,66 @@ def review_topics(s, d):
     return topics.review_topics(lab, "positive").unionByName(topics.review_topics(lab, "negative"))
 
 
+def _review_word_tags(lab):
+    """Word classes of all words of the reviews by their length, standing in for a tagger's table."""
+    words = reviews.tokenize(lab).select(F.explode(F.array_distinct("tokens")).alias("word")).distinct()
+    n = F.length("word") % 3
+    return materialise(words.withColumn("tag", F.when(n == 0, "NN").when(n == 1, "JJ").otherwise("VB")))
+
+
+def _topic_words(s, d, make):
+    """``make(tokens, vocabulary)`` of both classes under each other."""
+    lab = materialise(_labelled(s, d))
+    tags, parts = _review_word_tags(lab), []
+    for sentiment in ("negative", "positive"):
+        tokens = materialise(topics.topic_tokens(lab, sentiment, word_tags=tags, ident="id"))
+        words = materialise(topics.topic_vocabulary(tokens))
+        parts.append(make(tokens, words).withColumn("sentiment", F.lit(sentiment)))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def topic_vocabulary(s, d):
+    return _topic_words(s, d, lambda tokens, words: words)
+
+
+@query
+def topic_bags(s, d):
+    """Per review: its words of the vocabulary, how often they stand there, and a checksum of their numbers."""
+    sums = lambda part: F.aggregate("bag", F.lit(0).cast("long"), lambda a, b: a + part(b))
+    return _topic_words(s, d, lambda tokens, words: topics.topic_bags(tokens, words).select(
+        F.col("review").alias("id"), F.size("bag").alias("n_words"), sums(lambda b: b["times"]).alias("n_tokens"),
+        sums(lambda b: (b["number"] + 1) * b["times"]).alias("number_sum")))
+
+
+def _reviews_job(s, d):
+    raw = inputs.reviews(s, d)
+    lexicon = materialise(reviews.lexicon_from_stats(_stats(s, d)))
+    tags = _review_word_tags(cleaning.clean_reviews(raw))
+    return jobs.reviews_job(raw, lexicon, word_tags=tags)
+
+
+@query
+def topic_totals(s, d):
+    """What is fixed about the topics of a model: how many, the reviews they share out, themes of their class."""
+    named = _reviews_job(s, d)["review_topics"]
+    own = F.when(F.col("sentiment") == "negative", F.col("theme").isin(topics.themes_for("negative"))).otherwise(
+        F.col("theme").isin(topics.themes_for("positive")))
+    return named.groupBy("sentiment").agg(F.count_distinct("topic_id").alias("n_topics"), F.sum("review_count").alias("reviews"),
+                                          F.bool_and(own).alias("themes_known"))
+
+
+@query
+def reviews_index(s, d):
+    """Raw reviews to topics, themes, facts and a stored index, read back as by a later session."""
+    tables = _reviews_job(s, d)
+    path = jobs.store_index(*jobs.build_index_job(tables), f"{_scratch(s)}/index")
+    facts, model = jobs.load_index(s, path)
+    again = chunks.embed_text(facts.withColumnRenamed("embedding", "stored"), model)
+    return again.groupBy("source").agg(F.count("*").alias("facts"),
+                                       F.count_if(F.col("stored") == F.col("embedding")).alias("n_alike"))
+
+
 @query
 def topic_share(s, d):
     return _double(topics.topic_share(_topic_table(s, d)), 6, "share").select("sentiment", "topic_id", "share")
@@ -868,8 +950,11 @@ def first_facts(s, d):
 
 @query
 def embed_text(s, d):
+    """Questions embedded by a model that was fitted on them, stored and read back."""
     q = inputs.questions(s, d)
-    out = chunks.embed_text(q, chunks.embed_model(q))
+    path = f"{_scratch(s)}/model"
+    chunks.embed_model(q).write().save(f"{path}/_models/1")
+    out = chunks.embed_text(q, files.src_embed_model(s, path))
     norm = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v)
     return out.select("conv_id", "turn", F.size("embedding").alias("dim"), F.bround(norm, 4).alias("norm"))
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.functions.scale import materialise
 from tillwise.operators.cleaning import clean_transactions
 
 # Known output tables, each with the columns that identify it under another name.
@@ -22,25 +24,106 @@ CATALOG = {
     "review_topics": ["sentiment", "topic_id", "top_words"],
     "customer_segments": ["cluster_id", "segment_name"],
 }
+COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 IMAGE_PATTERN = r"(?i)\.(png|jpg|jpeg)$"
 
 
 def read_any(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet dataset, or CSV with a header when the path says so."""
-    if re.search(r"\.csv/?$", path):
-        reader = spark.read.options(header=True, multiLine=True, escape='"')
-        return (reader.schema(schema) if schema else reader).csv(path)
-    return spark.read.parquet(path)
+    return _reader(spark.read.schema(schema) if schema and _is_csv(path) else spark.read, path)(path)
+
+
+def _is_csv(path: str) -> bool:
+    return re.search(r"\.csv/?$", path) is not None
+
+
+def _reader(reader, path: str):
+    """The load function for what ``path`` names; it takes a path or a list of files."""
+    if _is_csv(path):
+        return reader.options(header=True, multiLine=True, escape='"').csv
+    return lambda files: reader.parquet(*([files] if isinstance(files, str) else files))
+
+
+def _has_compressed(spark: SparkSession, path: str) -> bool:
+    try:
+        files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    except AnalysisException:
+        return False
+    return not files.where(F.col("file").rlike(COMPRESSED)).isEmpty()
+
+
+def extract_report(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per file of the extracts: ``(path, file, is_read, n_rows, why)``.
+
+    Rows are counted per file with broken files passed over, which for Parquet reads the footers only. A listed file
+    without rows is opened alone to tell an empty one from a broken one, and so is every compressed CSV file, since a
+    broken one gives rows before it fails. Plain CSV files are not read: ``n_rows`` is NULL. A path that is not there is
+    one row without a file.
+    """
+    parts = [_file_report(spark, path) for path in paths]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+REPORT = "path string, file string, is_read boolean, n_rows long, why string"
+
+
+def _file_report(spark: SparkSession, path: str) -> DataFrame:
+    file = F.col("_metadata.file_path")
+    try:
+        listed = spark.read.format("binaryFile").load(path).select(file.alias("file"))
+    except AnalysisException:
+        return spark.createDataFrame([(path, None, False, 0, "not found")], REPORT)
+    if _is_csv(path):
+        counted = listed.select("file", F.lit(None).cast("long").alias("n_rows"))
+        suspect = listed.where(F.col("file").rlike(COMPRESSED))
+    else:
+        try:
+            read = spark.read.option("ignoreCorruptFiles", True).parquet(path)
+            rows = read.groupBy(file.alias("file")).agg(F.count("*").alias("n_rows"))
+        except AnalysisException:               # no file has a readable schema
+            rows = spark.createDataFrame([], "file string, n_rows long")
+        counted = materialise(listed.join(rows, "file", "left"))
+        suspect = counted.where(F.col("n_rows").isNull()).select("file")
+    opened = [(r["file"], *_opened(spark, r["file"])) for r in suspect.collect()]       # only the files in doubt
+    found = spark.createDataFrame(opened, "file string, n_opened long, why string")
+    return counted.join(found, "file", "left").select(
+        F.lit(path).alias("path"), "file", F.col("why").isNull().alias("is_read"),
+        F.when(F.col("why").isNotNull(), 0).otherwise(F.coalesce("n_rows", "n_opened")).alias("n_rows"), "why")
+
+
+def _opened(spark: SparkSession, file: str) -> tuple[int, str | None]:
+    """Rows of one file, or 0 and the first line of what stands against reading it."""
+    try:
+        return (spark.read.csv(file) if re.search(COMPRESSED, file) else spark.read.parquet(file)).count(), None
+    except Exception as e:                      # whatever a reader throws at a broken file
+        return 0, str(e).strip().splitlines()[0]
 
 
 def src_union_extracts(spark: SparkSession, paths: list[str], clean: bool = True) -> DataFrame:
-    """Readable extracts put together (columns by name) and cleaned; fails when none can be read."""
+    """Readable extracts put together (columns by name) and cleaned; fails when none can be read.
+
+    A broken file is left out as a whole and the other files of its extract stay; :func:`extract_report` names it. A file
+    that breaks only behind a sound footer is an error when the rows are read, never a silent loss.
+    """
     parts = []
     for path in paths:
-        try:
-            parts.append(read_any(spark, path))
-        except AnalysisException:
+        if _is_csv(path) and not _has_compressed(spark, path):
+            try:
+                parts.append(read_any(spark, path))
+            except AnalysisException:
+                continue
+            continue
+        report = _file_report(spark, path)
+        if report.where("not is_read").isEmpty():
+            if not report.isEmpty():
+                parts.append(read_any(spark, path))
             continue
+        sound = [r["file"] for r in report.where("is_read").select("file").collect()]    # a listing, as Spark holds too
+        if sound:
+            parts.append(_reader(spark.read.option("basePath", path), path)(sound))
     if not parts:
         raise ValueError(f"no extract could be read: {paths}")
     out = parts[0]
@@ -154,12 +237,23 @@ def sink_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 # -- facts and word lists -----------------------------------------------------------------------------
 
-def sink_chunk_store(chunks: DataFrame, path: str) -> str:
-    """Facts with their vectors, laid out by source so that a source filter reads only its own files."""
+def sink_chunk_store(chunks: DataFrame, path: str, model: PipelineModel | None = None, version: str = "1") -> str:
+    """Facts with their vectors, laid out by source so that a source filter reads only its own files.
+
+    The model that made the vectors is kept beside them under its ``version``, where reading the facts does not see it,
+    so that a later session embeds its questions alike.
+    """
     chunks.write.mode("overwrite").partitionBy("source").parquet(path)
+    if model is not None:
+        model.write().overwrite().save(f"{path}/_models/{version}")
     return path
 
 
+def src_embed_model(spark: SparkSession, path: str, version: str = "1") -> PipelineModel:
+    """The embedding model that is stored with the facts under ``path``."""
+    return PipelineModel.read().session(spark).load(f"{path}/_models/{version}")
+
+
 def src_chunk_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -82,12 +82,13 @@ def foot_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") % 50 != 0)
+    return (table(spark, sf_dir, "embeddings")
             .select(F.col("vec_id").alias("chunk_id"),
                     F.concat(F.lit("source_"), F.col("label").cast("string")).alias("source"), "embedding"))
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors that stand for questions; they are facts as well."""
     return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") % 50 == 0)
             .select(F.col("vec_id").alias("query_id"), "embedding"))
 
