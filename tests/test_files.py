@@ -1,3 +1,6 @@
+import gzip
+
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -89,3 +92,44 @@ def test_schema_adherence(spark):
            for r in quality.schema_adherence(df, schemas.REVIEW_KEYWORDS).collect()}
     assert got == {"keyword": ("string", "string", True, 1), "score": ("double", "int", False, 1),
                    "sentiment": ("string", None, False, 0), "extra": (None, "string", False, 0)}
+
+
+def test_broken_extracts_are_left_out_and_named(spark, tmp_path):
+    spark.range(100).repartition(2).write.parquet(str(tmp_path / "a"))
+    spark.range(100, 130).write.parquet(str(tmp_path / "b"))
+    spark.range(0).write.parquet(str(tmp_path / "empty"))
+    parts = sorted((tmp_path / "a").glob("part-*.parquet"))
+    lost = spark.read.parquet(str(parts[0])).count()
+    parts[0].write_bytes(parts[0].read_bytes()[:-40])               # the footer is cut
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "part-0.parquet").write_bytes(b"no table at all")
+    (tmp_path / "z.csv").mkdir()
+    (tmp_path / "z.csv" / "x.csv.gz").write_bytes(gzip.compress(b"id\n" + b"7\n" * 9000)[:-30])
+    (tmp_path / "z.csv" / "y.csv.gz").write_bytes(gzip.compress(b"id\n500\n"))
+    paths = [str(tmp_path / p) for p in ("a", "b", "c", "empty", "gone", "z.csv")]
+    report = files.extract_report(spark, paths).collect()
+    broken = {r["file"].rsplit("/", 1)[1] for r in report if not r["is_read"] and r["file"]}
+    assert broken == {parts[0].name, "part-0.parquet", "x.csv.gz"}
+    assert all(r["why"] for r in report if not r["is_read"])
+    assert [r["why"] for r in report if r["file"] is None] == ["not found"]
+    assert sum(r["n_rows"] for r in report if r["path"] in paths[:4]) == 130 - lost
+    got = files.src_union_extracts(spark, paths[:5], clean=False)
+    assert got.count() == 130 - lost
+    assert [r["id"] for r in files.src_union_extracts(spark, paths[5:], clean=False).collect()] == ["500"]
+    with pytest.raises(ValueError):
+        files.src_union_extracts(spark, [paths[2], paths[4]], clean=False)
+
+
+def test_outliers_of_all_measures(spark):
+    rows = [(float(i % 7), None if i % 3 else float(i), None) for i in range(60)] + [(1000.0, -5000.0, None)] * 2
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {r["measure"]: r for r in quality.outlier_profile(df, ["a", "b", "c"]).collect()}
+    for name, at in (("a", 0), ("b", 1)):
+        v = np.array([r[at] for r in rows if r[at] is not None])
+        q1, q3 = np.quantile(v, [0.25, 0.75])
+        step = 1.5 * (q3 - q1)
+        r = got[name]
+        assert (r["q1"], r["q3"], r["n"]) == (pytest.approx(q1), pytest.approx(q3), len(v))
+        assert (r["n_low"], r["n_high"]) == ((v < q1 - step).sum(), (v > q3 + step).sum())
+    assert tuple(got["c"]) == ("c", 0, 0, 0, None, None)
+    assert quality.outlier_profile(df.limit(0), ["a"]).first()["n"] == 0

@@ -190,3 +190,36 @@ def test_context_of_null_conversations_and_turns(spark):
     got = routing.context_carry(spark.createDataFrame(rows, "conv_id long, turn long, product_id string"), ["product_id"], 2)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         [(None, 1, "a"), (None, 2, "a"), (1, None, "b"), (1, 1, None), (1, 2, "c"), (1, 3, "c"), (2, 1, None)], key=str)
+
+
+def test_near_words_equal_plain_comparison(spark):
+    noise = random.Random(11)
+    keys = sorted({k for _, phrases, _ in routing.INTENTS for k in routing._key_tokens(phrases)})
+    words = set(keys)
+    for k in keys * 6:
+        letters = list(k)
+        for _ in range(noise.randint(1, 3)):
+            at = noise.randrange(len(letters))
+            letters[at:at + 1] = noise.choice(["", "e", "x" + letters[at], letters[at] * 2])
+        words.add("".join(letters) or "none")
+    words = sorted(w for w in words if len(w) >= routing.FUZZY_MIN_LENGTH)
+    got = {r["word"]: list(r["points"]) for r in
+           routing.near_words(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
+    want = {w: [0.5 * sum(ratio(w, k) > routing.FUZZY_RATIO for k in routing._key_tokens(p)) for _, p, _ in routing.INTENTS]
+            for w in words}
+    assert got == {w: p for w, p in want.items() if any(p)} and len(got) < len(words)
+
+
+def test_questions_of_a_later_session_get_the_vectors_of_the_index(spark, tmp_path):
+    traffic = spark.createDataFrame([("f1", "41_A", 4), ("f2", "2", 1)], "timestamp string, zone_id string, people_count long")
+    facts, model = jobs.build_index_job({"cv_foot_traffic": traffic})
+    path = jobs.store_index(facts, model, str(tmp_path / "index"), version="7")
+    later = spark.newSession()
+    stored, same = jobs.load_index(later, path, version="7")
+    assert sorted(r["text"] for r in stored.collect()) == sorted(r["text"] for r in facts.collect())
+    questions = ["traffic in zone 41_A", "average people in zone 2", "", "xyzzy"]
+    embed = lambda session, m: [r["embedding"] for r in chunks.embed_text(asked(session, *questions), m).orderBy("turn").collect()]
+    assert embed(spark, model) == embed(later, same)
+    with pytest.raises(Exception):
+        jobs.load_index(later, path, version="8")

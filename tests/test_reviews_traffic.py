@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -104,3 +106,64 @@ def test_thirds_and_zero_frames(spark):
     assert listed[("f9", "1")] == 0 and len(listed) == 4
     assert traffic.join_box_zone(boxes).count() == 5
     assert traffic.heat_grid(boxes, cell=100).agg(F.sum("people")).first()[0] == 4
+
+
+def test_sample_of_repeated_and_missing_keys(spark):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 4 == 0, 77).when(F.col("id") % 50 != 1, F.col("id")).alias("id"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("score"), F.col("id").alias("row"))
+    for n in (40, 1000, 3990):
+        sample = cleaning.stratified_sample(rows, n)
+        got = {r["score"]: r["count"] for r in sample.groupBy("score").count().collect()}
+        sizes = {r["score"]: r["count"] for r in rows.groupBy("score").count().collect()}
+        assert got == {s: n * c // 4000 for s, c in sizes.items() if n * c // 4000}
+        assert sample.distinct().count() == sample.count()
+        assert sample.exceptAll(cleaning.stratified_sample(rows.repartition(5), n)).count() == 0
+        keys = [(hashlib.md5(str(r["id"] if r["id"] is not None else "").encode()).hexdigest(), r["row"]) for r in rows.collect()
+                if r["score"] == 1]
+        cut = sorted(keys)[n * sizes[1] // 4000 - 1][0]
+        assert {r["row"] for r in sample.where("score = 1").collect()} >= {row for h, row in keys if h < cut}
+    assert cleaning.stratified_sample(rows.limit(0), 10).count() == 0
+
+
+def test_lexicon_with_repeated_and_missing_ids(spark):
+    lexicon = spark.createDataFrame([("good", 0.5), ("bad", -0.25), ("ugly", -0.1)], "word string, valence double")
+    lexicon = lexicon.withColumn("valence", F.col("valence").cast("decimal(9,4)"))
+    texts = [(1, "good good bad"), (1, "bad"), (1, "bad"), (None, "good"), (2, None), (3, "nothing known"), (4, ""),
+             (1, "bad"), (None, "ugly ugly bad")]
+    got = reviews.lexicon_sentiment(spark.createDataFrame(texts, "id long, review_text string"), lexicon).collect()
+    value = {"good": 0.5, "bad": -0.25, "ugly": -0.1}
+    for r in got:
+        known = [value[w] for w in (r["review_text"] or "").split() if w in value]
+        assert abs(r["polarity"] - (sum(known) / len(known) if known else 0.0)) < 1e-9
+        assert abs(r["compound"] - sum(known) / (sum(known) ** 2 + 15) ** 0.5) < 1e-9
+    assert sorted((r["id"] or 0, r["review_text"] or "") for r in got) == sorted((i or 0, t or "") for i, t in texts)
+
+
+def test_topic_vocabulary_and_bags_against_plain_counts(spark):
+    noise = random.Random(5)
+    words = [f"{a}{b}ord" for a in "abcdefgh" for b in "pqrs"]
+    texts = [" ".join(noise.choices(words, range(1, 33), k=noise.randint(1, 12))) for _ in range(300)] + ["", None]
+    rows = labelled(spark, [("positive", 0.0, t) for t in texts] + [("negative", 0.0, "apord apord apord")] * 20)
+    tags = spark.createDataFrame([(w, "VB" if i % 5 == 0 else "NN") for i, w in enumerate(words)], "word string, tag string")
+    tokens = topics.topic_tokens(rows.withColumn("id", F.monotonically_increasing_id()), "positive", word_tags=tags, ident="id")
+    kept = [[w for w in (t or "").split() if words.index(w) % 5] for t in texts]
+    kept = [t for t in kept if len(t) >= 3]
+    docs = Counter(w for t in kept for w in set(t))
+    listed = sorted((-n, w) for w, n in docs.items() if 10 <= n <= 0.3 * len(kept))
+    vocabulary = topics.topic_vocabulary(tokens)
+    got = [(r["word"], r["docs"]) for r in vocabulary.orderBy("number").collect()]
+    assert got == [(w, -n) for n, w in listed] and 5 < len(got) < len(docs)
+    number = {w: i for i, (_, w) in enumerate(listed)}
+    bags = [tuple((b["number"], b["times"]) for b in r["bag"]) for r in topics.topic_bags(tokens, vocabulary).collect()]
+    want = [tuple(sorted(Counter(number[w] for w in t if w in number).items())) for t in kept]
+    assert sorted(bags) == sorted(want)
+
+
+def test_topics_get_the_theme_that_shares_their_words(spark):
+    named = spark.createDataFrame([("positive", 0, "coffee, drinks, cup", 3), ("negative", 1, "damaged, packaging, box", 2),
+                                   ("neutral", 0, "delivery, fast", 1)],
+                                  "sentiment string, topic_id int, top_words string, review_count long")
+    got = {r["sentiment"]: r["theme"] for r in topics.name_topics(named).collect()}
+    assert got == {"positive": "Coffee & Hot Drinks", "negative": "Damaged Packaging on Arrival",
+                   "neutral": "Fast & Reliable Delivery"}

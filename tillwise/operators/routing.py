@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.scalars import contains_any
-from tillwise.functions.scale import python_parallelism
+from tillwise.functions.scale import materialise, python_parallelism
 from tillwise.functions.words import word_runs
 
 # Ordered routing rules (phrases, sources); the first rule with a phrase in the question wins.
@@ -79,7 +79,6 @@ ZONE_SHORTCUTS = ["busiest", "most crowded", "top zones", "highest traffic", "zo
 OVERLAY_WORDS = ["overlay", "heatmap", "heat map"]
 KEYWORD_POINTS, FUZZY_POINTS, EXAMPLE_POINTS = 3.0, 0.5, 2.0
 FUZZY_MIN_LENGTH, FUZZY_RATIO, HELP_BELOW = 4, 0.85, 0.8
-WORD_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789_-"
 
 # Product and zone mentions. A neighbour outside letters, digits and underscore ends a mention.
 PRODUCT_MENTION = r"(?i)product\s*[:#-]?\s*([A-Za-z0-9]{3,15})"
@@ -128,27 +127,25 @@ def _key_tokens(phrases: list[str]) -> list[str]:
     return [t for p in phrases for t in re.findall(r"[a-z0-9_\-]+", p) if len(t) >= FUZZY_MIN_LENGTH]
 
 
+@F.pandas_udf(T.DoubleType())
+def _blocks_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Matching-blocks ratio of pairs of words."""
+    matcher = difflib.SequenceMatcher(None)
+
+    def ratio(a: str, b: str) -> float:
+        matcher.set_seqs(a, b)
+        return matcher.ratio()
+
+    return pd.Series([ratio(a, b) for a, b in zip(left, right)], dtype="float64")
+
+
 @F.pandas_udf(T.StructType([T.StructField("order", T.IntegerType()), T.StructField("score", T.DoubleType())]))
-def _best_by_blocks(messages: pd.Series, keyword_points: pd.Series) -> pd.DataFrame:
-    """Best intent of each message with the matching-blocks ratio.
+def _best_by_example(messages: pd.Series, points: pd.Series) -> pd.DataFrame:
+    """Best intent of each message: its points plus those for the nearest example of the intent.
 
     Ratios are only computed for intents whose upper bound can still win.
     """
     matcher = difflib.SequenceMatcher(None)
-    owners: dict[str, list[int]] = {}       # key word -> intents, once per phrase that holds it
-    for i, (_, phrases, _) in enumerate(INTENTS):
-        for key in _key_tokens(phrases):
-            owners.setdefault(key, []).append(i)
-    foreign = {k: str.maketrans("", "", "".join(set(WORD_LETTERS) - set(k))) for k in owners}
-    near: dict[str, list[int]] = {}
-
-    def similar(token: str, key: str) -> bool:
-        # at most the shorter word, and only letters of the key, can match
-        need = FUZZY_RATIO * (len(token) + len(key)) / 2
-        if min(len(token), len(key)) <= need or len(token.translate(foreign[key])) <= need:
-            return False
-        matcher.set_seqs(token, key)
-        return matcher.quick_ratio() > FUZZY_RATIO and matcher.ratio() > FUZZY_RATIO
 
     def example_ratio(message: str, examples: list[str]) -> float:
         best = 0.0
@@ -158,15 +155,7 @@ def _best_by_blocks(messages: pd.Series, keyword_points: pd.Series) -> pd.DataFr
                 best = max(best, matcher.ratio())
         return best
 
-    def best(message: str, keyword: list[float]) -> tuple[int, float]:
-        base = list(keyword)
-        for token in re.findall(r"[a-z0-9_\-]+", message):
-            if len(token) < FUZZY_MIN_LENGTH:
-                continue
-            if token not in near:
-                near[token] = [i for k, own in owners.items() if similar(token, k) for i in own]
-            for i in near[token]:
-                base[i] += FUZZY_POINTS
+    def best(message: str, base: list[float]) -> tuple[int, float]:
         bound = [b + EXAMPLE_POINTS * max(2 * min(len(message), len(e)) / max(len(message) + len(e), 1) for e in ex)
                  for b, (_, _, ex) in zip(base, INTENTS)]
         found = (-1.0, 0)
@@ -176,7 +165,40 @@ def _best_by_blocks(messages: pd.Series, keyword_points: pd.Series) -> pd.DataFr
             found = max(found, (base[i] + EXAMPLE_POINTS * example_ratio(message, INTENTS[i][2]), -i))
         return -found[1], found[0]
 
-    return pd.DataFrame([best(m, k) for m, k in zip(messages, keyword_points)], columns=["order", "score"])
+    return pd.DataFrame([best(m, p) for m, p in zip(messages, points)], columns=["order", "score"])
+
+
+def _letter_pairs(word: Column) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda i: F.substring(word, i, F.lit(2))))
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """Words (``word``, each once, of at least FUZZY_MIN_LENGTH letters) that resemble key words: ``(word, points)``.
+
+    ``points`` holds FUZZY_POINTS per resembling key word of each intent. Words are joined with the key words by the
+    pairs of neighbouring letters they share, and by length: a ratio above FUZZY_RATIO leaves so few letters unmatched
+    that some matching block has two. Only what meets so is compared, once for the whole table.
+    """
+    spark = words.sparkSession
+    owned = [(key, i) for i, (_, phrases, _) in enumerate(INTENTS) for key in _key_tokens(phrases)]
+    owners = spark.createDataFrame(owned, "key string, intent int")          # the fixed key words, once per phrase
+    keys = owners.select("key").distinct().select("key", F.explode(_letter_pairs(F.col("key"))).alias("pair"))
+    a, b = F.length("word"), F.length("key")
+    met = (words.select("word", F.explode(_letter_pairs(F.col("word"))).alias("pair")).join(F.broadcast(keys), "pair")
+           .where(2 * F.least(a, b) > FUZZY_RATIO * (a + b)).select("word", "key").distinct())
+    alike = met.where(_blocks_ratio("word", "key") > FUZZY_RATIO).join(F.broadcast(owners), "key")
+    return alike.groupBy("word").agg(F.array(*[
+        F.lit(FUZZY_POINTS) * F.count_if(F.col("intent") == i) for i in range(len(INTENTS))]).alias("points"))
+
+
+def _with_near_points(rows: DataFrame) -> DataFrame:
+    """``rows`` (``_tid``, ``_tokens``) with the points of their words that resemble key words, as ``_near``."""
+    tokens = rows.select("_tid", F.explode("_tokens").alias("word"))
+    near = near_words(tokens.select("word").distinct())
+    points = tokens.join(near, "word").groupBy("_tid").agg(F.array(*[
+        F.sum(F.col("points")[i]) for i in range(len(INTENTS))]).alias("_near"))
+    nothing = F.array(*[F.lit(0.0)] * len(INTENTS))
+    return rows.join(points, "_tid", "left").withColumn("_near", F.coalesce("_near", nothing))
 
 
 def _edit_points(message: Column, tokens: Column) -> list[Column]:
@@ -201,20 +223,22 @@ def intent_score(questions: DataFrame, similarity: str = "blocks", match: str =
     """
     if similarity == "edit":
         return _score_texts(questions, similarity, match)
-    # logs repeat themselves: Python sees each text once
-    texts = python_parallelism(questions.select("text").distinct())
-    return questions.join(_score_texts(texts, similarity, match), "text", "left")
+    # logs repeat themselves: each text is scored once; stored, its number stays the same for all readers
+    texts = questions.where(F.col("text").isNotNull()).select("text").distinct()
+    texts = materialise(python_parallelism(texts).withColumn("_tid", F.monotonically_increasing_id()))
+    return questions.join(_score_texts(texts, similarity, match).drop("_tid"), "text", "left")
 
 
-def _score_texts(texts: DataFrame, similarity: str, match: str) -> DataFrame:
-    message = F.col("_msg")
-    rows = (texts.withColumn("_msg", F.trim(_lower()))
-            .withColumn("_words", F.split(message, r"[^a-z0-9_-]+"))
+def _words_of(texts: DataFrame) -> DataFrame:
+    return (texts.withColumn("_msg", F.trim(_lower())).withColumn("_words", F.split("_msg", r"[^a-z0-9_-]+"))
             .withColumn("_tokens", F.filter("_words", lambda t: F.length(t) >= FUZZY_MIN_LENGTH)))
 
+
+def _keyword_points(match: str) -> list[Column]:
+    """KEYWORD_POINTS per key phrase found, one column per intent."""
     def found(phrase: str) -> Column:
         if match == "substring":
-            hit = F.contains(message, F.lit(phrase))
+            hit = F.contains("_msg", F.lit(phrase))
         elif match == "token":
             padded = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
             hit = F.contains(padded, F.lit(f" {phrase} "))
@@ -222,10 +246,22 @@ def _score_texts(texts: DataFrame, similarity: str, match: str) -> DataFrame:
             raise ValueError("match must be 'substring' or 'token'")
         return hit.cast("int")
 
-    keyword = [KEYWORD_POINTS * reduce(lambda a, b: a + b, [found(p) for p in phrases]) for _, phrases, _ in INTENTS]
+    return [KEYWORD_POINTS * reduce(lambda a, b: a + b, [found(p) for p in phrases]) for _, phrases, _ in INTENTS]
+
+
+def intent_points(questions: DataFrame, match: str = "substring") -> DataFrame:
+    """Questions with the points that key phrases alone give each ``intent``, as rows where there are any."""
+    listed = F.array(*[F.struct(F.lit(name).alias("intent"), points.alias("points"))
+                       for (name, _, _), points in zip(INTENTS, _keyword_points(match))])
+    return (_words_of(questions).select(*questions.columns, F.inline(listed)).where(F.col("points") > 0))
+
+
+def _score_texts(texts: DataFrame, similarity: str, match: str) -> DataFrame:
+    message, rows, keyword = F.col("_msg"), _words_of(texts), _keyword_points(match)
     if similarity == "blocks":
         names = F.array(*[F.lit(name) for name, _, _ in INTENTS])
-        rows = (rows.withColumn("_b", _best_by_blocks(message, F.array(*keyword)))
+        base = F.zip_with(F.array(*keyword), "_near", lambda a, b: a + b)
+        rows = (_with_near_points(rows).withColumn("_b", _best_by_example(message, base))
                 .withColumn("_best", F.struct(F.col("_b.score").alias("score"), names[F.col("_b.order")].alias("intent"))))
     elif similarity == "edit":
         # highest score first, then the earlier intent

@@ -826,6 +826,10 @@ _RAW = {
          (_contains_any(routing.PLOT_PHRASES), "'product_chart'"),
          (_contains_any(routing.RATING_PHRASES), "'rating_chart'")]) + " AS visual FROM questions",
     "intent_score": _intent_sql(),
+    "intent_points": " UNION ALL ".join(
+        f"SELECT conv_id, turn, '{name}' AS intent, CAST(3.0 * ("
+        + " + ".join(f"CAST(contains(trim(q), {_quote(p)}) AS INTEGER)" for p in phrases)
+        + ") AS DOUBLE) AS points FROM questions WHERE " + _contains_any(phrases) for name, phrases, _ in routing.INTENTS),
     "answer_tables": _answers_sql(),
     "extract_product": "SELECT conv_id, turn, product_id FROM products",
     "join_token_entity": """

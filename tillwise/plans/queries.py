@@ -73,15 +73,15 @@ def _discount(s, d):
     return inventory.discount_decisions(*_units(s, d))
 
 
-def _rfm(s, d):
-    return segments.rfm(_clean(s, d))
+def _rfm(s, d, clean=None):
+    return segments.rfm(_clean(s, d) if clean is None else clean)
 
 
-def _clustered(s, d):
+def _clustered(s, d, clean=None):
     """Customers with rule-made clusters, so that the summaries can be compared with SQL."""
     f, r, m = F.col("frequency"), F.col("recency"), F.col("monetary")
     rule = (F.when((f >= 8) & (r < 100), 0).when(f >= 8, 1).when(r < 150, 2).when(m >= 500000, 3).otherwise(4))
-    return _rfm(s, d).withColumn("cluster_id", rule)
+    return _rfm(s, d, clean).withColumn("cluster_id", rule)
 
 
 def _stats(s, d):
@@ -1018,6 +1018,11 @@ def intent_score_blocks(s, d):
     return _double(r, 4, "score").select("conv_id", "turn", "intent", "score")
 
 
+@query
+def intent_points(s, d):
+    return routing.intent_points(inputs.questions(s, d)).select("conv_id", "turn", "intent", "points")
+
+
 def _products(s, d):
     return inputs.table(s, d, "part").select(F.col("p_partkey").cast("string").alias("product_id"))
 
@@ -1074,5 +1079,10 @@ def answer_questions(s, d):
 
 @query
 def kpi_strip(s, d):
-    return kpis.kpi_strip(_forecast(s, d), _inventory(s, d), _trends(s, d), segments.segment_names(_clustered(s, d)),
-                          _frames(s, d))
+    """All figures over one stored table of cleaned lines."""
+    clean = materialise(_clean(s, d))
+    sold = forecast.sales_forecast(sales.weekly_product_sales(clean, "sales"))
+    units = materialise(forecast.sales_forecast(sales.weekly_product_sales(clean, "quantity")))
+    stock = inventory.inventory_decisions(units, sales.stock_from_sales(clean, None), inventory.abc_classes(units))
+    named = segments.segment_names(_clustered(s, d, clean))
+    return kpis.kpi_strip(sold, stock, _trends(s, d), named, _frames(s, d))

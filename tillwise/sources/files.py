@@ -83,9 +83,9 @@ def _file_report(spark: SparkSession, path: str) -> DataFrame:
         try:
             read = spark.read.option("ignoreCorruptFiles", True).parquet(path)
             rows = read.groupBy(file.alias("file")).agg(F.count("*").alias("n_rows"))
-        except AnalysisException:               # no file has a readable schema
-            rows = spark.createDataFrame([], "file string, n_rows long")
-        counted = materialise(listed.join(rows, "file", "left"))
+            counted = materialise(listed.join(rows, "file", "left"))
+        except Exception:       # no schema at all, or a fault that Spark does not pass over: every file is in doubt
+            counted = materialise(listed.withColumn("n_rows", F.lit(None).cast("long")))
         suspect = counted.where(F.col("n_rows").isNull()).select("file")
     opened = [(r["file"], *_opened(spark, r["file"])) for r in suspect.collect()]       # only the files in doubt
     found = spark.createDataFrame(opened, "file string, n_opened long, why string")
