@@ -369,3 +369,15 @@ def test_rare_n_grams_of_large_texts_are_kept(spark):
     for r in judged.scores.where("chars > 0").withColumnRenamed("id", "doc_id").collect():
         other = [t for i, t in rows[:4] if halves[i] != halves[r.doc_id]]
         assert (r.loss is None) if not other else r.loss == pytest.approx(plain_losses(other, [rows[r.doc_id - 1][1]])[0])
+
+
+def test_long_texts_are_summed_in_pieces(monkeypatch):
+    rng = np.random.default_rng(9)
+    texts = [None, "", " \n ", "a", "x" * 500, "w " * 400, " ".join(map(str, rng.integers(0, 5000, 600))),
+             "".join(rng.choice(list("aB\t\n  \x0bz\u00e9\u3000\x1c"), 3000))]
+    for n in (1, 3, 5):
+        whole = [shingle_join.Shingles(n).of(t) for t in texts]
+        with monkeypatch.context() as small:
+            small.setattr(shingle_join, "PIECE", 64)
+            for t, h in zip(texts, whole):
+                assert np.array_equal(shingle_join.Shingles(n).of(t), h)

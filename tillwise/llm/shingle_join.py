@@ -22,7 +22,8 @@ BLOCK_BYTES = 1 << 23
 CHUNK_ROWS = 50_000                 # keys of classes that one call of _near may hold
 HOT_ROWS, HOT_SHARE, HOT_LEAST, HOT_ONE_IN = 1 << 16, 16, 8, 400
 SALT = 64
-SET_ROWS = 200                      # sets that a task hands on at a time, since a set may be long
+SET_ROWS = 500                      # texts whose sets and keys a task hands on at a time, since they may be long
+PIECE = 1 << 16                     # bytes of a text that are summed at a time
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -42,21 +43,42 @@ class Shingles:
         self.n, self.up, self.down = n, np.ones(1, np.uint64), np.ones(1, np.uint64)
 
     def of(self, text: str | None) -> np.ndarray:
-        raw = b" ".join(text.encode("utf-8", "replace").lower().split()) if text else b""
-        if not raw:
+        raw = text.encode("utf-8", "replace").lower() if text else b""
+        a = _one_blank(raw) if len(raw) > PIECE else np.frombuffer(b" ".join(raw.split()), np.uint8)
+        if not len(a):
             return np.zeros(0, np.uint64)
-        size = len(raw)
-        if len(self.up) <= size:
-            factor = np.full(2 * size, np.uint64(BASE)), np.full(2 * size, np.uint64(UNBASE))
-            self.up, self.down = (np.multiply.accumulate(np.append(np.uint64(1), f)) for f in factor)
-        a = np.frombuffer(raw, np.uint8)
         blanks = np.flatnonzero(a == 32)
-        starts, ends = np.append(0, blanks + 1), np.append(blanks, size)
+        starts, ends = np.append(0, blanks + 1), np.append(blanks, len(a))
         starts, ends = starts[:max(1, len(starts) - self.n + 1)], ends[min(self.n, len(ends)) - 1:]
+        if len(a) <= PIECE:
+            return np.unique(self._runs(a, starts, ends))
+        # a hash does not depend on where its run stands, so a long text is summed in pieces
+        cuts = np.searchsorted(starts, np.arange(0, starts[-1] + 1, PIECE))
+        cuts = np.append(np.unique(cuts), len(starts))
+        return np.unique(np.concatenate([self._runs(a, starts[i:j], ends[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]))
+
+    def _runs(self, a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        first, size = starts[0], ends[-1] - starts[0]
+        if len(self.up) <= size:
+            factor = np.full(size + PIECE, np.uint64(BASE)), np.full(size + PIECE, np.uint64(UNBASE))
+            self.up, self.down = (np.multiply.accumulate(np.append(np.uint64(1), f)) for f in factor)
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum((a.astype(np.uint64) + np.uint64(1)) * self.up[:size], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * self.down[starts]
-        return np.unique(_mixed(h + (ends - starts).astype(np.uint64)))
+        sums[1:] = a[first:first + size]
+        sums[1:] += np.uint64(1)
+        sums[1:] *= self.up[:size]
+        np.cumsum(sums, out=sums)
+        h = (sums[ends - first] - sums[starts - first]) * self.down[starts - first]
+        return _mixed(h + (ends - starts).astype(np.uint64))
+
+
+def _one_blank(raw: bytes) -> np.ndarray:
+    """The bytes of the words, with one blank between two."""
+    a = np.frombuffer(raw, np.uint8)
+    blank = (a == 32) | ((a >= 9) & (a <= 13))
+    keep = ~blank
+    keep[1:] |= ~blank[:-1]                 # and the first blank behind a word
+    a, blank = np.where(blank, np.uint8(32), a)[keep], blank[keep]
+    return a[:-1] if len(a) and blank[-1] else a
 
 
 def difference(a, b, num: int, den: int):
@@ -133,7 +155,7 @@ def _hot_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
 def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(n)
-        for batch in batches:
+        for batch in (b.iloc[i:i + SET_ROWS] for b in batches for i in range(0, len(b), SET_ROWS)):
             sizes, names, keys, common, bits = [], [], [], [], []
             for content in batch[text]:
                 h = shingles.of(content)
@@ -143,8 +165,8 @@ def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
                 keys.append(plain.view(np.int64))
                 common.append(shared.view(np.int64))
                 bits.append(parity(h).tobytes())
-            yield pd.DataFrame({ident: batch[ident], "n_shingles": sizes, "name": names, "keys": keys, "common": common,
-                                "bits": bits})
+            yield pd.DataFrame({ident: batch[ident].to_numpy(), "n_shingles": sizes, "name": names, "keys": keys,
+                                "common": common, "bits": bits})
     return sketch
 
 
