@@ -25,6 +25,21 @@ def op1_embedding_near_dedup(s, d):
     return grid.grid_order_join(table(s, d, "embeddings"))
 
 
+ORACLES["op1_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS MATERIALIZED (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+                       ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM usable UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+found AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least, vec_id) AS component_id,
+       coalesce(least, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN found ON found.a = vec_id LEFT JOIN counted ON counted.a = vec_id"""
+
+
 @query
 def op3_source_mix(s, d):
     mixed = mixing.mix_documents(table(s, d, "documents"), ["doc_id", "source"])
@@ -36,6 +51,16 @@ def op10_exact_top_k(s, d):
     return topk.top_k(table(s, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+ORACLES["op10_exact_top_k"] = """
+WITH whole AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
 @query
 def op6_best_fit_packing(s, d):
     return packing.pack_documents(table(s, d, "documents")).withColumn("length", F.col("length").cast("long"))
@@ -105,6 +130,25 @@ def op4_shingle_jaccard_join(s, d):
     return shingle_join.shingle_components(table(s, d, "documents"), n=3, num=90, den=100)
 
 
+# pairs that share a shingle are counted only among those that stand in documents of near sizes
+ORACLES["op4_shingle_jaccard_join"] = r"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM split WHERE len(w) > 0),
+shingles AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 3], ' ') AS g FROM runs),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+sized AS MATERIALIZED (SELECT doc_id, g, n FROM shingles JOIN sizes USING (doc_id)),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n_a, b.n AS n_b, count(*) AS shared
+           FROM sized a JOIN sized b ON a.g = b.g AND a.doc_id < b.doc_id
+           AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
+linked AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * shared >= 90 * (n_a + n_b - shared)),
+links AS MATERIALIZED (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach(a, b) AS (SELECT DISTINCT a, a FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+found AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN found ON found.a = d.doc_id"""
+
+
 @query
 def op11_fill_in_middle(s, d):
     made = fim.fill_in_middle(table(s, d, "documents"))
