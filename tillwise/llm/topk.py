@@ -14,6 +14,7 @@ from tillwise.functions.scale import materialise
 from tillwise.llm.vectors import dense, finite, matrix, pack, width_of
 
 BINS = 128
+SLICE = 64                          # candidate blocks that one histogram sums
 EXACT = 2.0 ** 53
 LIMIT = 2 ** 62 - 1
 STATE = "struct<pos:int,low:long,span:long,wanted:long>"
@@ -60,10 +61,21 @@ def _start(top_norm: float, k: int):
     return start
 
 
-def _scores(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _meetings(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(query block, candidate block) of rows ordered by block and slice, the query block ahead of its candidates."""
+    asked = None
+    for batch in batches:
+        for r in batch.itertuples():
+            if r.cb < 0:
+                asked = r
+            elif asked is not None and (asked.qb, asked.slice) == (r.qb, r.slice):
+                yield asked, r
+
+
+def _scores(q, c) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, candidate ids, scores and which scores are of a query's own id."""
-    qids, cids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.cids, np.int64)
-    return qids, cids, products(matrix(r.m, r.n), matrix(r.cm, r.cn)), qids[:, None] == cids
+    qids, cids = np.frombuffer(q.ids, np.int64), np.frombuffer(c.ids, np.int64)
+    return qids, cids, products(matrix(q.m, q.n), matrix(c.m, c.n)), qids[:, None] == cids
 
 
 def _fields(state, *names) -> list[np.ndarray]:
@@ -71,35 +83,41 @@ def _fields(state, *names) -> list[np.ndarray]:
 
 
 def _histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of each query's scores in the bins of its range [low, low + span)."""
-    for batch in batches:
-        for r in batch.itertuples():
-            _, _, score, own = _scores(r)
-            low, span = _fields(r.state, "low", "span")
-            over = score - low[:, None]
-            inside = ~own & (over >= 0) & (over < span[:, None])
-            bins = over // -(-span // BINS)[:, None]
-            flat = (np.arange(r.n)[:, None] * BINS + bins)[inside]
-            counts = np.bincount(flat, minlength=r.n * BINS)
-            at = np.flatnonzero(counts)
-            yield pd.DataFrame({"qb": r.qb, "pos": at // BINS, "bin": at % BINS, "n": counts[at]})
+    """Counts of each query's scores in the bins of its range [low, low + span), summed over a slice of candidates."""
+    def bins_of(block, counts: np.ndarray) -> pd.DataFrame:
+        at = np.flatnonzero(counts)
+        return pd.DataFrame({"qb": block.qb, "pos": at // BINS, "bin": at % BINS, "n": counts[at]})
+
+    asked = None
+    for block, other in _meetings(batches):
+        if block is not asked:
+            if asked is not None:
+                yield bins_of(asked, counts)
+            asked, counts = block, np.zeros(block.n * BINS, np.int64)
+            low, span = _fields(block.state, "low", "span")
+        _, _, score, own = _scores(block, other)
+        over = score - low[:, None]
+        inside = ~own & (over >= 0) & (over < span[:, None])
+        bins = over // -(-span // BINS)[:, None]
+        counts += np.bincount((np.arange(block.n)[:, None] * BINS + bins)[inside], minlength=len(counts))
+    if asked is not None:
+        yield bins_of(asked, counts)
 
 
 def _keep(k: int):
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                qids, cids, score, own = _scores(r)
-                low, = _fields(r.state, "low")
-                for start in range(0, r.n, 128):         # a slice of the queries bounds the memory of many ties
-                    part = slice(start, start + 128)
-                    qi, ci = np.nonzero((score[part] >= low[part, None]) & ~own[part])
-                    s = score[part][qi, ci]
-                    order = np.lexsort((cids[ci], -s, qi))
-                    qi, ci, s = qi[order], ci[order], s[order]
-                    first = np.searchsorted(qi, qi)      # of the ties only the smallest ids can still be in
-                    best = np.arange(len(qi)) - first < k
-                    yield pd.DataFrame({"query_id": qids[part][qi[best]], "vec_id": cids[ci[best]], "score": s[best]})
+        for block, other in _meetings(batches):
+            qids, cids, score, own = _scores(block, other)
+            low, = _fields(block.state, "low")
+            for start in range(0, block.n, 128):         # a slice of the queries bounds the memory of many ties
+                part = slice(start, start + 128)
+                qi, ci = np.nonzero((score[part] >= low[part, None]) & ~own[part])
+                s = score[part][qi, ci]
+                order = np.lexsort((cids[ci], -s, qi))
+                qi, ci, s = qi[order], ci[order], s[order]
+                first = np.searchsorted(qi, qi)          # of the ties only the smallest ids can still be in
+                best = np.arange(len(qi)) - first < k
+                yield pd.DataFrame({"query_id": qids[part][qi[best]], "vec_id": cids[ci[best]], "score": s[best]})
     return keep
 
 
@@ -127,10 +145,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     numbers ``floor(scale * x)``.
 
     ``is_query`` is the condition that picks the queries; every other row is a candidate for each of them, a query's
-    own id is not. Blocks of queries meet blocks of candidates; each pass scores all of them and sums a histogram of
-    128 bins for every query, the next one refines the bin with the k-th score, until it is one value. A last pass
-    keeps what reaches it; of equal scores a pair of blocks passes on no more than the k smallest ids. So at most 128
-    counts or k rows a query leave a pair of blocks, however many vectors are equal.
+    own id is not. A block of queries is held while a slice of up to SLICE blocks of candidates streams by; each pass
+    scores all of them and sums a histogram of 128 bins for every query, the next one refines the bin with the k-th
+    score, until it is one value. A last pass keeps what reaches it; of equal scores a pair of blocks passes on no more
+    than the k smallest ids. So at most 128 counts a query leave a slice and k rows a pair of blocks, however many
+    vectors are equal.
 
     Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows without an id.
     Shorter vectors count as if they ended in zeros. Rows that repeat an id are candidates one by one; as a query
@@ -143,12 +162,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     queries, n_queries = whole_blocks(asked, scale, query_rows, width, "qb")
     rows, n_rows = whole_blocks(usable.select(F.col(ident).cast("long").alias("id"), F.col(vector).alias("v")),
                                 scale, block_rows, width, "cb")
-    others = rows.select("cb", F.col("ids").alias("cids"), F.col("n").alias("cn"), F.col("m").alias("cm"),
-                         F.explode(F.sequence(F.lit(0), F.lit(max(1, n_queries) - 1))).alias("qb"))
+    spark = vectors.sparkSession
+    slices = max(1, min(n_rows, max(4, math.ceil(n_rows / SLICE), math.ceil(
+        spark.sparkContext.defaultParallelism / max(1, n_queries)))))
+    tasks = max(1, min(n_queries * slices, 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    slice_of = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
+    block_of = F.explode(F.sequence(F.lit(0), F.lit(max(1, n_queries) - 1))).alias("qb")
+    others = rows.select(block_of, F.pmod("cb", F.lit(slices)).alias("slice"), "cb", "ids", "n", "m",
+                         F.lit(None).cast(f"array<{STATE}>").alias("state"))
 
     def met(state: DataFrame) -> DataFrame:
-        asking = queries.join(state, "qb").withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(max(1, n_rows) - 1))))
-        return asking.join(others, ["qb", "cb"])
+        asking = queries.join(state, "qb").select("qb", slice_of, F.lit(-1).alias("cb"), "ids", "n", "m", "state")
+        return asking.unionByName(others).repartition(tasks, "qb", "slice").sortWithinPartitions("qb", "slice", "cb")
 
     top_norm = rows.agg(F.max("norm")).first()[0] or 0.0
     state = materialise(queries.mapInPandas(_start(top_norm, k), f"qb int, state array<{STATE}>"))
