@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillwise.llm import (components, cross_entropy, grid, kneser_ney, licenses, mixing, packing, quality, separators,
-                          shingle_join, tool_calls, topk)
+                          shingle_join, tables, tool_calls, topk)
 from tillwise.llm.registry import QUERIES
 from tillwise.llm.tokens import Tokens
 
@@ -381,3 +381,12 @@ def test_long_texts_are_summed_in_pieces(monkeypatch):
             small.setattr(shingle_join, "PIECE", 64)
             for t, h in zip(texts, whole):
                 assert np.array_equal(shingle_join.Shingles(n).of(t), h)
+
+
+def test_small_batches_puts_settings_back(spark):
+    before = {name: spark.conf.get(name) for name in tables.BATCH}
+    with pytest.raises(ValueError):
+        with tables.small_batches(spark):
+            assert {name: spark.conf.get(name) for name in tables.BATCH} == tables.BATCH
+            raise ValueError
+    assert {name: spark.conf.get(name) for name in tables.BATCH} == before
