@@ -167,3 +167,24 @@ def test_topics_get_the_theme_that_shares_their_words(spark):
     got = {r["sentiment"]: r["theme"] for r in topics.name_topics(named).collect()}
     assert got == {"positive": "Coffee & Hot Drinks", "negative": "Damaged Packaging on Arrival",
                    "neutral": "Fast & Reliable Delivery"}
+
+
+def test_lexicon_hashes_once_a_review(spark):
+    """Nothing above the explode reads the text: it would be hashed and carried once a word."""
+    rows = spark.createDataFrame([(1, "good bad good"), (1, "good bad good"), (None, "bad"), (None, None), (2, "")],
+                                 "id long, review_text string")
+    lexicon = spark.createDataFrame([("good", 0.5), ("bad", -0.25)], "word string, valence double")
+    out = reviews.lexicon_sentiment(rows, lexicon)
+    got = sorted((r.id or 0, round(r.polarity, 6)) for r in out.select("id", "polarity").collect())
+    assert got == [(0, -0.25), (0, 0.0), (1, 0.25), (1, 0.25), (2, 0.0)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    assert not any("md5" in line or "xxhash64" in line for line in plan[at - 2:at])
+
+
+def test_lexicon_of_any_size(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "good bad good"), (2, "bad"), (3, "none")], "id long, review_text string")
+    lexicon = spark.createDataFrame([("good", 0.5), ("bad", -0.25)], "word string, valence double")
+    few = sorted(map(tuple, reviews.lexicon_sentiment(rows, lexicon).collect()))
+    monkeypatch.setattr(reviews, "SMALL_LEXICON", 0)
+    assert sorted(map(tuple, reviews.lexicon_sentiment(rows, lexicon).collect())) == few
