@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,3 +224,28 @@ def test_questions_of_a_later_session_get_the_vectors_of_the_index(spark, tmp_pa
     assert embed(spark, model) == embed(later, same)
     with pytest.raises(Exception):
         jobs.load_index(later, path, version="8")
+
+
+def test_search_hands_on_few_vectors_at_a_time():
+    rng = np.random.default_rng(1)
+    stats = [{"part": "a", "cell": i, "n": 9, "radius": 3.0, "low": 1.0, "high": 1.0} for i in range(50)]
+    groups = retrieval._Groups(np.eye(50, 64), stats, 3)
+    asked = pd.DataFrame({"query_id": range(600), "qh": range(600), "embedding": list(rng.random((600, 64))), "floor": np.nan})
+    out = list(retrieval._probe(groups, True, False)([asked]))
+    likely = list(retrieval._probe(groups, False, False)([asked]))
+    pairs = [set(zip(d.query_id, d.grp)) for d in (pd.concat(out), pd.concat(likely))]
+    assert max(map(len, out)) <= 4096 and sum(map(len, out)) > 4096
+    assert not pairs[0] & pairs[1] and pairs[0] | pairs[1] == {(q, g) for q in range(600) for g in range(50)}
+    assert all((d.embedding.iat[0] == asked.embedding[d.query_id.iat[0]]).all() for d in out)
+
+
+def test_search_with_many_copies_of_a_block(spark):
+    """Blocks of two rows on both sides: every question meets every fact in some copy."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(-3, 4, (90, 4)).astype(float)
+    facts = spark.createDataFrame([(i, "s", v.tolist()) for i, v in enumerate(x)], "chunk_id long, source string, embedding array<float>")
+    asked = facts.where("chunk_id < 20").select(F.col("chunk_id").alias("query_id"), "embedding")
+    got = {(r.query_id, r["rank"]): r.chunk_id for r in retrieval.vector_search(facts, asked, 3, 4, block_rows=2).collect()}
+    for q in range(20):
+        best = sorted(range(90), key=lambda i: (-(x[q] @ x[i]), i))[:3]
+        assert [got[q, k] for k in (1, 2, 3)] == best

@@ -25,6 +25,7 @@ SCORE_DIGITS = 6
 SLACK = 1e-5        # covers the rounding of scores and of the bound itself
 TILE = 256          # questions scored at a time inside a block
 MAX_PIVOTS = 1024
+PAIRS = 4096        # copies of vectors that a task hands on at a time
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -74,22 +75,26 @@ def _probe(groups: _Groups, second_round: bool, filtered: bool):
     """Questions -> (question, group) rows of one round."""
     def run(batches):
         for batch in batches:
-            x = _matrix(batch["embedding"])
-            bound = groups.bounds(x)
-            rows, hits = [], []
-            for i in range(len(batch)):
-                ok = groups.allowed(batch["sources"].iat[i] if filtered else None)
-                first = groups.likely(bound[i], ok)
-                if second_round:
-                    floor = batch["floor"].iat[i]
-                    again = ok & (bound[i] >= (floor if floor == floor else -np.inf) - SLACK)
-                    again[first] = False
-                    first = np.flatnonzero(again)
-                rows.extend([i] * len(first))
-                hits.extend(first.tolist())
-            yield pd.DataFrame({"query_id": batch["query_id"].to_numpy()[rows], "qh": batch["qh"].to_numpy()[rows],
-                                "grp": np.array(hits, dtype="int32"),
-                                "embedding": batch["embedding"].to_numpy()[rows]})
+            ids, qh, vectors = (batch[c].to_numpy() for c in ("query_id", "qh", "embedding"))
+            for a in range(0, len(batch), TILE):
+                part = batch.iloc[a:a + TILE]
+                bound = groups.bounds(_matrix(part["embedding"]))
+                rows, hits = [], []
+                for i in range(len(part)):
+                    ok = groups.allowed(part["sources"].iat[i] if filtered else None)
+                    first = groups.likely(bound[i], ok)
+                    if second_round:
+                        floor = part["floor"].iat[i]
+                        again = ok & (bound[i] >= (floor if floor == floor else -np.inf) - SLACK)
+                        again[first] = False
+                        first = np.flatnonzero(again)
+                    rows.append(np.full(len(first), a + i))
+                    hits.append(first.astype("int32"))
+                rows, hits = np.concatenate(rows), np.concatenate(hits)
+                for b in range(0, len(rows), PAIRS):
+                    own = rows[b:b + PAIRS]
+                    yield pd.DataFrame({"query_id": ids[own], "qh": qh[own], "grp": hits[b:b + PAIRS],
+                                        "embedding": vectors[own]})
     return run
 
 
@@ -129,12 +134,15 @@ def _score(pairs: DataFrame, facts: DataFrame, groups: _Groups, top_k: int, bloc
         own_n, other_n = np.array(own), np.array(other)
         for batch in batches:
             g = batch["grp"].to_numpy()
-            row = np.repeat(np.arange(len(batch)), other_n[g])
-            copy = np.concatenate([np.arange(n) for n in other_n[g]]) if len(batch) else np.array([], dtype=int)
-            out = batch.iloc[row].copy()
-            out[own_name] = (batch[key].to_numpy() % own_n[g])[row].astype("int32")
-            out[other_name] = copy.astype("int32")
-            yield out.drop(columns=[key])
+            ends = np.cumsum(other_n[g])
+            total = int(ends[-1]) if len(ends) else 0
+            for a in range(0, total, PAIRS):
+                place = np.arange(a, min(a + PAIRS, total))
+                row = np.searchsorted(ends, place, "right")
+                out = batch.iloc[row].copy()
+                out[own_name] = (batch[key].to_numpy() % own_n[g])[row].astype("int32")
+                out[other_name] = (place - ends[row] + other_n[g][row]).astype("int32")
+                yield out.drop(columns=[key])
 
     questions = pairs.mapInPandas(lambda b: copies(b, query_blocks, fact_blocks, "qh", "qb", "fb"),
                                   f"query_id {query_type}, grp int, embedding array<float>, qb int, fb int")
@@ -148,7 +156,7 @@ def _score(pairs: DataFrame, facts: DataFrame, groups: _Groups, top_k: int, bloc
 
 
 def vector_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, pivots: int | None = None,
-                  block_rows: int = 32_768, compat_over_fetch: bool = False) -> DataFrame:
+                  block_rows: int = 8_192, compat_over_fetch: bool = False) -> DataFrame:
     """Exact ``top_k`` facts per question by inner product: ``(query_id, rank, chunk_id, source, score)``.
 
     ``chunks`` has chunk_id, source, embedding; ``queries`` has query_id, embedding and, optionally,
