@@ -390,3 +390,13 @@ def test_small_batches_puts_settings_back(spark):
             assert {name: spark.conf.get(name) for name in tables.BATCH} == tables.BATCH
             raise ValueError
     assert {name: spark.conf.get(name) for name in tables.BATCH} == before
+
+
+def test_models_learn_from_all_labelled_documents(spark):
+    """If every document is a target, both models are the same; a trusted text beyond any number of others counts."""
+    table = spark.range(20_600).select(F.col("id").alias("doc_id"), F.substring(F.md5(F.col("id").cast("string")), 1, 9).alias("text"),
+                                       F.lit("en").alias("lang"))
+    scored = cross_entropy.score_documents(table, table.select("doc_id"))
+    assert scored.where("score != 0").count() == 0
+    ids = kneser_ney.trusted_ids(table.withColumn("quality", F.lit(1)), F.col("quality") == 1)
+    assert ids.count() == 20_600

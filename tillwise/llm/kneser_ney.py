@@ -15,7 +15,8 @@ from tillwise.functions.scale import materialise
 from tillwise.llm.tables import discard
 
 PAD = "\x02"            # stands before a text
-SLICE = 2_000_000       # characters looked at together
+SLICE = 1_000_000       # characters looked at together
+FEW_IDS = 1 << 20       # ids that may be sent to every executor
 PART = 8_000_000        # characters of the documents that ask for their n-grams together
 
 
@@ -157,10 +158,14 @@ class Models:
         return out
 
 
-def trusted_sample(labels: DataFrame, condition: Column, rows: int, ident: str = "doc_id") -> DataFrame:
-    """At most ``rows`` ids of labelled documents that meet ``condition``: those with the smallest hashes."""
-    ids = labels.where(condition & F.col(ident).isNotNull()).select(F.col(ident).alias("_id")).distinct()
-    return materialise(ids.orderBy(F.xxhash64("_id"), "_id").limit(rows))
+def trusted_ids(labels: DataFrame, condition: Column, ident: str = "doc_id") -> DataFrame:
+    """The ids, as ``_id`` and each once, of all labelled documents that meet ``condition``; a stored table of any size."""
+    return materialise(labels.where(condition & F.col(ident).isNotNull()).select(F.col(ident).alias("_id")).distinct())
+
+
+def sent_if_few(ids: DataFrame) -> DataFrame:
+    """The stored ids with a broadcast hint if they are at most FEW_IDS; more meet the documents in a shuffle."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
 
 
 def fit(texts: DataFrame, order: int, vocabulary: int, max_grams: int) -> Models:

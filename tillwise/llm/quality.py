@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.scale import materialise
-from tillwise.llm.kneser_ney import document_losses, quantile, table_of, trusted_sample
+from tillwise.llm.kneser_ney import document_losses, quantile, sent_if_few, table_of, trusted_ids
 from tillwise.llm.tables import discard
 
 ORDER = 4
@@ -24,20 +24,20 @@ def _model(lang: str, half: Column) -> Column:
 class Classifier:
     """Models of trusted text by language, and the highest loss that a language's documents may have.
 
-    Trusted documents are labelled ``quality = 1``; at most ``sample_rows`` of them, those with the smallest hashes
-    of their ids, train the models: modified Kneser-Ney over runs of four characters. Texts are halved by a hash, each half is scored by the model of the
-    other, so no text is judged by a model that has seen it. A language's limit lies above the ``q``-quantile of all
+    Trusted documents are labelled ``quality = 1``; all of them train the models: modified Kneser-Ney over runs of
+    four characters. Texts are halved by a hash, each half is scored by the model of the other, so no text is judged
+    by a model that has seen it. A language's limit lies above the ``q``-quantile of all
     of its trusted documents, by ``margin`` times the distance of that quantile from the median. A language without
     trusted documents has no limit and keeps all its texts; an empty or null text is rejected; an empty table gives
     empty results. Further columns of the documents, of whatever name, play no part.
     """
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, q: float = 0.995,
-                 margin: float = 0.25, ident: str = "doc_id", text: str = "text", lang: str = "lang"):
+    def __init__(self, docs: DataFrame, labels: DataFrame, q: float = 0.995, margin: float = 0.25,
+                 ident: str = "doc_id", text: str = "text", lang: str = "lang"):
         self.ident, self.text, self.lang = ident, text, lang
         rows = docs.select(F.col(f"`{ident}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
-        trusted = trusted_sample(labels, F.col("quality") == 1, sample_rows, ident)
-        training = (rows.join(F.broadcast(trusted), F.col("id") == F.col("_id"))        # at most sample_rows ids
+        trusted = trusted_ids(labels, F.col("quality") == 1, ident)
+        training = (rows.join(sent_if_few(trusted), F.col("id") == F.col("_id"))
                     .select(_model("lang", 1 - _half("text")).alias("model"), "text"))
         tables = table_of(training, ORDER, VOCABULARY)
         # equal texts of a language are judged alike: two hashes stand for them
@@ -48,14 +48,14 @@ class Classifier:
         self.scores = materialise(scored.select("id", "lang", "h1", "h2", chars, F.col("_losses")[0].alias("loss")))
         for table in [*tables, *stored]:
             discard(table)
-        good = labels.where(F.col("quality") == 1).select(F.col(ident).alias("_id")).distinct()
-        known = (self.scores.where("loss is not null").join(good, F.col("id") == F.col("_id"))
+        known = (self.scores.where("loss is not null").join(trusted, F.col("id") == F.col("_id"))
                  .select(F.coalesce("lang", F.lit("")).alias("lang"), "loss"))
         known = materialise(known)
         high, mid = (quantile(known, "lang", "loss", x).withColumnRenamed("value", n) for x, n in ((q, "h"), (0.5, "m")))
         self.limits = materialise(high.join(mid, "lang").select(
             F.col("lang").alias("_lang"), (F.col("h") + margin * (F.col("h") - F.col("m"))).alias("limit")))
-        discard(known)
+        for table in (known, trusted):
+            discard(table)
 
     def kept(self, docs: DataFrame) -> DataFrame:
         """Those of the classified documents that pass, with their columns and in whole."""
