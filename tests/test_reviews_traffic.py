@@ -188,3 +188,20 @@ def test_lexicon_of_any_size(spark, monkeypatch):
     few = sorted(map(tuple, reviews.lexicon_sentiment(rows, lexicon).collect()))
     monkeypatch.setattr(reviews, "SMALL_LEXICON", 0)
     assert sorted(map(tuple, reviews.lexicon_sentiment(rows, lexicon).collect())) == few
+
+
+def test_frequent_words_are_dealt_over_places(spark):
+    """No partition of the join with the word classes holds all rows of one word."""
+    tokens = spark.range(4000).select(F.col("id"), F.lit(0).alias("pos"), F.lit("the").alias("word"))
+    tags = spark.createDataFrame([("the", "NN"), ("the", "NN"), ("runs", "VB")], "word string, tag string")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = reviews.content_word_filter(tokens.unionByName(tokens.withColumn("word", F.lit("runs"))), tags)
+        assert out.columns == ["word", "id", "pos"]
+        parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(r["count"] for r in parts) == 4000 and max(r["count"] for r in parts) < 3000
