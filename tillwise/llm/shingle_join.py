@@ -171,19 +171,25 @@ def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
 
 
 def _sets(n: int):
-    """Whole sets with their sizes and sketches of at least one bit a shingle."""
+    """Whole sets."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(n)
         for batch in batches:
             for start in range(0, len(batch), SET_ROWS):
                 part = batch.iloc[start:start + SET_ROWS]
                 found = [shingles.of(t) for t in part["text"]]
-                bits = [parity(h, max(WORDS, 1 << (len(h) // 64).bit_length())).tobytes() for h in found]
-                yield pd.DataFrame({"rep": part["rep"].to_numpy(), "set": [h.tobytes() for h in found],
-                                    "n_shingles": [len(h) for h in found], "bits": bits})
+                yield pd.DataFrame({"rep": part["rep"].to_numpy(), "set": [h.tobytes() for h in found]})
     return sets
 
 
+def _wide_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sets with their sizes, as sketches of at least one bit a shingle in their place."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in batch["set"]]
+        yield batch.drop(columns="set").assign(n_shingles=[len(h) for h in sets], bits=[
+            parity(h, max(WORDS, 1 << (len(h) // 64).bit_length())).tobytes() for h in sets])
+
+
 def _linked(num: int, den: int):
     """Links between documents of a group that do not hang together yet: (a, b), a spanning forest of those there are.
 
@@ -318,11 +324,13 @@ def _verified(members: DataFrame, num: int, den: int) -> DataFrame:
     # what is left: families of several components. Their sketches meet first, and only documents whose sketches
     # allow a link to another component are compared whole
     discard(members)
-    sketched = large.select("family", "rep", "comp", "n_shingles", "bits")
+    sketched = materialise(large.select("family", "rep", "comp", "set").mapInPandas(
+        _wide_sketches, "family long, rep long, comp long, n_shingles long, bits binary"))
     ties = _met(sketched, "bits").applyInPandas(_candidates(num, den), "a long, b long")
     closer = components(ties, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    last, large = large, materialise(large.drop("family", "n_shingles", "bits").join(closer, "rep"))
-    discard(last)
+    last, large = large, materialise(large.drop("family").join(closer, "rep"))
+    for table in (last, sketched):
+        discard(table)
     return links.unionByName(_met(large, "set").applyInPandas(_linked(num, den), "a long, b long"))
 
 
@@ -386,7 +394,7 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         discard(rows)
         texts = docs.select(F.col(ident).cast("long").alias("rep"), F.col(text).alias("text"))
         sets = texts.join(families.select("rep"), "rep").mapInPandas(
-            _sets(n), "rep long, set binary, n_shingles long, bits binary")
+            _sets(n), "rep long, set binary")
         links = _verified(sets.join(families, "rep"), num, den)
         labels = components(links, "a", "b")
     return (named.join(labels, named.rep == labels.node, "left")
