@@ -3,6 +3,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillwise.functions.words import bigrams, review_tokens, simple_tokens
@@ -205,3 +206,23 @@ def test_frequent_words_are_dealt_over_places(spark):
         for c, v in before.items():
             spark.conf.set(c, v)
     assert sum(r["count"] for r in parts) == 4000 and max(r["count"] for r in parts) < 3000
+
+
+def test_keywords_of_odd_reviews(spark, monkeypatch):
+    """Every occurrence weighs, a review counts once; neutral, empty and weightless reviews only count.
+
+    No table of all n-grams is stored on the way, only the best.
+    """
+    stored, materialise = [], reviews.materialise
+    monkeypatch.setattr(reviews, "materialise", lambda df: stored.append(materialise(df)) or stored[-1])
+    rows = [("negative", 0.0, "salt salt salt pepper"), ("negative", 0.5, "salt"), ("positive", 0.0, "pepper"),
+            ("positive", -1.0, "salt"), ("neutral", 9.0, "salt salt"), ("neutral", 0.0, None), ("negative", None, "pepper")]
+    labelled = spark.createDataFrame(rows, "sentiment string, helpfulness double, review_text string")
+    got = {(r.sentiment, r.keyword): r.score for r in reviews.review_keywords(labelled).collect()}
+    n, docs = 6, {"salt": 4, "pepper": 3, "salt salt": 2, "salt pepper": 1}       # the review without text emits nothing
+    want = {("negative", "salt"): 4.5 / 3, ("negative", "pepper"): 1 / 3, ("negative", "salt salt"): 2 / 3,
+            ("negative", "salt pepper"): 1 / 3, ("positive", "pepper"): 1 / 2}
+    assert got == {k: pytest.approx(v / (docs[k[1]] / n + 0.01), abs=6e-4) for k, v in want.items()}
+    assert reviews.review_keywords(labelled.limit(0)).count() == 0
+    del stored[:]
+    assert reviews.review_keywords(labelled, 1).count() == 2 and all(df.count() <= 2 for df in stored)
