@@ -397,6 +397,6 @@ def test_models_learn_from_all_labelled_documents(spark):
     table = spark.range(20_600).select(F.col("id").alias("doc_id"), F.substring(F.md5(F.col("id").cast("string")), 1, 9).alias("text"),
                                        F.lit("en").alias("lang"))
     scored = cross_entropy.score_documents(table, table.select("doc_id"))
-    assert scored.where("score != 0").count() == 0
+    assert scored.where("score is null or abs(score) > 1e-9").count() == 0        # sums of doubles in any order
     ids = kneser_ney.trusted_ids(table.withColumn("quality", F.lit(1)), F.col("quality") == 1)
     assert ids.count() == 20_600
