@@ -256,3 +256,31 @@ def test_weights_are_summed_as_whole_numbers(spark):
     assert got == {"salt": (0.246913577, pytest.approx(123456789.987654321, abs=1e-6)), "salt salt": (1.123456789, None), "pepper": (None, None)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "sum(CASE WHEN (sentiment" in plan and "_whole" in plan
+
+
+def test_word_classes_are_not_multiplied(spark, monkeypatch):
+    """The tags enter the join once a word, not once a place; frequent and rare words, repeated and missing ones alike."""
+    noise = random.Random(3)
+    rows = [(i, p, noise.choice(["the", "of", "salt", None, f"word{noise.randint(0, 60)}"])) for i in range(300) for p in range(4)]
+    tokens = spark.createDataFrame(rows + rows[:40], "id int, pos int, word string")
+    tags = [("the", "NN"), ("the", "JJ"), ("of", "VB"), ("salt", "NN"), ("word7", "JJ"), ("word8", "VB"), (None, "NN"), ("absent", "NN")]
+    tags = spark.createDataFrame(tags + [(f"word{i}", "NN") for i in range(20, 40)], "word string, tag string")
+    keep = {"the", "salt", "word7"} | {f"word{i}" for i in range(20, 40)}
+    want = sorted((w, i, p) for i, p, w in rows + rows[:40] if w in keep)
+    for most in (1 << 16, 10, 1):
+        monkeypatch.setattr(reviews, "FREQUENT", most, raising=False)
+        out = reviews.content_word_filter(tokens, tags)
+        assert sorted(map(tuple, out.collect())) == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "sequence" not in plan
+    assert reviews.content_word_filter(tokens.limit(0), tags).count() == 0
+
+
+def test_topic_vectors_have_no_more_partitions_than_cores(spark):
+    """Every partition sends the size of the model in each step."""
+    bag = F.array(F.struct((F.col("id") % 9).alias("number"), F.lit(2).cast("long").alias("times")))
+    cores = spark.sparkContext.defaultParallelism
+    bags = topics._vectors(spark.range(0, 400, 1, 5 * cores).select(F.col("id").alias("review"), bag.alias("bag")), 9)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert bags.rdd.getNumPartitions() <= cores and bags.count() == 400 and before
+    assert "libsvm" not in bags._jdf.queryExecution().executedPlan().toString()
