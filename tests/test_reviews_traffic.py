@@ -284,3 +284,11 @@ def test_topic_vectors_have_no_more_partitions_than_cores(spark):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     assert bags.rdd.getNumPartitions() <= cores and bags.count() == 400 and before
     assert "libsvm" not in bags._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lexicon_cuts_a_text_up_once(spark):
+    rows = spark.createDataFrame([(1, "good bad good"), (2, None)], "id long, review_text string")
+    lexicon = spark.createDataFrame([("good", 0.5), ("bad", -0.25)], "word string, valence double")
+    out = reviews.lexicon_sentiment(rows, lexicon)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("[a-z]{3,}") == 1
+    assert {r.id: round(r.polarity, 6) for r in out.collect()} == {1: 0.25, 2: 0.0}
