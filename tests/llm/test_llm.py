@@ -229,6 +229,22 @@ def test_open_families_lose_no_link(spark, monkeypatch):
     assert parts[0] == parts[1] and len(set(parts[0])) < len(sets)
 
 
+def test_sets_of_large_families_are_stored_once(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK", 3)
+    rng = np.random.default_rng(4)
+    bases = [np.unique(rng.integers(0, 2 ** 63, 300).astype(np.uint64)) for _ in range(3)]
+    # two of the family's three components outgrow a block, and a rep stands at two equal sets
+    sets = [(i, np.delete(bases[which], i % 7)) for i, which in enumerate([0] * 12 + [1] * 7 + [2])]
+    members = spark.createDataFrame([(0, i, bytearray(s.tobytes())) for i, s in sets + sets[:1]],
+                                    "family long, rep long, set binary")
+    stored, plain = [], shingle_join.materialise
+    monkeypatch.setattr(shingle_join, "materialise", lambda df: stored.append(df) or plain(df))
+    links = shingle_join._verified(members, 80, 100)
+    labels = {r.node: r.component for r in components.components(links, "a", "b").collect()}
+    assert labels == {i: 0 if i < 12 else 12 for i in range(19)}
+    assert sum("set" in df.columns for df in stored) == 1       # what steers their way holds numbers only
+
+
 def test_sketch_keys_share_one():
     rng = np.random.default_rng(3)
     for size in (10, 40, 333, 2000):

@@ -297,50 +297,73 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
             .withColumn("comp", F.coalesce("component", "rep")).drop("node", "component"))
 
 
+def _blocks(rows: str, size: str):
+    """Blocks of about BLOCK sets or BLOCK_BYTES that so many rows of so many bytes fill."""
+    return F.ceil(F.greatest(F.col(rows) / BLOCK, F.col(size) / BLOCK_BYTES))
+
+
 def _verified(members: DataFrame, num: int, den: int) -> DataFrame:
     """All links that matter among ``members`` (family, rep, set): documents of different families never link.
 
     Families of up to BLOCK documents are compared in one group. Larger ones are cut into blocks by a hash; what
-    hangs together in each block is represented once, the representatives are compared, and if a family still has
-    several components, blocks of different ones are compared pair by pair. So copies of one document cost no more
+    hangs together in each block is represented once, the representatives are compared in blocks, and if a family still
+    has several components, blocks of different ones are compared pair by pair. So copies of one document cost no more
     than their number, and no two documents that could link are left out.
+
+    The sets are stored once. Families, blocks and components are tables of numbers that sets join by ``rep`` on their
+    way into a group, so the sets of a large family never meet in one task.
     """
-    first = members = materialise(members)
-    sizes = members.groupBy("family").agg(F.count("*").alias("_size"), F.sum(F.length("set")).alias("_bytes"))
-    members = members.join(sizes, "family").withColumn("comp", F.col("rep")).withColumn("side", F.lit(2))
-    chunks = F.ceil(F.greatest(F.col("_size") / BLOCK, F.col("_bytes") / BLOCK_BYTES))
-    members = materialise(members.withColumn("block", F.pmod(F.xxhash64("rep"), chunks)).withColumn("chunks", chunks))
-    discard(first)
-    links = materialise(_clustered(members, ["family", "block"], num, den))
-    large = members.where("chunks > 1").drop("_size", "_bytes", "chunks")
-    if large.isEmpty():
-        return links
-    large = _labelled(large, links)
-    heads = large.groupBy("family", "block", "comp").agg(F.min("rep").alias("rep"))
-    heads = large.join(heads.select("family", "rep"), ["family", "rep"])
-    heads = heads.withColumn("block", F.pmod(F.xxhash64("comp"), F.lit(SALT)))
-    links = materialise(links.unionByName(_clustered(heads, ["family", "block"], num, den)))
-    large = materialise(_labelled(large, links).drop("block"))
+    sets = materialise(members.select("family", "rep", "set", F.length("set").cast("long").alias("bytes")))
+    sizes = sets.groupBy("family").agg(F.count("*").alias("_size"), F.sum("bytes").alias("_bytes"))
+    # at most one row for BLOCK sets or BLOCK_BYTES of them, so it may be sent to all
+    chunked = materialise(sizes.select("family", _blocks("_size", "_bytes").alias("chunks")).where("chunks > 1"))
+    block = F.pmod(F.xxhash64("rep"), F.coalesce("chunks", F.lit(1)))
+    dealt = sets.join(F.broadcast(chunked), "family", "left").select(
+        "family", block.alias("block"), "rep", F.col("rep").alias("comp"), F.lit(2).alias("side"), "set")
+    links = materialise(_clustered(dealt, ["family", "block"], num, den))
+    if not chunked.isEmpty():
+        large = sets.join(F.broadcast(chunked), "family").groupBy("family", "rep", block.alias("block")).agg(
+            F.count("*").alias("n"), F.sum("bytes").alias("bytes")).withColumn("comp", F.col("rep"))
+        large = materialise(_labelled(large, links))
+        links = _closed(large, sets, links, num, den)
+    discard(sets)
+    return links
+
+
+def _closed(large: DataFrame, sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
+    """``links`` and those between blocks of ``large`` (family, rep, block, n, bytes, comp): n rows of ``sets`` a rep."""
+    heads = large.groupBy("family", "block", "comp").agg(F.min(F.struct("rep", "n", "bytes")).alias("_head"))
+    heads = materialise(heads.select("family", "comp", "_head.*"))
+    sizes = heads.groupBy("family").agg(F.sum("n").alias("_size"), F.sum("bytes").alias("_bytes"))
+    heads = heads.join(F.broadcast(sizes), "family").select(
+        "family", F.pmod(F.xxhash64("comp"), _blocks("_size", "_bytes")).alias("block"), "rep", "comp", F.lit(2).alias("side"))
+    links = materialise(links.unionByName(_clustered(sets.select("rep", "set").join(heads, "rep"), ["family", "block"], num, den)))
     # what is left: families of several components. Their sketches meet first, and only documents whose sketches
     # allow a link to another component are compared whole
-    discard(members)
-    sketched = materialise(large.select("family", "rep", "comp", "set").mapInPandas(
-        _wide_sketches, "family long, rep long, comp long, n_shingles long, bits binary"))
-    ties = _met(sketched, "bits").applyInPandas(_candidates(num, den), "a long, b long")
+    large = materialise(_labelled(large.drop("block"), links))
+    several = large.groupBy("family").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b")
+    large = materialise(large.join(F.broadcast(several.select("family")), "family"))
+    if large.isEmpty():
+        return links
+    sketched = materialise(sets.select("rep", "set").join(large.select("rep"), "rep").mapInPandas(
+        _wide_sketches, "rep long, n_shingles long, bits binary"))
+    widths = sketched.groupBy("rep").agg(F.count("*").alias("n"), F.sum(F.length("bits")).alias("bytes"))
+    ties = _met(large.drop("n", "bytes").join(widths, "rep"), sketched, "bits").applyInPandas(
+        _candidates(num, den), "a long, b long")
     closer = components(ties, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    last, large = large, materialise(large.drop("family").join(closer, "rep"))
-    for table in (last, sketched):
-        discard(table)
-    return links.unionByName(_met(large, "set").applyInPandas(_linked(num, den), "a long, b long"))
+    discard(sketched)
+    large = materialise(large.drop("family").join(closer, "rep"))
+    return materialise(links.unionByName(_met(large, sets, "set").applyInPandas(_linked(num, den), "a long, b long")))
 
 
-def _met(members: DataFrame, content: str):
+def _met(members: DataFrame, contents: DataFrame, content: str):
     """Blocks of different components of a family, pair by pair; large components have blocks of their own.
 
+    ``members`` (family, rep, comp, n, bytes) are numbers only and place the rows that ``contents`` has for each rep.
     A block holds about BLOCK sets or BLOCK_BYTES of ``content``; of sketches, which are small, eight times as many.
     """
     rows = BLOCK * (8 if content == "bits" else 1)
-    per = members.groupBy("family", "comp").agg(F.count("*").alias("_n"), F.sum(F.length(content)).alias("_bytes"))
+    per = members.groupBy("family", "comp").agg(F.sum("n").alias("_n"), F.sum("bytes").alias("_bytes"))
     open_families = per.groupBy("family").agg(F.count("*").alias("_comps"), F.sum("_n").alias("_all"),
                                               F.sum("_bytes").alias("_all_bytes")).where("_comps > 1")
     pure = (F.col("_n") >= rows) | (F.col("_bytes") >= BLOCK_BYTES)
@@ -348,10 +371,9 @@ def _met(members: DataFrame, content: str):
     blocks = per.join(open_families, "family").select(
         "family", "comp", F.when(pure, F.col("comp")).otherwise(-1).alias("owner"),
         F.when(pure, chunks("_n", "_bytes")).otherwise(chunks("_all", "_all_bytes")).alias("_chunks"))
-    placed = members.drop("side").join(blocks, ["family", "comp"]).withColumn("part", F.pmod(
+    placed = members.join(blocks, ["family", "comp"]).withColumn("part", F.pmod(
         F.when(F.col("owner") == -1, F.xxhash64("comp")).otherwise(F.xxhash64("rep")), F.col("_chunks")))
-    columns = ["family", "rep", "comp", content, *[c for c in members.columns if c == "n_shingles"]]
-    placed = materialise(placed.select(*columns, "owner", "part"))
+    placed = materialise(placed.select("family", "rep", "comp", "owner", "part"))
     names = placed.select("family", "owner", "part").distinct()
     one, two = (names.select("family", F.struct("owner", "part").alias(s)) for s in ("one", "two"))
     pairs = one.join(two, "family").where("one <= two and (one.owner != two.owner or one.owner = -1)")
@@ -360,7 +382,8 @@ def _met(members: DataFrame, content: str):
         F.array(F.struct(F.lit(0).alias("side"), F.col("one").alias("own")),
                 F.struct(F.lit(1).alias("side"), F.col("two").alias("own"))))).alias("_s")).select("family", "one", "two", "_s.*")
     own = F.struct("owner", "part").alias("own")
-    return placed.select(*columns, own).join(sides, ["family", "own"]).groupBy("family", "one", "two")
+    whole = contents.drop("family", "bytes").join(placed.select("family", "rep", "comp", own), "rep")
+    return whole.join(sides, ["family", "own"]).drop("own").groupBy("family", "one", "two")
 
 
 def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, ident: str = "doc_id",
