@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by a number of their own, so a doc_id may stand at several texts or be missing; rows without
     words stay.
     """
-    rows = materialise(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    rows = materialise(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "zstd")
     groups = shingle_components(rows.select("row", F.col("doc.text").alias("text")), n=5, num=80, den=100, ident="row")
     ident = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), "row").alias("place")
     placed = rows.select("row", ident).join(groups.select("row", "component_id"), "row")

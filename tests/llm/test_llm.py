@@ -1,6 +1,7 @@
 """The training-data operators against brute force on small tables, and on odd ones."""
 
 import json
+import time
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tillwise.functions import scale
 from tillwise.llm import (components, cross_entropy, grid, kneser_ney, licenses, mixing, packing, quality, separators,
                           shingle_join, tables, tool_calls, topk)
 from tillwise.llm.registry import QUERIES
@@ -416,3 +418,18 @@ def test_models_learn_from_all_labelled_documents(spark):
     assert scored.where("score is null or abs(score) > 1e-9").count() == 0        # sums of doubles in any order
     ids = kneser_ney.trusted_ids(table.withColumn("quality", F.lit(1)), F.col("quality") == 1)
     assert ids.count() == 20_600
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    before, setting = shuffled(), spark.conf.get(scale.SPENT)
+    stored = scale.materialise(spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).count())
+    for _ in range(100):                                # they are deleted in the background
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and stored.count() == 1000 and spark.conf.get(scale.SPENT) == setting
