@@ -433,3 +433,26 @@ def test_stored_tables_leave_no_shuffle_files(spark):
             break
         time.sleep(0.1)
     assert not left and stored.count() == 1000 and spark.conf.get(scale.SPENT) == setting
+
+
+def test_keys_of_classes_do_not_move_with_their_rows(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:50 + i % 5])) for i in range(20)] + [(None, " ".join(words[:50])), (None, "no id"), (30, None)]
+    rows.append((7, "another text of the same id"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, plain, results = [], shingle_join._families, []
+
+    def families(first, num, den):
+        plans.append(first._jdf.queryExecution().optimizedPlan().toString())
+        assert first.count() == 6 and first.select("rep").distinct().count() == 6
+        return plain(first, num, den)
+
+    monkeypatch.setattr(shingle_join, "_families", families)
+    for few in (1 << 20, 3):                            # rows sent to all, or met in a shuffle and stored
+        monkeypatch.setattr(shingle_join, "FEW_ROWS", few)
+        got = shingle_join.shingle_components(table, 3, 90, 100).collect()
+        results.append(sorted(got, key=lambda r: (r.doc_id is None, r.doc_id, r.n_shingles)))
+    assert "LeftAnti" in plans[0] and "broadcast" in plans[0] and "Join" not in plans[1]
+    assert results[0] == results[1] and len(results[0]) == len(rows)
+    assert [r.component_id for r in results[0] if r.doc_id is not None and r.doc_id < 20 and r.n_shingles > 40] == [0] * 20
+    assert {(r.n_shingles, r.component_id) for r in results[0] if r.doc_id is None} == {(48, 0), (1, None)}

@@ -22,6 +22,7 @@ BLOCK_BYTES = 1 << 23
 CHUNK_ROWS = 50_000                 # keys of classes that one call of _near may hold
 HOT_ROWS, HOT_SHARE, HOT_LEAST, HOT_ONE_IN = 1 << 16, 16, 8, 400
 SALT = 64
+FEW_ROWS = 1 << 20                  # numbers of rows that may be sent to every executor
 SET_ROWS = 500                      # texts whose sets and keys a task hands on at a time, since they may be long
 PIECE = 1 << 16                     # bytes of a text that are summed at a time
 
@@ -148,8 +149,11 @@ def _hot_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
     some = materialise(docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(HOT_SHARE)) == 0).distinct())
     least = max(HOT_LEAST, some.count() // HOT_ONE_IN)
     counted = some.mapInPandas(count, "h long, times long").groupBy("h").agg(F.sum("times").alias("times"))
-    top = counted.where(F.col("times") >= least).orderBy(F.col("times").desc(), "h").limit(HOT_ROWS)
-    return np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
+    top = materialise(counted.where(F.col("times") >= least).orderBy(F.col("times").desc(), "h").limit(HOT_ROWS).select("h"))
+    hot = np.sort(np.array([r.h for r in top.collect()], np.int64).view(np.uint64))
+    for table in (some, top):
+        discard(table)
+    return hot
 
 
 def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
@@ -171,14 +175,15 @@ def _sketches(n: int, num: int, den: int, hot, ident: str, text: str):
 
 
 def _sets(n: int):
-    """Whole sets."""
+    """Whole sets, of rows that know their family: so texts move once and their sets not at all on the way to the disk."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(n)
         for batch in batches:
             for start in range(0, len(batch), SET_ROWS):
                 part = batch.iloc[start:start + SET_ROWS]
                 found = [shingles.of(t) for t in part["text"]]
-                yield pd.DataFrame({"rep": part["rep"].to_numpy(), "set": [h.tobytes() for h in found]})
+                yield pd.DataFrame({"family": part["family"].to_numpy(), "rep": part["rep"].to_numpy(),
+                                    "set": [h.tobytes() for h in found]})
     return sets
 
 
@@ -410,15 +415,25 @@ def shingle_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         named = F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("rep"), "_row")
         classes = rows.where("name is not null").groupBy("name").agg(F.min(named).alias("first"))
         classes = materialise(classes.select("name", "first.rep", "first._row"))
-        named = rows.select(ident, "n_shingles", "name").join(classes.drop("_row"), "name", "left")
-        named = materialise(named.select(ident, "n_shingles", "rep"))
-        # one row a class, however often its text stands in the table
-        families = _families(rows.join(classes.where("rep is not null").select("_row", "rep"), "_row"), num, den)
-        discard(rows)
+        named = rows.select(ident, "n_shingles", "name", "_row").join(
+            classes.withColumnRenamed("_row", "_first"), "name", "left")
+        more = F.col("name").isNotNull() & (F.col("rep").isNull() | (F.col("_row") != F.col("_first")))
+        named = materialise(named.select(ident, "n_shingles", "rep", "_row", more.alias("more")))
+        discard(classes)
+        # one row a class, however often its text stands in the table; it has the class's id. What more rows there are
+        # may be sent to all if they are few, so the keys stay where they are
+        more = named.where("more").select("_row")
+        few = more.count() <= FEW_ROWS
+        first = rows.where("name is not null").join(F.broadcast(more) if few else more, "_row", "left_anti")
+        first = first.select(F.col(ident).alias("rep"), "n_shingles", "keys", "common", "bits")
+        if not few:     # stored, so that this shuffle and the other rows have gone before the keys move
+            first = materialise(first)
+            discard(rows)
+        families = _families(first, num, den)
+        discard(rows if few else first)
         texts = docs.select(F.col(ident).cast("long").alias("rep"), F.col(text).alias("text"))
-        sets = texts.join(families.select("rep"), "rep").mapInPandas(
-            _sets(n), "rep long, set binary")
-        links = _verified(sets.join(families, "rep"), num, den)
+        sets = texts.join(families, "rep").mapInPandas(_sets(n), "family long, rep long, set binary")
+        links = _verified(sets, num, den)
         labels = components(links, "a", "b")
     return (named.join(labels, named.rep == labels.node, "left")
             .select(ident, "n_shingles", F.coalesce("component", "rep", ident).alias("component_id")))
