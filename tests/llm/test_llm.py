@@ -5,6 +5,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -456,3 +457,14 @@ def test_keys_of_classes_do_not_move_with_their_rows(spark, monkeypatch):
     assert results[0] == results[1] and len(results[0]) == len(rows)
     assert [r.component_id for r in results[0] if r.doc_id is not None and r.doc_id < 20 and r.n_shingles > 40] == [0] * 20
     assert {(r.n_shingles, r.component_id) for r in results[0] if r.doc_id is None} == {(48, 0), (1, None)}
+
+
+def test_texts_move_packed(spark):
+    texts = [None, "", "x", "\u00e9\x00\U0001d11e \t", "one and two " * 500]
+    packed = kneser_ney.pack(pa.array(texts, pa.string()))
+    assert kneser_ney.unpacked(pa.chunked_array([packed])) == texts and len(packed[4].as_py()) < 200
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    tables = kneser_ney.table_of(table.select(F.lit("m").alias("model"), "text"), 4, 1 << 17)
+    losses = kneser_ney.document_losses(table, tables, 4, 1 << 17, under=["m"])
+    assert "packed(text" in losses._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id: r.text for r in losses.collect()} == dict(enumerate(texts))

@@ -18,6 +18,7 @@ PAD = "\x02"            # stands before a text
 SLICE = 1_000_000       # characters looked at together
 FEW_IDS = 1 << 20       # ids that may be sent to every executor
 PART = 8_000_000        # characters of the documents that ask for their n-grams together
+ZSTD_LEVEL = 1
 
 
 def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -213,14 +214,37 @@ def _priced(wanted: DataFrame, tables: list[DataFrame], order: int, vocabulary:
     return lower
 
 
+def pack(texts: pa.Array) -> pa.Array:
+    """Texts in Zstandard frames behind 8 bytes that tell the length; null stays null."""
+    codec = pa.Codec("zstd", ZSTD_LEVEL)
+    raw = texts.cast(pa.binary()).to_pylist()
+    return pa.array([None if b is None else len(b).to_bytes(8) + codec.compress(b, asbytes=True) for b in raw], pa.binary())
+
+
+def unpacked(texts: pa.ChunkedArray) -> list[str | None]:
+    """The texts that ``pack`` has packed."""
+    codec = pa.Codec("zstd")
+    return [None if b is None else codec.decompress(b[8:], int.from_bytes(b[:8]), asbytes=True).decode()
+            for b in texts.to_pylist()]
+
+
+def _packed(text: str) -> Column:
+    @F.arrow_udf("binary")
+    def packed(texts: pa.Array) -> pa.Array:
+        return pack(texts)
+
+    return packed(F.col(f"`{text}`"))
+
+
 def document_losses(docs: DataFrame, tables: list[DataFrame], order: int, vocabulary: int, text: str = "text",
                     under: list[str] | None = None, stored: list[DataFrame] | None = None) -> DataFrame:
     """``docs`` with ``_losses``: mean losses a character under the models ``under``, or under that in ``_model``.
 
     Null without text or model. The documents of each ``_model`` are dealt by a hash in parts of about PART characters.
     A part asks for its distinct n-grams, which meet the sharded ``tables`` in joins on (model, gram), and gets their
-    losses back; no table of n-grams passes through the driver, and a task holds those of one part. Tables that are of
-    no use once the result has been stored are added to ``stored``.
+    losses back; no table of n-grams passes through the driver, and a task holds those of one part. Texts move packed,
+    since they are most of what lies on disk by the end. Tables that are of no use once the result has been stored are
+    added to ``stored``.
     """
     has = F.coalesce(F.length(text), F.lit(0))
     row = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"])
@@ -228,16 +252,17 @@ def document_losses(docs: DataFrame, tables: list[DataFrame], order: int, vocabu
     parts = placed.groupBy("_model").agg(F.ceil(F.greatest(F.sum(has), F.lit(1)) / PART).alias("_parts"))
     parts = materialise(parts)                                       # one row a model
     placed = placed.join(parts, "_model").withColumn("_part", F.pmod("_row", "_parts").cast("int")).drop("_row", "_parts")
+    packed = placed.withColumn(text, _packed(text))
     width, kept = len(under) if under else 1, [f.name for f in docs.schema if f.name != "_model"]
 
     def ask(key, rows):
-        content = [t for t in rows.column(text).to_pylist() if t]
+        content = [t for t in unpacked(rows.column(text)) if t]
         names = [grams(content[a:b], order)[1] for a, b in slices(content)]
         names = pd.unique(np.concatenate(names).astype(object)) if names else []
         return pa.table({"_model": pa.array([key[0].as_py()] * len(names), pa.string()),
                          "_part": pa.array([key[1].as_py()] * len(names), pa.int32()), "gram": pa.array(names, pa.string())})
 
-    asked = materialise(placed.select("_model", "_part", F.col(text)).groupBy("_model", "_part").applyInArrow(
+    asked = materialise(packed.select("_model", "_part", F.col(text)).groupBy("_model", "_part").applyInArrow(
         ask, "_model string, _part int, gram string"))
     wanted = asked.select("_model", "gram").distinct()
     if under:
@@ -256,7 +281,7 @@ def document_losses(docs: DataFrame, tables: list[DataFrame], order: int, vocabu
         told = asked.join(priced.select(F.col("model").alias("_model"), "gram", F.col("loss").alias("_l0")), ["_model", "gram"])
 
     def score(rows, told):
-        texts = rows.column(text).to_pylist()
+        texts = unpacked(rows.column(text))
         out = np.full((len(texts), width), np.nan)
         known = pd.Index(told.column("gram").to_pandas().astype(object))
         losses = np.column_stack([told.column(f"_l{i}").to_numpy().astype(float) for i in range(width)])
@@ -268,11 +293,12 @@ def document_losses(docs: DataFrame, tables: list[DataFrame], order: int, vocabu
             own = losses[known.get_indexer(names.astype(object))][at]
             out[full[a:b]] = np.add.reduceat(own, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
         lists = [[None if np.isnan(x) else float(x) for x in row] for row in out]
-        return rows.select(kept).append_column("_losses", pa.array(lists, pa.list_(pa.float64())))
+        whole = rows.set_column(rows.column_names.index(text), text, pa.array(texts, pa.string()))
+        return whole.select(kept).append_column("_losses", pa.array(lists, pa.list_(pa.float64())))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_model")
     told = told.select("_model", "_part", "gram", *[f"_l{i}" for i in range(width)])
-    return placed.groupBy("_model", "_part").cogroup(told.groupBy("_model", "_part")).applyInArrow(
+    return packed.groupBy("_model", "_part").cogroup(told.groupBy("_model", "_part")).applyInArrow(
         score, f"{kinds}, _losses array<double>")
 
 
