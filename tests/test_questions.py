@@ -249,3 +249,32 @@ def test_search_with_many_copies_of_a_block(spark):
     for q in range(20):
         best = sorted(range(90), key=lambda i: (-(x[q] @ x[i]), i))[:3]
         assert [got[q, k] for k in (1, 2, 3)] == best
+
+
+@pytest.mark.parametrize("fewer", [False, True])
+def test_search_of_vectors_with_few_components_equals_brute_force(spark, monkeypatch, fewer):
+    """Vectors as of texts, some of them copies, some zero; small packs, so that every kind of pack pair occurs."""
+    if fewer:
+        for name, value in (("PACK", 16), ("TASK", 64), ("TILE", 8), ("TILE_FACTS", 16), ("PAIRS", 32)):
+            monkeypatch.setattr(retrieval, name, value)
+    monkeypatch.setattr(retrieval, "_score", None)                      # no vector is copied for a pair of question and group
+    rng = np.random.default_rng(4)
+
+    def sparse(n, signed=False):
+        x = rng.integers(-2 if signed else 1, 4, (n, 80)) * (rng.random((n, 80)) < 0.08)
+        return (x / np.maximum(np.linalg.norm(x, axis=1), 1)[:, None]).astype("float32")
+
+    x, q = sparse(700, True), sparse(60)
+    x[::5], x[7], q[3] = x[0], 0.0, 0.0
+    source = ["big" if i % 7 else "mid" if i % 2 else "few" if i == 14 else None for i in range(700)]
+    facts = spark.createDataFrame([(f"c{i:03d}", source[i], v.tolist()) for i, v in enumerate(x)],
+                                  "chunk_id string, source string, embedding array<float>").repartition(3)
+    allowed = [None if i % 2 else [["big", "absent"], ["few"], ["mid", "few"], []][i // 2 % 4] for i in range(60)]
+    asked_q = spark.createDataFrame([(i, v.tolist(), a) for i, (v, a) in enumerate(zip(q, allowed))],
+                                    "query_id long, embedding array<float>, sources array<string>")
+    scores = np.round(q.astype(float) @ x.astype(float).T, 6)
+    want = {(i, r + 1): f"c{j:03d}" for i in range(60) for r, j in enumerate(sorted(
+        (j for j in range(700) if allowed[i] is None or source[j] in allowed[i]), key=lambda j: (-scores[i, j], j))[:3])}
+    found = retrieval.vector_search(facts, asked_q, 3).collect()
+    assert {(r.query_id, r["rank"]): r.chunk_id for r in found} == want
+    assert all(r.source == source[int(r.chunk_id[1:])] and r.score == scores[r.query_id, int(r.chunk_id[1:])] for r in found)
