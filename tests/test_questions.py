@@ -278,3 +278,16 @@ def test_search_of_vectors_with_few_components_equals_brute_force(spark, monkeyp
     found = retrieval.vector_search(facts, asked_q, 3).collect()
     assert {(r.query_id, r["rank"]): r.chunk_id for r in found} == want
     assert all(r.source == source[int(r.chunk_id[1:])] and r.score == scores[r.query_id, int(r.chunk_id[1:])] for r in found)
+
+
+def test_repeated_questions_are_searched_once(spark, monkeypatch):
+    traffic = spark.createDataFrame([("f1", "41_A", 4), ("f2", "2", 1)], "timestamp string, zone_id string, people_count long")
+    facts, model = jobs.build_index_job({"cv_foot_traffic": traffic})
+    counts, search = [], retrieval.vector_search
+    monkeypatch.setattr(retrieval, "vector_search", lambda f, q, *a: counts.append(q.count()) or search(f, q, *a))
+    texts = ["traffic in zone 41_A", "people in zone 2", "traffic in zone 41_A", "", "top 10 products", "traffic in zone 41_A"]
+    products = spark.createDataFrame([("1",)], "product_id string")
+    got = {r["turn"]: r for r in jobs.answer_questions(asked(spark, *texts), facts, model, products, ["At Risk"]).collect()}
+    assert counts == [3] and len(got) == 6                              # the products are not searched
+    assert got[0]["context"] == got[2]["context"] == got[5]["context"] and "[1] (Cv Foot Traffic) Foot traffic in zone 41_A" in got[0]["context"]
+    assert "[1] (Cv Foot Traffic) Foot traffic in zone 2" in got[1]["context"]

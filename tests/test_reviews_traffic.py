@@ -2,7 +2,9 @@ import datetime as dt
 import hashlib
 import random
 from collections import Counter
+from string import ascii_lowercase as LETTERS
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +294,23 @@ def test_lexicon_cuts_a_text_up_once(spark):
     out = reviews.lexicon_sentiment(rows, lexicon)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("[a-z]{3,}") == 1
     assert {r.id: round(r.polarity, 6) for r in out.collect()} == {1: 0.25, 2: 0.0}
+
+
+def test_keywords_count_only_pairs_that_can_be_among_the_best(spark, monkeypatch):
+    """The same keywords as from all pairs, of which most stand once; before, every pair was a row of the sums."""
+    rng = np.random.default_rng(8)
+    common, rare = [f"word{c}" for c in LETTERS[:6]], [f"rare{a}{b}{c}" for a in LETTERS for b in LETTERS for c in LETTERS]
+    rows = []
+    for i in range(200):
+        words = [str(w) for w in rng.choice(rare, 20)]
+        words[::4] = [str(w) for w in rng.choice(common[:4] if i % 2 else common[2:], 5)]
+        words[1:2] = ["first pair"] if i % 3 == 0 else []
+        rows.append((["negative", "positive", "neutral"][i % 3 if i % 5 else 0], float(rng.random()), " ".join(words)))
+    frame = spark.createDataFrame(rows, "sentiment string, helpfulness double, review_text string")
+    counts, best = [], reviews.top_n_per_group
+    monkeypatch.setattr(reviews, "top_n_per_group", lambda df, *a: counts.append(df.count()) or best(df, *a))
+    few = {tuple(r) for r in reviews.review_keywords(frame, 4).collect()}
+    limited, counts[:] = counts[1], []                                 # of words, of pairs, of both
+    monkeypatch.setattr(reviews, "FREQUENT", 0)                         # so all pairs are counted
+    assert few == {tuple(r) for r in reviews.review_keywords(frame, 4).collect()} and len(few) == 8
+    assert any(" " in r[0] for r in few) and limited < counts[1] / 20

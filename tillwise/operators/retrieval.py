@@ -235,6 +235,15 @@ def _folded(x: np.ndarray, fold: np.ndarray) -> np.ndarray:
     return np.sqrt(np.square(x) @ sums)
 
 
+def _set_places(flags: np.ndarray) -> np.ndarray:
+    """Places of the few set flags of a matrix, eight passed over at a time."""
+    flat = flags.reshape(-1)
+    if len(flat) % 8:
+        return np.flatnonzero(flat)
+    near = np.flatnonzero(flat.view("uint64"))[:, None] * 8 + np.arange(8)
+    return near[flat[near]]
+
+
 class _Best:
     """Questions of one pack with the best facts seen so far, and what a fact has to score to be among them."""
 
@@ -259,11 +268,14 @@ class _Best:
             for b in range(0, len(facts), TILE_FACTS):
                 near, side = facts[b:b + TILE_FACTS], folded[b:b + TILE_FACTS]
                 hit = self.folded[own] @ side.T >= (self.floor[own] - slack).astype("float32")[:, None]
-                many = np.count_nonzero(hit, axis=1) > len(near) // 16
-                hit[many] = False
-                pairs = [self._scored(own, near, *np.divmod(np.flatnonzero(hit), len(near)), slack)]
-                if many.any():
-                    pairs.append(self._best(own, np.flatnonzero(many), near))
+                row, at = np.divmod(_set_places(hit), len(near))
+                pairs = []
+                if len(row) > len(near) // 16:                                  # some question may have that many
+                    many = np.bincount(row, minlength=len(own)) > len(near) // 16
+                    if many.any():
+                        pairs.append(self._best(own, np.flatnonzero(many), near))
+                        row, at = row[~many[row]], at[~many[row]]
+                pairs.append(self._scored(own, near, row, at, slack))
                 row, at, score = (np.concatenate(x) for x in zip(*pairs))
                 if len(row):
                     self._merge(t, own[row], score, ids[b + at], np.full(len(row), part))
