@@ -314,3 +314,22 @@ def test_keywords_count_only_pairs_that_can_be_among_the_best(spark, monkeypatch
     monkeypatch.setattr(reviews, "FREQUENT", 0)                         # so all pairs are counted
     assert few == {tuple(r) for r in reviews.review_keywords(frame, 4).collect()} and len(few) == 8
     assert any(" " in r[0] for r in few) and limited < counts[1] / 5
+
+
+def test_facts_store_the_text_of_reviews_once(spark, monkeypatch):
+    """Before, the labelled reviews were stored with their text, and once more within the review text."""
+    from tillwise.plans import queries
+    stored = []
+    monkeypatch.setattr(queries, "materialise", lambda df: stored.append(df.columns) or df)
+    made = {"_decisions": (None, None), "_forecast": None, "_clustered": None, "_topic_table": None, "_frames": None}
+    for name, value in made.items():
+        monkeypatch.setattr(queries, name, lambda *a, value=value: value if value else spark.range(1))
+    monkeypatch.setattr(queries.segments, "segment_names", lambda df: df)
+    monkeypatch.setattr(reviews, "review_keywords", lambda df: df)
+    frame = spark.createDataFrame([(1, 5, "s", "t", "s. t", 0.0, 0.0, 0.0, "positive", dt.datetime(2020, 1, 1))],
+                                  "id long, score int, summary string, text string, review_text string, helpfulness double, "
+                                  "compound double, polarity double, sentiment string, date timestamp_ntz")
+    monkeypatch.setattr(queries, "_labelled", lambda *a: frame)
+    tables = queries._tables(spark, "")
+    own = next(c for c in stored if "review_text" in c)
+    assert not {"summary", "text"} & set(own) and tables["review_insights"].first()["review_count"] == 1
